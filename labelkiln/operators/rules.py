@@ -22,15 +22,23 @@ NONE = "__none__"  # vote of a negative rule: "this row is not relevant"
 
 @dataclass
 class LF:
-    """A labelling function: vote ``label`` where ``predicate`` holds, else abstain."""
+    """A labelling function: vote ``label`` where its predicate holds, else abstain.
+
+    ``build`` returns the predicate ``Column``; it is called when the rule is applied, so rules can
+    be declared (and their SQL twins read) without a running Spark session.
+    """
 
     name: str
     label: str
-    predicate: Column | None = None
+    build: Callable[[], Column] | Column | None = None
     sql: str | None = None  # DuckDB twin of the predicate (oracle only)
     prepare: Callable[[DataFrame], DataFrame] | None = None  # adds columns the predicate reads
     drop_after: Sequence[str] = field(default_factory=tuple)
 
+    @property
+    def predicate(self) -> Column:
+        return self.build() if callable(self.build) else self.build
+
     def vote(self) -> Column:
         return F.when(self.predicate, F.lit(self.label)).otherwise(F.lit(None).cast("string"))
 
@@ -41,13 +49,14 @@ class LF:
 def keyword_lf(name: str, label: str, words: Sequence[str], text: str = "text",
                literal: bool = True) -> LF:
     """Whole-word, any-case keyword rule (one alternation, one regex pass)."""
-    return LF(name, label, tx.has_keyword(text, words, literal),
+    words = list(words)
+    return LF(name, label, lambda: tx.has_keyword(text, words, literal),
               f"regexp_matches({text}, '{tx.keyword_regex_sql(words, literal)}')")
 
 
 def regex_lf(name: str, label: str, pattern: str, text: str = "text", sql_pattern: str | None = None) -> LF:
     """Regular-expression rule (Java syntax; give ``sql_pattern`` when RE2 differs)."""
-    return LF(name, label, F.col(text).rlike(pattern),
+    return LF(name, label, lambda: F.col(text).rlike(pattern),
               f"regexp_matches({text}, '{sql_pattern or pattern}')")
 
 
@@ -60,11 +69,11 @@ def score_lf(name: str, label: str, score_col: str, op: str, threshold: float) -
     """Rule on a score from an auxiliary model, e.g. ``sentiment < -0.5 -> complaint``."""
     ops = {"<": lambda c: c < threshold, "<=": lambda c: c <= threshold,
            ">": lambda c: c > threshold, ">=": lambda c: c >= threshold}
-    return LF(name, label, ops[op](F.col(score_col)), f"{score_col} {op} {threshold}")
+    return LF(name, label, lambda: ops[op](F.col(score_col)), f"{score_col} {op} {threshold}")
 
 
-def column_lf(name: str, label: str, predicate: Column, sql: str | None = None) -> LF:
-    """Any user predicate written as a Spark column."""
+def column_lf(name: str, label: str, predicate: Column | Callable[[], Column], sql: str | None = None) -> LF:
+    """Any user predicate written as a Spark column (or a function returning one)."""
     return LF(name, label, predicate, sql)
 
 
@@ -77,7 +86,7 @@ def pandas_lf(name: str, label: str, fn: Callable, text: str = "text") -> LF:
     def _hit(s: pd.Series) -> pd.Series:
         return s.map(lambda v: bool(fn(v)) if v is not None else False)
 
-    return LF(name, label, _hit(F.col(text)))
+    return LF(name, label, lambda: _hit(F.col(text)))
 
 
 def kb_lf(name: str, label: str, kb: DataFrame, term_col: str = "term", text: str = "text",
@@ -94,7 +103,7 @@ def kb_lf(name: str, label: str, kb: DataFrame, term_col: str = "term", text: st
         return df.join(kb_hits(df, kb, term_col, text, id_col, max_terms).withColumn(hit, F.lit(True)),
                        id_col, "left")
 
-    return LF(name, label, F.coalesce(F.col(hit), F.lit(False)), prepare=prepare, drop_after=(hit,))
+    return LF(name, label, lambda: F.coalesce(F.col(hit), F.lit(False)), prepare=prepare, drop_after=(hit,))
 
 
 def kb_hits(df: DataFrame, kb: DataFrame, term_col: str = "term", text: str = "text",

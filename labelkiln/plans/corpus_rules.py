@@ -25,7 +25,7 @@ def document_rules() -> list[R.LF]:
         R.keyword_lf("lf_toxic", "toxic", TOXIC_WORDS),
         R.regex_lf("lf_decor", "low_quality", DECORATION),
         R.regex_lf("lf_shout", "low_quality", SHOUTING),
-        R.column_lf("lf_short", "low_quality", F.col("n_chars") < SHORT_CHARS, f"n_chars < {SHORT_CHARS}"),
+        R.column_lf("lf_short", "low_quality", lambda: F.col("n_chars") < SHORT_CHARS, f"n_chars < {SHORT_CHARS}"),
         R.negative_lf("lf_boilerplate", BOILERPLATE_WORDS),
     ]
 
