@@ -36,7 +36,9 @@ def positive_pairs(df: DataFrame, per_anchor: int = 1, label: str = "label", id_
     p = positions(df, label, id_col, seed)
     a = p.select(F.col(id_col).alias("a"), label, "pos", "n",
                  F.explode(F.sequence(F.lit(1), F.least(F.lit(per_anchor), F.col("n") - 1))).alias("j"))
-    a = a.filter(F.col("j") >= 1).withColumn("ppos", F.pmod(F.col("pos") + F.col("j"), F.col("n")))
+    # Spark's sequence(1, 0) counts down, so bound j explicitly: labels of one row have no pair
+    a = a.filter((F.col("j") >= 1) & (F.col("j") <= F.col("n") - 1))
+    a = a.withColumn("ppos", F.pmod(F.col("pos") + F.col("j"), F.col("n")))
     b = p.select(F.col(id_col).alias("b"), F.col(label).alias("__l"), F.col("pos").alias("ppos"))
     j = a.join(b, (a[label] == b["__l"]) & (a["ppos"] == b["ppos"]))
     return (j.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), label)
@@ -50,7 +52,8 @@ def negative_pairs(df: DataFrame, per_anchor: int = 1, label: str = "label", id_
     p = positions(df, label, id_col, seed)
     a = p.select(F.col(id_col).alias("anchor"), F.col(label).alias("anchor_label"), "pos", "li", "n_labels",
                  F.explode(F.sequence(F.lit(1), F.least(F.lit(per_anchor), F.col("n_labels") - 1))).alias("j"))
-    a = a.filter(F.col("j") >= 1).withColumn("nli", F.pmod(F.col("li") + F.col("j"), F.col("n_labels")))
+    a = a.filter((F.col("j") >= 1) & (F.col("j") <= F.col("n_labels") - 1))
+    a = a.withColumn("nli", F.pmod(F.col("li") + F.col("j"), F.col("n_labels")))
     sizes = p.select(F.col("li").alias("nli"), F.col("n").alias("nn"), F.col(label).alias("negative_label")
                      ).distinct()
     a = a.join(F.broadcast(sizes), "nli").withColumn("npos", F.pmod(F.col("pos"), F.col("nn")))
@@ -66,7 +69,7 @@ def triplets(df: DataFrame, per_anchor: int = 1, label: str = "label", id_col: s
     a = p.select(F.col(id_col).alias("anchor"), label, "pos", "n", "li", "n_labels",
                  F.explode(F.sequence(F.lit(1), F.least(F.lit(per_anchor), F.col("n") - 1,
                                                          F.col("n_labels") - 1))).alias("j"))
-    a = a.filter(F.col("j") >= 1)
+    a = a.filter((F.col("j") >= 1) & (F.col("j") <= F.col("n") - 1) & (F.col("j") <= F.col("n_labels") - 1))
     a = (a.withColumn("ppos", F.pmod(F.col("pos") + F.col("j"), F.col("n")))
          .withColumn("nli", F.pmod(F.col("li") + F.col("j"), F.col("n_labels"))))
     sizes = p.select(F.col("li").alias("nli"), F.col("n").alias("nn")).distinct()

@@ -95,7 +95,7 @@ def label_matrix(spark, sf):
 def label_model(spark, sf):
     """Dawid-Skene EM over vote patterns (3 classes); prediction per document, all-abstain
     rows stay unlabelled.  Iterative fit: checked by tests on planted votes, not by SQL."""
-    v = _votes(spark, sf)
+    v = _votes(spark, sf).persist()  # narrow (id + votes): rules run once for fit and predict
     m = LM.fit_em(v, _LFS, CLASSES, max_iter=100)
     p = LM.predict_em(v, m, tie_break="abstain")
     return p.select("id", "pred", F.round("confidence", 6).alias("confidence"))
