@@ -311,20 +311,16 @@ def separation(pairs: DataFrame, a_vec: str = "a_vec", b_vec: str = "b_vec", sam
 
 def hashed_embedding(df: DataFrame, text: str = "text", dim: int = 64, out: str = "vec",
                      seed: int = 42) -> DataFrame:
-    """K1 default (offline, no model): signed hashed bag of words, L2-normalized.  Built-in
-    expressions only: tokens -> (bucket, sign) by hash -> per-row sum via ``aggregate``."""
-    toks = tx.words(text)
-
-    def add(acc, t):
-        h = F.xxhash64(t, F.lit(seed))
-        b = F.pmod(h, F.lit(dim)).cast("int")
-        sgn = F.when(F.pmod(F.shiftright(h, 32), F.lit(2)) == 0, 1.0).otherwise(-1.0)
-        return F.transform(acc, lambda v, i: F.when(i == b, v + sgn).otherwise(v))
-
-    raw = F.aggregate(toks, F.array_repeat(F.lit(0.0), dim), add)
-    nrm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda a, x: a + x * x))
-    vec = F.when(nrm > 0, F.transform(raw, lambda x: x / nrm)).otherwise(raw)
-    return df.withColumn(out, vec.cast("array<float>"))
+    """K1 default (offline, no model): hashed bag of words (``HashingTF``, murmur3 buckets) of the
+    lower-cased word tokens, L2-normalized, as ``array<float>``.  JVM-side ``pyspark.ml``
+    transformers, linear in the number of tokens."""
+    from pyspark.ml.feature import HashingTF, Normalizer
+    from pyspark.ml.functions import vector_to_array
+
+    d = df.withColumn("__tok", F.coalesce(tx.words(text), F.array().cast("array<string>")))
+    d = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim).transform(d)
+    d = Normalizer(inputCol="__tf", outputCol="__n", p=2.0).transform(d)
+    return d.withColumn(out, vector_to_array("__n", "float32")).drop("__tok", "__tf", "__n")
 
 
 def embed(df: DataFrame, encoder: Callable[[list], np.ndarray] | None = None, text: str = "text",

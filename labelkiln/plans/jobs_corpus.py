@@ -227,3 +227,32 @@ def normalize_corpus(spark, sf):
     return (raw.select(F.col("doc_id").alias("id"), "text", out.alias("relevance"), F.col("lang").alias("label"))
             .transform(lambda x: x.withColumn("label", F.when(F.trim("label") == "", None)
                                               .otherwise(F.trim("label")))))
+
+
+def _scratch(spark, name):
+    import os
+    import uuid
+
+    from labelkiln.session import checkpoint_dir
+    return os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+@job("csv_roundtrip", f"SELECT id, text, relevance, label FROM {CS}")
+def csv_roundtrip(spark, sf):
+    """A1 + A3: write the corpus as CSV with a header (no index column), read it back with an
+    explicit schema (quoted multi-line texts survive)."""
+    from labelkiln.sources.corpus import CORPUS_SCHEMA, read_corpus, write_corpus
+    c = corpus_from_tables(spark, sf).select("id", "text", "relevance", "label")
+    path = _scratch(spark, "corpus_csv")
+    write_corpus(c, path, "csv")
+    return read_corpus(spark, path, CORPUS_SCHEMA, "csv")
+
+
+@job("json_roundtrip", f"SELECT id, text, label FROM {CS} WHERE label IS NOT NULL")
+def json_roundtrip(spark, sf):
+    """A4: export the labelled set as JSON lines and import it again with a schema."""
+    from labelkiln.sources.corpus import export_json, read_json
+    c = C.labelled(corpus_from_tables(spark, sf)).select("id", "text", "label")
+    path = _scratch(spark, "labelled_json")
+    export_json(c, path)
+    return read_json(spark, path, "id bigint, text string, label string")

@@ -285,3 +285,24 @@ def softmax_sigmoid(spark, sf):
     probs, _ = _probs(spark, sf)
     return probs.select("id", r6(F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)).alias("prob_sum"),
                         r6(V.sigmoid(F.array_max("probs"))).alias("sigmoid_max"))
+
+
+def _doc_vectors(spark, sf):
+    from labelkiln.sources.corpus import corpus_from_tables
+    return VO.embed(corpus_from_tables(spark, sf), text="text", out="vec", dim=64)
+
+
+@job("embed")
+def embed(spark, sf):
+    """K1: text -> vector for the whole documents table (built-in hashed bag of words; a supplied
+    encoder runs through the same call on Arrow batches)."""
+    v = _doc_vectors(spark, sf)
+    return v.select("id", F.size("vec").alias("dim"), r6(V.norm("vec")).alias("norm"))
+
+
+@job("prototype_label_docs")
+def prototype_label_docs(spark, sf):
+    """K2 end to end on documents: embed -> prototypes of labelled docs -> nearest for the rest ->
+    inclusive threshold 0.5 -> write back (relevance 1)."""
+    v = _doc_vectors(spark, sf).select("id", "vec", "label", "relevance")
+    return VO.prototype_label(v, 0.5).select("id", "label", "relevance")
