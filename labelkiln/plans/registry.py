@@ -32,5 +32,5 @@ def job(name: str, sql: str | None = None) -> Callable[[Job], Job]:
 def load_all() -> None:
     """Import every module that registers jobs."""
     from labelkiln.plans import (  # noqa: F401
-        jobs_balance, jobs_corpus, jobs_labelmodel, jobs_learn, jobs_rules, jobs_vector, jobs_stream,
+        jobs_balance, jobs_corpus, jobs_labelmodel, jobs_learn, jobs_more, jobs_rules, jobs_vector, jobs_stream,
     )
