@@ -106,7 +106,7 @@ def not_identical(a: str | Column, b: str | Column) -> Column:
 def percent_text(score: str | Column, digits: int = 2) -> Column:
     """Confidence as percent text, e.g. ``87.25%`` (no thousands separators).  The percent is
     rounded half-up in decimal arithmetic, so the text does not depend on binary floating point."""
-    pct = F.round((_c(score) * 100).cast("decimal(20,8)"), digits)
+    pct = F.round((_c(score) * 100).cast("decimal(20,8)"), digits).cast("double")
     return F.format_string(f"%.{digits}f%%", pct)
 
 
