@@ -64,9 +64,7 @@ def rebalance(df: DataFrame, label: str = "label", target: int = 100, seed: int
     Row ``i`` of the output for a class of size ``n`` is the row at position ``i mod n``; copies are
     produced by ``explode(sequence)`` per row, so nothing is collected per class."""
     src = df.filter(F.col(label).isNotNull())
-    r = rank_within(src, [label], hash_order(id_col, seed), out="__p")
-    n = src.groupBy(label).agg(F.count("*").alias("__n"))
-    r = r.join(F.broadcast(n), label)  # one row per class
+    r = rank_within(src, [label], hash_order(id_col, seed), out="__p", size_col="__n")
     copies = F.ceil(F.lit(target) / F.col("__n")).cast("int")
     r = r.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
     return r.filter(F.col("copy") * F.col("__n") + F.col("__p") < target).drop("__p", "__n")

@@ -45,16 +45,19 @@ def hash_unit_sql(*parts: str, seed: int | str = 42) -> str:
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], order_key: Column, out: str = "pos",
-                prefix_digits: int = 3) -> DataFrame:
+                prefix_digits: int = 3, size_col: str | None = None) -> DataFrame:
     """Exact 0-based rank of each row inside ``keys`` ordered by ``order_key`` (an md5 hex string from
-    :func:`hash_order`).  Hot groups are split into ``16**prefix_digits`` hash-prefix buckets."""
+    :func:`hash_order`).  Hot groups are split into ``16**prefix_digits`` hash-prefix buckets.
+    With ``size_col`` the group size is added too, taken from the same small bucket-count table (no
+    extra pass over the input)."""
     keys = list(keys)
     d = df.withColumn("__h", order_key).withColumn("__b", F.substring("__h", 1, prefix_digits))
     inner = Window.partitionBy(*keys, "__b").orderBy("__h")
     d = d.withColumn("__r", F.row_number().over(inner) - 1)
     counts = d.groupBy(*keys, "__b").agg(F.count("*").alias("__n"))
     w = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    extra = [F.sum("__n").over(Window.partitionBy(*keys)).cast("bigint").alias(size_col)] if size_col else []
+    offs = counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"), *extra)
     return (d.join(offs, [*keys, "__b"], "inner")
             .withColumn(out, (F.col("__off") + F.col("__r")).cast("bigint"))
             .drop("__h", "__b", "__r", "__off"))
@@ -136,10 +139,8 @@ def stratified_split(df: DataFrame, label: str = "label", frac: float = 0.2, see
                      id_col: str = "id", out: str = "split") -> DataFrame:
     """E5: exact stratified split: the first ``round(frac * n_label)`` rows of each class in seeded
     hash order are ``test``, the rest ``train``.  Skew-safe (see :func:`rank_within`)."""
-    r = rank_within(df, [label], hash_order(id_col, seed), out="__pos")
-    n = group_sizes(df, [label], "__n")
-    return (r.join(n, label)
-            .withColumn(out, F.when(F.col("__pos") < F.round(F.col("__n") * frac), "test").otherwise("train"))
+    r = rank_within(df, [label], hash_order(id_col, seed), out="__pos", size_col="__n")
+    return (r.withColumn(out, F.when(F.col("__pos") < F.round(F.col("__n") * frac), "test").otherwise("train"))
             .drop("__pos", "__n"))
 
 
