@@ -149,3 +149,13 @@ def test_active_learning_grows_by_batch(spark):
     n0 = lab0.count()
     lab, pool = L.active_learn(lab0, C.unlabelled(e), expert, 5, 2)
     assert lab.count() == n0 + 10 and lab.join(pool, "id").count() == 0
+
+
+def test_eda_synonym_paths_agree(spark):
+    from labelkiln.operators.balance import eda_synonym
+    df = spark.createDataFrame([(1, "Red lipstick and red gloss"), (2, "blue mascara"), (3, "")],
+                               "id bigint, text string")
+    syn = spark.createDataFrame([("red", "crimson"), ("gloss", "shine"), ("blue", "navy")], "word string, synonym string")
+    a = {r.id: r.augmented for r in eda_synonym(df, syn, p=0.9, seed=3).collect()}
+    b = {r.id: r.augmented for r in eda_synonym(df, syn, p=0.9, seed=3, max_map_entries=0).collect()}
+    assert a[1] == b[1] and a[2] == b[2]
