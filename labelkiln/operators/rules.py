@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,14 +80,20 @@ def column_lf(name: str, label: str, predicate: Column | Callable[[], Column], s
 
 def pandas_lf(name: str, label: str, fn: Callable, text: str = "text") -> LF:
     """N1 slow path: Python-only logic as an Arrow-batched ``pandas_udf`` returning booleans."""
-    import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("boolean")
     def _hit(s: pd.Series) -> pd.Series:
         return s.map(lambda v: bool(fn(v)) if v is not None else False)
 
-    return LF(name, label, lambda: _hit(F.col(text)))
+    def build() -> Column:
+        from pyspark.sql import SparkSession
+
+        from labelkiln.session import ship_package
+        ship_package(SparkSession.active())
+        return _hit(F.col(text))
+
+    return LF(name, label, build)
 
 
 def kb_lf(name: str, label: str, kb: DataFrame, term_col: str = "term", text: str = "text",

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from labelkiln.functions import text as tx
 from labelkiln.functions import vector as V
+from labelkiln.session import ship_package
 
 MAX_BROADCAST_VALUES = 50_000_000  # ~400 MB of doubles per block
 
@@ -72,6 +73,7 @@ def _unit_rows(batch: pd.Series) -> np.ndarray:
 
 def _score_blocks(df: DataFrame, protos: DataFrame, vec: str, id_col: str, label: str, proto_vec: str,
                   k: int, max_values: int, score: str, out_label: str, keep: Sequence[str]) -> DataFrame:
+    ship_package(df.sparkSession)
     labels, mat = _matrix(protos, label, proto_vec)
     if not labels:
         raise ValueError("no prototypes")
@@ -129,6 +131,7 @@ def score_matrix(df: DataFrame, protos: DataFrame, vec: str = "vec", id_col: str
                  keep: Sequence[str] = ()) -> DataFrame:
     """Cosine to every prototype as one ``array<double>`` per row, in sorted label order (the order
     of :func:`prototype_labels`).  For probability and uncertainty steps; prototypes are bounded."""
+    ship_package(df.sparkSession)
     labels, mat = _matrix(protos, label, proto_vec)
     bc = df.sparkSession.sparkContext.broadcast(mat)
     keep = [c for c in keep if c not in (id_col, vec)]
@@ -192,6 +195,7 @@ def semantic_search(queries: DataFrame, corpus: DataFrame, k: int = 5, vec: str
     co-grouped Pandas task, and the per-block winners (at most k per query and block) are reduced by
     key.  Exact, with work split evenly however the ids are distributed.
     """
+    ship_package(queries.sparkSession)
     c = corpus.select(F.col(corpus_id).alias("__cid"), F.col(corpus_vec).alias("__cvec"))
     n_c = c.count()
     if n_c <= max_broadcast_rows:
@@ -330,6 +334,7 @@ def embed(df: DataFrame, encoder: Callable[[list], np.ndarray] | None = None, te
     ``batch_size`` rows inside ``mapInPandas``.  Without an encoder, :func:`hashed_embedding`."""
     if encoder is None:
         return hashed_embedding(df, text, dim, out)
+    ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
 
     def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

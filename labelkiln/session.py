@@ -60,3 +60,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``labelkiln`` importable in Python workers (``mapInPandas`` / Pandas UDF steps) by
+    shipping it once per application with ``addPyFile``, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+
+    import labelkiln
+    pkg = os.path.dirname(os.path.abspath(labelkiln.__file__))
+    out = tempfile.mkdtemp(prefix="labelkiln-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "labelkiln"), "zip", root_dir=os.path.dirname(pkg),
+                                  base_dir="labelkiln")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

@@ -159,3 +159,10 @@ def test_softmax_sums_to_one(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0],)], "x array<double>")
     s = df.select(V.softmax("x").alias("p")).first().p
     assert math.isclose(sum(s), 1.0) and s[2] > s[1] > s[0]
+
+
+def test_pandas_lf_slow_path(spark):
+    df = spark.createDataFrame(TEXTS, SCHEMA)
+    lf = R.pandas_lf("lf_py", "car", lambda t: "samochód" in t)
+    out = {r.id: r.lf_py for r in R.apply_lfs(df, [lf]).collect()}
+    assert out[7] == "car" and out[0] is None
