@@ -60,6 +60,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def salted_join(left: DataFrame, key: list[str], right: DataFrame, spread: str, how: str = "inner") -> DataFrame:
+    """``left`` joined with the one row of ``right`` per ``key``, whatever the share of a key in ``left``.
+
+    Rows of ``left`` are spread by a salt from column ``spread``; ``right`` is first brought to the (key, salt) cells
+    that occur, of which a key has at most as many as there are salts.
+    """
+    n = partitions(left.sparkSession)
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(n)).cast("int"))
+    cells = salted.groupBy(*key, "_salt").agg(F.lit(1).alias("_one")).drop("_one").join(right, key)
+    return salted.join(cells, [*key, "_salt"], how).drop("_salt")
+
+
 def upper_splitters(df: DataFrame, key: str, blocks: int) -> list[int]:
     """Up to ``blocks`` distinct ascending values of the non-null long column ``key``; the last one is
     its maximum.  One small aggregate; the driver gets ``blocks`` numbers."""

@@ -28,8 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import LOWEST, STRIPE_SCHEMA, partitions, stored, striped, summed
-from labelkiln.llm.near_dedup import similar, word_hashes
+from labelkiln.llm.common import LOWEST, STRIPE_SCHEMA, partitions, salted_join, stored, striped, summed
+from labelkiln.llm.sets import similar, word_hashes
 from labelkiln.session import ship_package
 
 PERCENT = 80
@@ -88,21 +88,23 @@ def rarity(classes: DataFrame, bits: int = COUNTERS) -> np.ndarray:
     return summed(classes.select("set").mapInPandas(count, STRIPE_SCHEMA), (1 << bits,))
 
 
-def similar_earlier(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``cls`` of the classes that have a similar class with an earlier first place (``place``)."""
-    spark = classes.sparkSession
+def prefix_pairs(sets: DataFrame, percent: int, bits: int = COUNTERS) -> DataFrame:
+    """Candidate pairs ``a < b`` of ``cls, set, comp`` that are in different ``comp``: they share a word of both
+    prefixes and pass the length and positional filters.  Every pair of similar sets is among them.
+
+    A word's classes are cut into tiles of one size step, and, where a ``comp`` is large, into those of the ``comp`` of
+    the first class (side 0, no pairs among themselves) and the others (side 1).
+    """
+    spark = sets.sparkSession
     n = partitions(spark)
-    counts = rarity(classes)
-    shared = spark.sparkContext.broadcast(np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32))
-    bits = COUNTERS
+    counts = np.minimum(rarity(sets, bits), np.iinfo(np.int32).max).astype(np.int32)
+    shared = spark.sparkContext.broadcast(counts)  # 4 * 2**bits bytes, whatever the input
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = shared.value
         for b in batches:
-            if not len(b):
-                continue
-            for lo in range(0, len(b), 1024):
-                some = b.iloc[lo : lo + 1024]
+            for lo in range(0, len(b), 512):
+                some = b.iloc[lo : lo + 512]
                 lens = np.array([len(s) // 8 for s in some["set"]])
                 words = np.frombuffer(b"".join(some["set"]), np.uint64)
                 row = np.repeat(np.arange(len(some)), lens)
@@ -113,44 +115,52 @@ def similar_earlier(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
                 take = (pos < reach) & (freq[order] > 1)
                 at = row[order][take]
                 yield pd.DataFrame({"word": words[order][take].view(np.int64), "cls": some["cls"].to_numpy()[at],
-                                    "size": lens[at], "pos": pos[take]})
+                                    "size": lens[at], "pos": pos[take], "comp": some["comp"].to_numpy()[at]})
 
-    pre = stored(classes.select("cls", "set").mapInPandas(prefixes, "word long, cls binary, size int, pos int"), "prefixes")
+    pre = sets.select("cls", "set", "comp").mapInPandas(prefixes, "word long, cls binary, size int, pos int, comp binary")
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    pre = pre.withColumn("step", step).withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(n)).cast("int"))
-    # a word of one class only (in its step or a touching one) meets nobody; drop it before the lists move
-    cell = pre.groupBy("word", "step", "salt").agg(F.count("*").alias("rows"))
-    per = cell.groupBy("word", "step").agg(F.sum("rows").alias("rows"))
-    other = lambda d, name: per.select("word", (F.col("step") + d).alias("step"), F.col("rows").alias(name))
-    near = (per.join(other(-1, "above"), ["word", "step"], "left").join(other(1, "below"), ["word", "step"], "left")
-            .filter("rows > 1 OR above > 0 OR below > 0"))
-    live = pre.join(cell.select("word", "step", "salt").join(near, ["word", "step"]), ["word", "step", "salt"])
-    tiles = lambda c: F.ceil(F.coalesce(F.col(c), F.lit(0)) / TILE).cast("int")
-    part = F.pmod(F.xxhash64("cls", "word"), tiles("rows")).cast("int")
-    live = live.withColumn("p", part)
-    meet = lambda s1, p1, s2, p2, side: F.struct(
-        s1.alias("s1"), p1.cast("int").alias("p1"), s2.alias("s2"), p2.cast("int").alias("p2"), F.lit(side).alias("side"))
-    s, p = F.col("step"), F.col("p")
-    own = F.transform(F.sequence(F.lit(0), tiles("rows") - 1), lambda q: meet(s, F.least(p, q), s, F.greatest(p, q), 0))
-    own = F.when(F.col("rows") > 1, own).otherwise(F.slice(own, 1, 0))
-    up = F.when(F.col("above") > 0, F.transform(F.sequence(F.lit(0), F.greatest(tiles("above"), F.lit(1)) - 1),
-                                                lambda q: meet(s, p, s + 1, q, 1))).otherwise(F.slice(own, 1, 0))
-    down = F.when(F.col("below") > 0, F.transform(F.sequence(F.lit(0), F.greatest(tiles("below"), F.lit(1)) - 1),
-                                                  lambda q: meet(s - 1, q, s, p, 2))).otherwise(F.slice(own, 1, 0))
-    dealt = live.withColumn("m", F.explode(F.concat(own, up, down))).select(
-        "word", "m.s1", "m.p1", "m.s2", "m.p2", "m.side", "cls", "size", "pos")
-
-    key = ["word", "s1", "p1", "s2", "p2"]
-    x = dealt.select(*key, F.col("side").alias("side_x"), F.col("cls").alias("a"), F.col("size").alias("nx"),
-                     F.col("pos").alias("px"))
-    y = dealt.select(*key, F.col("side").alias("side_y"), F.col("cls").alias("b"), F.col("size").alias("ny"),
-                     F.col("pos").alias("py"))
+    pre = stored(pre.withColumn("step", step), "prefixes")
+    # a word of one component only meets nobody; most words are dropped here, before lists move
+    salt = F.pmod(F.xxhash64("cls"), F.lit(n)).cast("int")
+    cell = pre.withColumn("salt", salt).groupBy("word", "salt").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("cls", "comp")).alias("first"))
+    words = (cell.groupBy("word").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"))
+             .filter("lo <> hi").select("word", F.col("first.comp").alias("main")))
+    live = salted_join(pre, ["word"], words, "cls").withColumn(
+        "side", F.when(F.col("comp") == F.col("main"), 0).otherwise(1)).drop("main")
+    live = stored(live, "live-prefixes")
+    group = ["word", "side", "step"]
+    tiles = live.groupBy(*group).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    other = tiles.select("word", F.col("side").alias("side2"), F.col("step").alias("step2"), F.col("tiles").alias("tiles2"))
+    plan = (tiles.join(other, "word")
+            .filter((F.col("side") + F.col("side2") > 0) & (F.abs(F.col("step") - F.col("step2")) <= 1))
+            .groupBy(*group, "tiles").agg(F.collect_list(F.struct("side2", "step2", "tiles2")).alias("with")))
+    placed = salted_join(live, group, plan, "cls").withColumn(
+        "tile", F.pmod(F.xxhash64("cls", "word"), F.col("tiles")).cast("int"))
+    me = F.struct("side", "step", "tile")
+    meetings = F.flatten(F.transform("with", lambda w: F.transform(
+        F.sequence(F.lit(0), w["tiles2"] - 1),
+        lambda t: F.struct(w["side2"].alias("side"), w["step2"].alias("step"), t.cast("int").alias("tile")))))
+    dealt = placed.withColumn("other", F.explode(meetings)).select(
+        "word", F.least(me, F.col("other")).alias("m1"), F.greatest(me, F.col("other")).alias("m2"), me.alias("me"),
+        "cls", "size", "pos", "comp")
+    key = ["word", "m1", "m2"]
+    part = lambda x, c: dealt.select(*key, F.col("me").alias(f"me_{x}"), F.col("cls").alias(c), F.col("size").alias(f"n_{x}"),
+                                     F.col("pos").alias(f"p_{x}"), F.col("comp").alias(f"c_{x}"))
     # the overlap that is needed, and the most that is possible from these positions on
-    need = F.ceil((F.col("nx") + F.col("ny")) * percent / F.lit(100 + percent))
-    most = 1 + F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) - 1
-    sides = (F.col("side_x") == 0) & (F.col("a") < F.col("b")) | (F.col("side_x") < F.col("side_y"))
-    fits = F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent
-    pairs = x.join(y, key).filter(sides & fits & (most >= need)).select("a", "b").distinct()
+    need = F.ceil((F.col("n_x") + F.col("n_y")) * percent / F.lit(100 + percent))
+    most = F.least(F.col("n_x") - F.col("p_x"), F.col("n_y") - F.col("p_y"))
+    once = ((F.col("m1") == F.col("m2")) & (F.col("a") < F.col("b"))) | (F.col("me_x") < F.col("me_y"))
+    fits = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
+    pairs = part("x", "a").join(part("y", "b"), key).filter(
+        once & fits & (most >= need) & (F.col("c_x") != F.col("c_y")))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def similar_earlier(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``cls`` of the classes that have a similar class with an earlier first place (``place``)."""
+    n = partitions(classes.sparkSession)
+    pairs = stored(prefix_pairs(classes.withColumn("comp", F.col("cls")), percent), "line-pairs")
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(n)).cast("int"))
     right = salted.select("b", "salt").distinct().join(
         classes.select(F.col("cls").alias("b"), F.col("set").alias("set_b"), F.col("place").alias("place_b")), "b")

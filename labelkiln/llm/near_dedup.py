@@ -9,8 +9,8 @@
 3. Every member of a bucket is compared with the bucket's smallest node: by set size, by signature (a pair at
    0.8 falls under ``AGREE`` with probability below 1e-9) and then on full sets.  Members that are linked with it,
    directly or by way of others, are one component and need no pairs among themselves.  What is left, buckets
-   whose members are in several components, is compared across components in tiles.  No bucket is cut or
-   sampled.
+   whose members are in several components, is joined across components on the rare end of the full sets,
+   which is exact.  No bucket is cut or sampled.
 4. Links are merged by label propagation with pointer jumping; each round is written to the shared folder.
 
 Hot buckets go through salted cells, so no task holds a whole bucket.
@@ -27,75 +27,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import partitions, stored
+from labelkiln.llm.common import partitions, salted_join, stored
+from labelkiln.llm.line_dedup import prefix_pairs
+from labelkiln.llm.sets import mix, shingle_set, similar, word_hashes
 from labelkiln.session import ship_package
 
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
 WORDS, PERCENT = 5, 80
-#: Members of a bucket that one task compares with as many others.
-TILE = 256
 #: Signature agreement under which a pair is not looked at: seven standard deviations under 0.8.
 AGREE = 0.57
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U32 = np.uint64(0xFFFFFFFF)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """64-bit finalizer (splitmix64)."""
-    x = x.copy()
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
-
-
-_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_P = 0x9E3779B97F4A7C15 | 1
-
-
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, np.uint64(base), np.uint64)
-    out[:1] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(out)
-
-
-def word_hashes(text: str | None) -> np.ndarray:
-    """One 64-bit hash per word of the ASCII lower-cased text, in order."""
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
-    if not len(raw):
-        return np.zeros(0, np.uint64)
-    inside = ~((raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D)))
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    # polynomial over the bytes of a word; sums of the whole text, so powers are undone by the inverse
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[raw] * _powers(len(raw), _P), out=sums[1:])
-        undo = _powers(len(raw), pow(_P, -1, 1 << 64))
-        return _mix((sums[end] - sums[start]) * undo[start] + (end - start).astype(np.uint64))
-
-
-def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
-    """Sorted distinct shingles; fewer words than ``width`` are one shingle."""
-    if not len(words):
-        return words
-    with np.errstate(over="ignore"):
-        n = max(1, len(words) - width + 1)
-        h = np.full(n, np.uint64(min(len(words), width)), np.uint64)
-        for j in range(min(len(words), width)):
-            h = _mix(h * np.uint64(0x100000001B3) + words[j : j + n])
-    return np.unique(h)
-
-
 def sequence_key(words: np.ndarray) -> bytes:
     """128 bits that stand for the word sequence."""
     return hashlib.blake2b(words.tobytes(), digest_size=16).digest()
@@ -128,11 +76,11 @@ def _throw(sig: np.ndarray, todo: list[tuple[int, np.ndarray]]) -> None:
         for k in range(m):
             if not len(at):
                 return
-            h = _mix(elem[at] + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15))
+            h = mix(elem[at] + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15))
             j = k + (((h >> np.uint64(32)) * np.uint64(m - k)) >> np.uint64(32)).astype(np.int64)
             reg = perm[at, j].astype(np.int64)
             perm[at, j] = perm[at, k]
-            np.minimum.at(flat, doc[at] * m + reg, (np.uint64(k) << np.uint64(32)) | (_mix(h) & _U32))
+            np.minimum.at(flat, doc[at] * m + reg, (np.uint64(k) << np.uint64(32)) | (mix(h) & _U32))
             # early stop: the next rank is at least k + 1
             worst = sig.max(axis=1)
             at = at[(worst >> np.uint64(32))[doc[at]] > np.uint64(k)]
@@ -143,23 +91,10 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     with np.errstate(over="ignore"):
         out = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(sig), 1))
         for r in range(rows):
-            out = _mix(out * np.uint64(0x100000001B3) + sig[:, r * bands : (r + 1) * bands])
+            out = mix(out * np.uint64(0x100000001B3) + sig[:, r * bands : (r + 1) * bands])
     return out
 
 
-def _intersections(a: np.ndarray, b: np.ndarray) -> int:
-    return len(np.intersect1d(a, b, assume_unique=True))
-
-
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Exact: 100 |A n B| >= percent |A u B|."""
-    small, large = sorted((len(a), len(b)))
-    if not small or 100 * small < percent * large:
-        return False
-    both = _intersections(a, b)
-    return 100 * both >= percent * (len(a) + len(b) - both)
-
-
 def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
@@ -197,14 +132,9 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``(a, b)`` of ``pairs`` whose full sets are similar.
-
-    A hot ``b`` is met in salted cells: its set is repeated once for each salt that its pairs use.
-    """
-    n = partitions(pairs.sparkSession)
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(n)).cast("int"))
-    cells = salted.select("b", "salt").distinct().join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    left = salted.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
+    """The ``(a, b)`` of ``pairs`` whose full sets are similar.  ``b`` may be hot."""
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
+    both = salted_join(left, ["b"], sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "a")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
@@ -212,25 +142,23 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                   for p, q in zip(x["set_a"], x["set_b"], strict=True)]
             yield x.loc[ok, ["a", "b"]]
 
-    return left.join(cells, ["b", "salt"]).select("a", "b", "set_a", "set_b").mapInPandas(check, "a binary, b binary")
+    return both.select("a", "b", "set_a", "set_b").mapInPandas(check, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, comp`` for every node with a link: each node takes the smallest label around it, then the
-    label of its label, until nothing changes.  The number of rounds is logarithmic for long chains."""
+    """``node, comp`` for every node with a link: each node takes the smallest label around it, and the old label
+    learns of the lower one as well, until nothing changes (hook and jump: few rounds for long chains)."""
     both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
                   .distinct(), "links")
     comp = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                   .select("node", F.least("node", "m").alias("comp")), "comp")
     while True:
-        around = (both.join(comp, both["b"] == comp["node"]).groupBy(F.col("a").alias("node"))
-                  .agg(F.min("comp").alias("around")))
+        around = salted_join(both, ["b"], comp.select(F.col("node").alias("b"), "comp"), "a").groupBy(
+            F.col("a").alias("node")).agg(F.min("comp").alias("around"))
         low = comp.join(around, "node").select("node", "comp", F.least("comp", "around").alias("low"))
-        # hook: the old label learns of the lower one as well
-        hook = low.filter("low < comp").groupBy(F.col("comp").alias("root")).agg(F.min("low").alias("to"))
-        hooked = low.join(hook, low["low"] == hook["root"], "left").select(
-            "node", "comp", F.coalesce("to", "low").alias("low"))
-        nxt = stored(hooked, "comp")
+        hook = low.filter("low < comp").groupBy(F.col("comp").alias("low")).agg(F.min("low").alias("to"))
+        nxt = stored(salted_join(low, ["low"], hook, "node", "left").select(
+            "node", "comp", F.coalesce("to", "low").alias("low")), "comp")
         if nxt.filter("low <> comp").isEmpty():
             return nxt.select("node", "comp")
         comp = nxt.select("node", F.col("low").alias("comp"))
@@ -242,40 +170,40 @@ def _cells(members: DataFrame, n: int) -> DataFrame:
 
 def near_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """Verified links ``a, b`` between nodes (word sequences) that connect every component."""
-    spark = docs.sparkSession
-    n = partitions(spark)
+    n = partitions(docs.sparkSession)
     nodes = stored(sig.filter("n_shingles > 0").groupBy(F.col("seq").alias("node")).agg(
-        F.first("n_shingles").alias("size"), F.min("doc_id").alias("doc_id"),
+        F.first("n_shingles").cast("int").alias("size"), F.min("doc_id").alias("doc_id"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
-    member = _cells(nodes.select("node", "size", F.posexplode("bands").alias("band", "key")), n)
-    cell = member.groupBy("band", "key", "salt").agg(F.min(F.struct("node", "size")).alias("low"), F.count("*").alias("rows"))
-    bucket = (cell.groupBy("band", "key").agg(F.min("low").alias("low"), F.sum("rows").alias("rows"))
-              .filter("rows > 1").select("band", "key", F.col("low.node").alias("rep"), F.col("low.size").alias("rep_size")))
-    shared = stored(member.join(cell.select("band", "key", "salt").join(bucket, ["band", "key"]),
-                                ["band", "key", "salt"]).select("band", "key", "node", "size", "rep", "rep_size"), "buckets")
+    # one exchange of the members, by (key, salt): the band is part of the key's hash
+    member = _cells(nodes.select("node", "size", F.explode("bands").alias("key")), n).repartition("key", "salt")
+    cell = member.groupBy("key", "salt").agg(F.min(F.struct("node", "size")).alias("low"), F.count("*").alias("rows"))
+    bucket = (cell.groupBy("key").agg(F.min("low").alias("low"), F.sum("rows").alias("rows"))
+              .filter("rows > 1").select("key", F.col("low.node").alias("rep"), F.col("low.size").alias("rep_size")))
+    shared = stored(member.join(cell.select("key", "salt").join(bucket, "key"), ["key", "salt"])
+                    .select("key", "node", "size", "rep", "rep_size"), "buckets")
     fits = F.least("size", "rep_size") * 100 >= F.greatest("size", "rep_size") * percent
     stars = shared.filter("node <> rep").filter(fits).select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
     stars = stored(_agreeing(stars, nodes), "stars")
-    # sets of what may be compared: members of buckets; they are computed anew from the texts, not carried along
-    in_pairs = shared.select("node").distinct()
-    wanted = nodes.join(in_pairs, "node", "left_semi").select("node", "doc_id")
-    sets = stored(shingle_sets(docs, wanted, id_col, text_col, width), "sets")
-    close = verified(stars, sets, percent)
-    first = stored(close, "first-links")
-    rest = _across(shared, nodes, components(first), percent)
-    second = verified(rest, sets, percent)
-    return first.union(second)
+    first = _confirmed(stars, docs, nodes, id_col, text_col, width, percent, "first-links")
+    rest = _across(docs, shared, nodes, components(first), id_col, text_col, width, percent)
+    return first.union(rest)
+
+
+def _sets_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """Sets are computed anew from the texts where they are needed, not carried along for every document."""
+    return stored(shingle_sets(docs, nodes.join(wanted, "node", "left_semi").select("node", "doc_id"), id_col, text_col,
+                               width), "sets")
+
+
+def _confirmed(pairs, docs, nodes, id_col, text_col, width, percent, name) -> DataFrame:
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    return stored(verified(pairs, _sets_of(wanted, docs, nodes, id_col, text_col, width), percent), name)
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose signatures agree in a share of ``AGREE`` of the registers at least."""
-    n = partitions(pairs.sparkSession)
-    sketches = nodes.select("node", "sketch")
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(n)).cast("int"))
-    cells = salted.select("b", "salt").distinct().join(
-        sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-    both = salted.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a").join(
-        cells, ["b", "salt"])
+    left = pairs.join(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+    both = salted_join(left, ["b"], nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "a")
 
     def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
@@ -286,80 +214,46 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "sketch_a", "sketch_b").mapInPandas(agree, "a binary, b binary")
 
 
-def _across(shared: DataFrame, nodes: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that are in different components and may be similar.
+def _across(docs, shared: DataFrame, nodes: DataFrame, comps: DataFrame, id_col, text_col, width, percent) -> DataFrame:
+    """Links between members of buckets whose members are in several components.
 
-    Buckets with one component are done.  In the others, the members of the component of the bucket's smallest
-    node (side 0) need no pairs among themselves; the rest (side 1) meet them and each other.  Members are cut
-    into tiles of one side and one step of size (similar sizes lie in one step or in two that touch), and each tile
-    meets the tiles that it can have pairs with, so a task holds two tiles, however large a bucket is.
+    Documents that merely have a line or passage in common also meet in buckets, in any number, so pairs of a
+    bucket are not emitted.  The members are joined exactly on the rare end of their full sets (prefix, length and
+    positional filters) instead: similar sets always meet there, and frequent shingles are no meeting point.
     """
     n = partitions(shared.sparkSession)
-    labelled = _cells(shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), n)
-    cell = labelled.groupBy("band", "key", "salt").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("node", "comp")).alias("first"))
-    mixed = (cell.groupBy("band", "key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"))
-             .filter("lo <> hi").select("band", "key", F.col("first.comp").alias("main")))
-    left = labelled.join(cell.select("band", "key", "salt").join(mixed, ["band", "key"]), ["band", "key", "salt"])
-    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    left = stored(left.select("band", "key", "node", "size", "comp", step.alias("step"),
-                              F.when(F.col("comp") == F.col("main"), 0).otherwise(1).alias("side")), "mixed-buckets")
-    group = ["band", "key", "side", "step"]
-    counts = left.groupBy(*group).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    # what meets what: side 1 with either side, in its own step and the touching ones
-    other = counts.select("band", "key", F.col("side").alias("side2"), F.col("step").alias("step2"),
-                          F.col("tiles").alias("tiles2"))
-    plan = (counts.join(other, ["band", "key"])
-            .filter((F.col("side") + F.col("side2") > 0) & (F.abs(F.col("step") - F.col("step2")) <= 1))
-            .groupBy(*group, "tiles").agg(F.collect_list(F.struct("side2", "step2", "tiles2")).alias("with")))
-    placed = left.join(plan, group).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    me = F.struct("side", "step", "tile")
-    meetings = F.flatten(F.transform("with", lambda w: F.transform(
-        F.sequence(F.lit(0), w["tiles2"] - 1),
-        lambda t: F.struct(w["side2"].alias("side"), w["step2"].alias("step"), t.cast("int").alias("tile")))))
-    dealt = placed.withColumn("other", F.explode(meetings)).select(
-        "band", "key", F.least(me, F.col("other")).alias("m1"), F.greatest(me, F.col("other")).alias("m2"),
-        me.alias("me"), "node", "size", "comp")
-    key = ["band", "key", "m1", "m2"]
-    x = dealt.select(*key, F.col("me").alias("me_x"), F.col("node").alias("a"), F.col("size").alias("nx"), F.col("comp").alias("cx"))
-    y = dealt.select(*key, F.col("me").alias("me_y"), F.col("node").alias("b"), F.col("size").alias("ny"), F.col("comp").alias("cy"))
-    fits = F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent
-    once = ((F.col("m1") == F.col("m2")) & (F.col("a") > F.col("b"))) | (F.col("me_x") > F.col("me_y"))
-    pairs = x.join(y, key).filter((F.col("cx") != F.col("cy")) & fits & once).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    return _agreeing(stored(pairs.distinct(), "pairs-across"), nodes)
+    labelled = _cells(shared.select("key", "node").join(comps, "node", "left").withColumn(
+        "comp", F.coalesce("comp", "node")), n)
+    cell = labelled.groupBy("key", "salt").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    mixed = cell.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("key")
+    left = stored(labelled.join(cell.select("key", "salt").join(mixed, "key"), ["key", "salt"])
+                  .groupBy("node").agg(F.first("comp").alias("comp")), "mixed-members")
+    sets = _sets_of(left.select("node"), docs, nodes, id_col, text_col, width)
+    pairs = stored(prefix_pairs(sets.join(left, "node").withColumnRenamed("node", "cls"), percent), "pairs-across")
+    return stored(verified(pairs, sets, percent), "second-links")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 width: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    n = partitions(spark)
+    ship_package(docs.sparkSession)
     sig = stored(signatures(docs, id_col, text_col, width), "signatures")
     comps = components(near_links(docs, sig, id_col, text_col, width, percent))
-    rows = sig.select("doc_id", "n_shingles", F.col("seq").alias("node")).withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
-    cell = rows.filter("n_shingles > 0").groupBy("node", "salt").agg(F.min("doc_id").alias("low"))
-    by_node = cell.groupBy("node").agg(F.min("low").alias("low"))
+    rows = sig.select("doc_id", "n_shingles", F.col("seq").alias("node"))
+    full = rows.filter("n_shingles > 0")
+    by_node = full.groupBy("node").agg(F.min("doc_id").alias("low"))
     named = by_node.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    named = _cells(named, n)
-    comp_cell = named.groupBy("comp", "salt").agg(F.min("low").alias("low"))
-    first = comp_cell.groupBy("comp").agg(F.min("low").alias("component_id"))
-    named = named.select("node", "comp", "salt").join(
-        comp_cell.select("comp", "salt").join(first, "comp"), ["comp", "salt"]).select("node", "component_id")
-    done = cell.select("node", "salt").join(named, "node").join(
-        rows.filter("n_shingles > 0"), ["node", "salt"]).select("doc_id", "n_shingles", "component_id")
-    out = done.unionByName(rows.filter("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    first = named.groupBy("comp").agg(F.min("low").alias("component_id"))
+    named = salted_join(named.select("node", "comp"), ["comp"], first, "node").select("node", "component_id")
+    out = salted_join(full, ["node"], named, "doc_id").select("doc_id", "n_shingles", "component_id").unionByName(
+        rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               width: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with all its columns and one document of each group; rows without words all stay, and of
-    rows that repeat an id with the same words one stays."""
-    groups = near_groups(docs, id_col, text_col, width, percent)
-    gone = groups.filter("NOT kept").select(F.col("doc_id").alias("_lk_gone")).distinct()
-    left = docs.join(gone, docs[id_col].eqNullSafe(gone["_lk_gone"]), "left_anti")
-    return left
+    """``docs`` with all its columns and one document of each group; rows without words and rows without an id
+    (which no decision can name) stay, and so do rows that repeat the id of one that stays."""
+    gone = near_groups(docs, id_col, text_col, width, percent).filter("NOT kept AND doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_lk_gone")).distinct()
+    return docs.join(gone, docs[id_col] == gone["_lk_gone"], "left_anti")
