@@ -88,9 +88,10 @@ def rarity(classes: DataFrame, bits: int = COUNTERS) -> np.ndarray:
     return summed(classes.select("set").mapInPandas(count, STRIPE_SCHEMA), (1 << bits,))
 
 
-def prefix_pairs(sets: DataFrame, percent: int, bits: int = COUNTERS) -> DataFrame:
+def prefix_pairs(sets: DataFrame, percent: int, own: bool = False, bits: int = COUNTERS) -> DataFrame:
     """Candidate pairs ``a < b`` of ``cls, set, comp`` that are in different ``comp``: they share a word of both
-    prefixes and pass the length and positional filters.  Every pair of similar sets is among them.
+    prefixes and pass the length and positional filters.  Every pair of similar sets is among them.  ``own``: each
+    class is a ``comp`` of its own.
 
     A word's classes are cut into tiles of one size step, and, where a ``comp`` is large, into those of the ``comp`` of
     the first class (side 0, no pairs among themselves) and the others (side 1).
@@ -119,14 +120,17 @@ def prefix_pairs(sets: DataFrame, percent: int, bits: int = COUNTERS) -> DataFra
 
     pre = sets.select("cls", "set", "comp").mapInPandas(prefixes, "word long, cls binary, size int, pos int, comp binary")
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    pre = stored(pre.withColumn("step", step), "prefixes")
     # a word of one component only meets nobody; most words are dropped here, before lists move
-    salt = F.pmod(F.xxhash64("cls"), F.lit(n)).cast("int")
-    cell = pre.withColumn("salt", salt).groupBy("word", "salt").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("cls", "comp")).alias("first"))
-    words = (cell.groupBy("word").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"))
-             .filter("lo <> hi").select("word", F.col("first.comp").alias("main")))
-    live = salted_join(pre, ["word"], words, "cls").withColumn(
+    if own:
+        words = pre.groupBy("word").agg(F.count("*").alias("rows")).filter("rows > 1").select(
+            "word", F.lit(None).cast("binary").alias("main"))
+    else:
+        salt = F.pmod(F.xxhash64("cls"), F.lit(n)).cast("int")
+        cell = pre.withColumn("salt", salt).groupBy("word", "salt").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("cls", "comp")).alias("first"))
+        words = (cell.groupBy("word").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"))
+                 .filter("lo <> hi").select("word", F.col("first.comp").alias("main")))
+    live = salted_join(pre, ["word"], words, "cls").withColumn("step", step).withColumn(
         "side", F.when(F.col("comp") == F.col("main"), 0).otherwise(1)).drop("main")
     live = stored(live, "live-prefixes")
     group = ["word", "side", "step"]
@@ -160,7 +164,7 @@ def prefix_pairs(sets: DataFrame, percent: int, bits: int = COUNTERS) -> DataFra
 def similar_earlier(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``cls`` of the classes that have a similar class with an earlier first place (``place``)."""
     n = partitions(classes.sparkSession)
-    pairs = stored(prefix_pairs(classes.withColumn("comp", F.col("cls")), percent), "line-pairs")
+    pairs = stored(prefix_pairs(classes.withColumn("comp", F.col("cls")), percent, own=True), "line-pairs")
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(n)).cast("int"))
     right = salted.select("b", "salt").distinct().join(
         classes.select(F.col("cls").alias("b"), F.col("set").alias("set_b"), F.col("place").alias("place_b")), "b")
@@ -191,9 +195,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     lines = line_sets(docs, id_col, text_col).withColumn("cls", class_key("set"))
     place = F.struct("d", "t", "line")
-    at = stored(lines.select("cls", "d", "t", "line", "set"), "lines")
-    classes = stored(at.withColumn("place", place).groupBy("cls").agg(F.min("place").alias("place"),
-                                                                      F.first("set").alias("set")), "line-classes")
+    # the lines themselves are kept without their sets; a class keeps one
+    at = stored(lines.select("cls", "d", "t", "line"), "lines")
+    classes = stored(lines.groupBy("cls").agg(F.min(place).alias("place"), F.first("set").alias("set")), "line-classes")
     near = similar_earlier(classes, percent)
     # all lines of a class with a similar earlier class go; of the others all but those in the first place
     verdict = classes.select("cls", "place").join(near.withColumn("gone", F.lit(True)), "cls", "left")
