@@ -126,45 +126,27 @@ def choose_synonym(synonyms: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def eda_synonym(df: DataFrame, synonyms: DataFrame, text: str = "text", id_col: str = "id",
-                p: float = 0.2, seed: int = 42, stop_words: Sequence[str] = (), out: str = "augmented",
-                max_map_entries: int = 64, broadcast_max_rows: int = 5_000_000) -> DataFrame:
+                p: float = 0.2, seed: int = 42, stop_words: Sequence[str] = (), out: str = "augmented") -> DataFrame:
     """M1: replace words (not stop words) that have a synonym, each with probability ``p``.
 
-    A synonym table under ``max_map_entries`` rows (counted first) becomes a literal map and every
-    text is rewritten by one narrow ``transform``: no explode, no shuffle.  Map lookups scan the keys,
-    so this path is only for very small tables.  A larger table goes the
-    relational way: words are exploded with their position, joined to the one-synonym-per-word table
-    (broadcast under ``broadcast_max_rows``, else a shuffle join on the word) and put back in order
-    per id (one group per text, bounded by its length).  Both paths give the same result."""
-    syn = choose_synonym(synonyms, seed)
-    n_syn = syn.count()
+    The draw and the stop words are applied before the join, so only the drawn share of the words is
+    exploded and joined to the one-synonym-per-word table; the hits of a row come back as one map and
+    the text is patched in place.  Rows are told apart by id and text; a blank text stays blank, a NULL
+    text gives NULL."""
     stop_list = [w.lower() for w in stop_words]
-    if n_syn <= max_map_entries:
-        rows = syn.collect()  # bounded by the check above
-        m = F.map_from_arrays(F.array(*[F.lit(r["word"]) for r in rows]).cast("array<string>"),
-                              F.array(*[F.lit(r["synonym"]) for r in rows]).cast("array<string>"))
-        d = df.withColumn("__w", split_words(text))
-
-        def swap(w, i):
-            s_ = F.try_element_at(m, F.lower(w))
-            hit = s_.isNotNull() & (hash_unit(id_col, i, F.lit("r"), seed=seed) < p)
-            if stop_list:
-                hit = hit & ~F.lower(w).isin(stop_list)
-            return F.when(hit, s_).otherwise(w)
-
-        d = d.withColumn(out, F.when(F.col(text).isNotNull(), F.array_join(F.transform("__w", swap), " ")))
-        return d.drop("__w")
-    if n_syn <= broadcast_max_rows:
-        syn = F.broadcast(syn)
-    w = df.select(id_col, F.posexplode(split_words(text)).alias("pos", "w"))
-    w = w.withColumn("word", F.lower("w"))
-    j = w.join(syn, "word", "left")
-    stop = F.lower("w").isin(stop_list) if stop_list else F.lit(False)
-    hit = F.col("synonym").isNotNull() & ~stop & (hash_unit(id_col, "pos", F.lit("r"), seed=seed) < p)
-    j = j.withColumn("nw", F.when(hit, F.col("synonym")).otherwise(F.col("w")))
-    back = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "nw"))).alias("__s"))
-    back = back.select(id_col, F.array_join(F.transform("__s", lambda s: s["nw"]), " ").alias(out))
-    return df.join(back, id_col, "left")
+    d = df.withColumn("__w", split_words(text)).withColumn(
+        "__key", F.concat_ws(":", F.col(id_col).cast("string"), F.md5(F.col(text))))
+    w = d.filter(F.col(text).isNotNull()).select("__key", id_col, F.posexplode("__w").alias("pos", "w"))
+    w = w.filter(hash_unit(id_col, "pos", F.lit("r"), seed=seed) < p).select("__key", "pos", F.lower("w").alias("word"))
+    if stop_list:
+        w = w.filter(~F.col("word").isin(stop_list))
+    hits = (w.join(choose_synonym(synonyms, seed), "word").groupBy("__key")
+            .agg(F.map_from_entries(F.collect_set(F.struct("pos", "synonym"))).alias("__hits")))
+    patched = F.when(F.col("__hits").isNull(), F.col("__w")).otherwise(F.transform(
+        "__w", lambda x, i: F.coalesce(F.try_element_at("__hits", i), x)))
+    return (d.join(hits, "__key", "left")
+            .withColumn(out, F.when(F.col(text).isNotNull(), F.array_join(patched, " ")))
+            .drop("__w", "__key", "__hits"))
 
 
 def eda_insert(df: DataFrame, synonyms: DataFrame, text: str = "text", id_col: str = "id", seed: int = 42,

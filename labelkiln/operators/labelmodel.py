@@ -3,8 +3,8 @@
 All statistics are single aggregates over the wide vote table (one column per rule).  Label models
 never touch the text: votes are first compressed to distinct vote patterns with their counts (one
 shuffle), and every fitting step runs on that pattern table.  Only fitted parameters (rules x classes
-x outcomes numbers) come back to the driver; prediction is a narrow projection with the parameters
-as literals, so it also runs on streams.
+x outcomes numbers) come back to the driver; prediction is a narrow step (Arrow batches, one numpy
+pass whatever the number of rules and classes), so it also runs on streams.
 """
 
 from __future__ import annotations
@@ -14,9 +14,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelkiln.session import ship_package
+
 ABSTAIN = None
 
 
@@ -116,113 +119,82 @@ def _outcome(c: str, classes: Sequence[str]) -> Column:
     return e.otherwise(F.lit(0))
 
 
-def _log_joint(lfs: Sequence[str], classes: Sequence[str], prior: np.ndarray, theta: np.ndarray) -> list[Column]:
-    """Per class k: ln prior_k + sum_j ln theta[j, k, outcome_j] as literal-parameter expressions."""
-    out = []
-    K = len(classes)
-    for k in range(K):
-        e = F.lit(float(math.log(prior[k])))
-        for j, c in enumerate(lfs):
-            o = F.col(f"__o{j}")
-            t = F.when(o == 0, F.lit(float(math.log(theta[j, k, 0]))))
-            for v in range(K):
-                t = t.when(o == v + 1, F.lit(float(math.log(theta[j, k, v + 1]))))
-            e = e + t
-        out.append(e)
-    return out
-
-
-def _posterior_cols(lfs, classes, prior, theta) -> list[Column]:
-    lj = _log_joint(lfs, classes, prior, theta)
-    m = F.greatest(*lj) if len(lj) > 1 else lj[0]
-    ex = [F.exp(x - m) for x in lj]
-    z = ex[0]
-    for x in ex[1:]:
-        z = z + x
-    return [x / z for x in ex] + [m + F.log(z)]
-
-
-def _em_numpy(O: np.ndarray, cnt: np.ndarray, J: int, K: int, max_iter: int, tol: float,
-              smoothing: float) -> tuple[np.ndarray, np.ndarray, int, float]:
-    """EM on collected patterns: ``O`` is patterns x rules outcome indexes, ``cnt`` their counts."""
-    votes = np.stack([(O == k + 1).sum(axis=1) for k in range(K)], axis=1).astype(float)
-    tot = votes.sum(axis=1, keepdims=True)
-    resp = np.where(tot > 0, (votes + smoothing) / (tot + K * smoothing), 1.0 / K)
-    prev, ll, it = None, float("nan"), 0
-    prior = np.full(K, 1.0 / K)
-    theta = np.full((J, K, K + 1), 1.0 / (K + 1))
-    for it in range(1, max_iter + 1):
-        w = resp * cnt[:, None]
-        nk = w.sum(axis=0)
-        prior = (nk + smoothing) / (nk.sum() + K * smoothing)
-        theta = np.zeros((J, K, K + 1))
-        for j in range(J):
-            for v in range(K + 1):
-                theta[j, :, v] = w[O[:, j] == v].sum(axis=0)
-        theta += smoothing
-        theta /= theta.sum(axis=2, keepdims=True)
-        lj = np.log(prior)[None, :] + sum(np.log(theta[j][:, O[:, j]]).T for j in range(J))
-        m = lj.max(axis=1, keepdims=True)
-        z = np.exp(lj - m).sum(axis=1, keepdims=True)
-        resp = np.exp(lj - m) / z
-        ll = float((cnt * (m[:, 0] + np.log(z[:, 0]))).sum())
-        if prev is not None and abs(ll - prev) < tol * max(1.0, abs(prev)):
-            break
-        prev = ll
-    return prior, theta, it, ll
+def _log_joint(o: np.ndarray, prior: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """rows x classes: ln prior_k + sum_j ln theta[j, k, outcome_j]."""
+    lj = np.tile(np.log(prior), (len(o), 1))
+    for j in range(o.shape[1]):
+        lj += np.log(theta[j])[:, o[:, j]].T
+    return lj
+
+
+def _outcomes(lfs: Sequence[str], classes: Sequence[str]) -> Column:
+    return F.array(*[_outcome(c, classes) for c in lfs])
+
+
+def _rows(col: pd.Series, width: int) -> np.ndarray:
+    return np.array(col.to_list(), dtype=int).reshape(len(col), width)
 
 
 def fit_em(votes: DataFrame, lfs: Sequence[str], classes: Sequence[str], max_iter: int = 100,
-           tol: float = 1e-6, smoothing: float = 0.01, max_local_patterns: int = 1_000_000) -> EMModel:
+           tol: float = 1e-6, smoothing: float = 0.01) -> EMModel:
     """Dawid-Skene EM on vote patterns, started from vote shares.
 
-    Votes are compressed to distinct patterns with counts (one shuffle).  When the pattern count is
-    under ``max_local_patterns`` (counted first) the compressed table is the fit's bounded sufficient
-    statistic and EM runs on it in numpy; otherwise every iteration is one aggregate over the cached
-    pattern table on the cluster.
+    Votes are compressed to distinct patterns with counts (one shuffle, cached).  In each iteration every
+    task sums the expected counts of its patterns per (rule, outcome, class) in numpy and Spark adds them up;
+    the driver gets the sums of the outcomes that occur, never patterns.
     """
+    ship_package(votes.sparkSession)
     lfs, classes = list(lfs), list(classes)
     J, K = len(lfs), len(classes)
-    pat = vote_patterns(votes, lfs)
-    pat = pat.select(*[_outcome(c, classes).alias(f"__o{j}") for j, c in enumerate(lfs)], "cnt").cache()
-    if pat.count() <= max_local_patterns:
-        rows = pat.collect()
-        pat.unpersist()
-        O = np.array([[r[f"__o{j}"] for j in range(J)] for r in rows], dtype=int).reshape(len(rows), J)
-        cnt = np.array([r["cnt"] for r in rows], dtype=float)
-        prior, theta, it, ll = _em_numpy(O, cnt, J, K, max_iter, tol, smoothing)
-        return EMModel(classes, lfs, prior, theta, it, ll)
-    counts = [sum(F.when(F.col(f"__o{j}") == k + 1, 1.0).otherwise(0.0) for j in range(J)) for k in range(K)]
-    tot = sum(counts)
-    resp = [F.when(tot > 0, (counts[k] + smoothing) / (tot + K * smoothing)).otherwise(1.0 / K) for k in range(K)]
-    prev_ll, it, ll = None, 0, float("nan")
+    pat = vote_patterns(votes, lfs).select(_outcomes(lfs, classes).alias("o"), "cnt").cache()
+    params: list = [None]
+
+    def expect(batches):
+        sums, total, ll = np.zeros((J, K + 1, K)), np.zeros(K), 0.0
+        for b in batches:
+            if not len(b):
+                continue
+            o, cnt = _rows(b["o"], J), b["cnt"].to_numpy(float)
+            if params[0] is None:
+                n = np.stack([(o == k + 1).sum(axis=1) for k in range(K)], axis=1).astype(float)
+                tot = n.sum(axis=1, keepdims=True)
+                resp = np.where(tot > 0, (n + smoothing) / (tot + K * smoothing), 1.0 / K)
+            else:
+                lj = _log_joint(o, *params[0])
+                m = lj.max(axis=1, keepdims=True)
+                z = np.exp(lj - m).sum(axis=1, keepdims=True)
+                resp = np.exp(lj - m) / z
+                ll += float((cnt * (m[:, 0] + np.log(z[:, 0]))).sum())
+            w = resp * cnt[:, None]
+            total += w.sum(axis=0)
+            for j in range(J):
+                np.add.at(sums[j], o[:, j], w)
+        j, v, k = np.nonzero(sums)
+        yield pd.DataFrame({"j": np.r_[j, [-1] * K, -2], "v": np.r_[v, [0] * K, 0], "k": np.r_[k, np.arange(K), 0],
+                            "s": np.r_[sums[j, v, k], total, ll]})
+
+    prev, it, ll = None, 0, float("nan")
     prior = np.full(K, 1.0 / K)
     theta = np.full((J, K, K + 1), 1.0 / (K + 1))
-    for it in range(1, max_iter + 1):
-        r = pat.select("*", *[x.alias(f"__r{k}") for k, x in enumerate(resp)])
-        aggs = [F.sum(F.col("cnt") * F.col(f"__r{k}")).alias(f"n{k}") for k in range(K)]
-        for j in range(J):
-            for k in range(K):
-                for v in range(K + 1):
-                    aggs.append(F.sum(F.when(F.col(f"__o{j}") == v, F.col("cnt") * F.col(f"__r{k}"))
-                                      .otherwise(0.0)).alias(f"t{j}_{k}_{v}"))
-        row = r.agg(*aggs).first()
-        nk = np.array([row[f"n{k}"] or 0.0 for k in range(K)])
-        prior = (nk + smoothing) / (nk.sum() + K * smoothing)
-        theta = np.zeros((J, K, K + 1))
-        for j in range(J):
-            for k in range(K):
-                for v in range(K + 1):
-                    theta[j, k, v] = (row[f"t{j}_{k}_{v}"] or 0.0) + smoothing
-                theta[j, k] /= theta[j, k].sum()
-        post = _posterior_cols(lfs, classes, prior, theta)
-        ll = pat.agg(F.sum(F.col("cnt") * post[-1])).first()[0]
-        resp = post[:-1]
-        if prev_ll is not None and abs(ll - prev_ll) < tol * max(1.0, abs(prev_ll)):
+    for it in range(1, max_iter + 2):
+        rows = pat.mapInPandas(expect, "j int, v int, k int, s double").groupBy("j", "v", "k").agg(F.sum("s")).collect()
+        nk, counts, ll = np.zeros(K), np.zeros((J, K, K + 1)), float("nan")
+        for j, v, k, s in rows:
+            if j == -2:
+                ll = s
+            elif j == -1:
+                nk[k] = s
+            else:
+                counts[j, k, v] = s
+        if params[0] is not None and (it > max_iter or prev is not None and abs(ll - prev) < tol * max(1.0, abs(prev))):
             break
-        prev_ll = ll
+        prev = ll if params[0] is not None else None
+        prior = (nk + smoothing) / (nk.sum() + K * smoothing)
+        theta = counts + smoothing
+        theta /= theta.sum(axis=2, keepdims=True)
+        params[0] = (prior, theta)
     pat.unpersist()
-    return EMModel(classes, lfs, prior, theta, it, float(ll))
+    return EMModel(classes, lfs, prior, theta, it - 1, ll)
 
 
 def predict_em(votes: DataFrame, model: EMModel, tie_break: str = "abstain", seed: int = 123,
@@ -230,15 +202,19 @@ def predict_em(votes: DataFrame, model: EMModel, tie_break: str = "abstain", see
     """Class probabilities and the predicted label per row.  A row with no vote is
     abstain (Q12).  Equal best probabilities: ``abstain`` or a seeded ``hash`` pick."""
     lfs, classes = model.lfs, model.classes
-    d = votes.select("*", *[_outcome(c, classes).alias(f"__o{j}") for j, c in enumerate(lfs)])
-    post = _posterior_cols(lfs, classes, model.prior, model.theta)[:-1]
-    probs = F.array(*post)
-    d = d.withColumn("probs", probs)
+    ship_package(votes.sparkSession)
+    prior, theta = model.prior, model.theta
+
+    @F.pandas_udf("array<double>")
+    def posterior(o: pd.Series) -> pd.Series:
+        lj = _log_joint(_rows(o, len(lfs)), prior, theta)
+        p = np.exp(lj - lj.max(axis=1, keepdims=True)) if len(o) else lj
+        return pd.Series(list(p / p.sum(axis=1, keepdims=True)))
+
+    d = votes.withColumn("__o", _outcomes(lfs, classes)).withColumn("probs", posterior("__o"))
     mx = F.array_max("probs")
     tied = F.filter(F.transform(F.col("probs"), lambda p, i: F.when(p >= mx - tol, i)), lambda x: x.isNotNull())
-    any_vote = F.lit(False)
-    for j in range(len(lfs)):
-        any_vote = any_vote | (F.col(f"__o{j}") > 0)
+    any_vote = F.array_max("__o") > 0
     labels = F.array(*[F.lit(c) for c in classes])
     pick_hash = F.element_at(tied, (F.conv(F.substring(F.md5(F.concat(F.col(id_col).cast("string"),
                                                                       F.lit(f":{seed}"))), 1, 8), 16, 10)
@@ -248,8 +224,7 @@ def predict_em(votes: DataFrame, model: EMModel, tie_break: str = "abstain", see
     if tie_break == "hash":
         idx = idx.otherwise(pick_hash)
     pred = F.when(any_vote, F.element_at(labels, (idx + 1).cast("int")))
-    return d.withColumn("pred", pred).withColumn("confidence", F.when(F.col("pred").isNotNull(), mx)).drop(
-        *[f"__o{j}" for j in range(len(lfs))])
+    return d.withColumn("pred", pred).withColumn("confidence", F.when(F.col("pred").isNotNull(), mx)).drop("__o")
 
 
 # ---------------------------------------------------------------------------------------------

@@ -16,9 +16,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,15 +36,17 @@ JAVA_TOKEN_PATTERN = r"[\p{L}\p{N}\p{M}_]{2,}"
 
 def tfidf_features(df: DataFrame, text: str = "text", max_features: int | None = 1000,
                    out: str = "features", min_df: float = 1.0) -> PipelineModel:
-    """L1: tokenizer (lower case, runs of 2+ word characters) -> term counts with a vocabulary cap ->
-    IDF -> L2 normalization.  Returns the fitted pipeline (vocabulary = one distributed count)."""
-    stages = [RegexTokenizer(inputCol=text, outputCol="__tok", pattern=JAVA_TOKEN_PATTERN, gaps=False,
-                             toLowercase=True),
-              CountVectorizer(inputCol="__tok", outputCol="__tf", vocabSize=max_features or (1 << 18),
-                              minDF=min_df),
-              IDF(inputCol="__tf", outputCol="__idf"),
-              Normalizer(inputCol="__idf", outputCol=out, p=2.0)]
-    return Pipeline(stages=stages).fit(df.select(text).na.fill({text: ""}))
+    """L1: tokenizer (lower case, runs of 2+ word characters) -> term counts (``max_features``: the most
+    frequent terms; None: all) -> smooth IDF -> L2 normalization.  Returns the fitted pipeline."""
+    counts = Pipeline(stages=[
+        RegexTokenizer(inputCol=text, outputCol="__tok", pattern=JAVA_TOKEN_PATTERN, gaps=False, toLowercase=True),
+        CountVectorizer(inputCol="__tok", outputCol="__tf", vocabSize=max_features or (1 << 31) - 1, minDF=min_df)])
+    d = df.select(text).na.fill({text: ""})
+    counted = counts.fit(d)
+    idf = IDF(inputCol="__tf", outputCol="__idf").fit(counted.transform(d)).idf
+    # smooth IDF: ln((1 + n) / (1 + df)) + 1, so a term of every document still counts
+    smooth = ElementwiseProduct(scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="__tf", outputCol="__idf")
+    return PipelineModel(stages=[*counted.stages, smooth, Normalizer(inputCol="__idf", outputCol=out, p=2.0)])
 
 
 def featurize(model: PipelineModel, df: DataFrame, text: str = "text") -> DataFrame:
@@ -73,9 +76,15 @@ def vectors_as_features(df: DataFrame, vec: str = "vec", out: str = "features")
 
 
 def train_lr(df: DataFrame, label: str = "label", features: str = "features", weight: str | None = None,
-             reg: float = 0.0, max_iter: int = 100, elastic_net: float = 0.0) -> PipelineModel:
+             reg: float | None = None, max_iter: int = 200, elastic_net: float = 0.0, c: float = 1.0) -> PipelineModel:
     """L2: multinomial logistic regression; labels indexed alphabetically (one vocabulary for the
-    whole run, Q15).  ``weight`` is a per-row weight column (L3)."""
+    whole run, Q15).  ``weight`` is a per-row weight column (L3).
+
+    L2-regularized with strength ``C = c``: the summed loss weighs ``c`` against the penalty, which is
+    ``regParam = 1 / (c n)`` for Spark's mean loss.  ``reg`` sets ``regParam`` itself."""
+    df = df.filter(F.col(label).isNotNull())
+    if reg is None:
+        reg = 1.0 / (c * max(1, df.count()))
     idx = StringIndexer(inputCol=label, outputCol="__y", stringOrderType="alphabetAsc", handleInvalid="skip")
     lr = LogisticRegression(featuresCol=features, labelCol="__y", probabilityCol="__prob", predictionCol="__pred",
                             rawPredictionCol="__raw", regParam=reg, elasticNetParam=elastic_net, maxIter=max_iter,
@@ -285,16 +294,18 @@ def active_learn(labelled: DataFrame, pool: DataFrame, expert: DataFrame, n: int
 
 
 def search(df: DataFrame, label: str = "label", features: str = "features", trials: int = 15, seed: int = 42,
-           folds: int = 0, positive: str | None = None, parallelism: int = 4):
-    """Seeded random search over LR settings (``trials`` draws), objective F1 (Q19): F1 of the
+           folds: int = 0, positive: str | None = None, parallelism: int = 4, space: dict | None = None):
+    """Seeded random search over LR settings, objective F1 (Q19).  Each of the ``trials`` draws takes
+    ``reg`` log-uniform and ``elastic_net`` uniform from the ranges of ``space`` and ``max_iter`` from its list.  F1 of the
     positive class when given, else weighted F1.  ``folds`` > 1 uses cross-validation, otherwise a
     seeded 80/20 train/validation split.  Fits run ``parallelism`` at a time."""
     rnd = random.Random(seed)
     idx = StringIndexer(inputCol=label, outputCol="__y", stringOrderType="alphabetAsc", handleInvalid="skip")
     lr = LogisticRegression(featuresCol=features, labelCol="__y", standardization=False)
-    grid_all = (ParamGridBuilder().addGrid(lr.regParam, [0.0, 1e-4, 1e-3, 1e-2, 0.1, 1.0])
-                .addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).addGrid(lr.maxIter, [20, 50, 100]).build())
-    grid = rnd.sample(grid_all, min(trials, len(grid_all)))
+    space = {"reg": (1e-4, 1.0), "elastic_net": (0.0, 1.0), "max_iter": [20, 50, 100]} | (space or {})
+    low, high = space["reg"]
+    grid = [{lr.regParam: low * (high / low) ** rnd.random(), lr.elasticNetParam: rnd.uniform(*space["elastic_net"]),
+             lr.maxIter: rnd.choice(space["max_iter"])} for _ in range(trials)]
     if positive is not None:
         ev = MulticlassClassificationEvaluator(labelCol="__y", metricName="fMeasureByLabel")
     else:

@@ -11,9 +11,10 @@ def _safe_div(a: Column, b: Column) -> Column:
 
 
 def binary_metrics(df: DataFrame, pred: str = "pred", gold: str = "gold", positive=1) -> DataFrame:
-    """Precision, recall, F1 of the positive class (0 when a denominator is 0)."""
-    p = F.col(pred) == positive
-    g = F.col(gold) == positive
+    """Precision, recall, F1 of the positive class (0 when a denominator is 0).  A NULL prediction
+    (an abstaining model) is not a positive one, so it counts as a miss on positive rows."""
+    p = F.coalesce(F.col(pred) == positive, F.lit(False))
+    g = F.coalesce(F.col(gold) == positive, F.lit(False))
     a = df.agg(F.count_if(p & g).cast("bigint").alias("tp"), F.count_if(p & ~g).cast("bigint").alias("fp"),
                F.count_if(~p & g).cast("bigint").alias("fn"), F.count_if(~p & ~g).cast("bigint").alias("tn"))
     prec = _safe_div(F.col("tp"), F.col("tp") + F.col("fp"))

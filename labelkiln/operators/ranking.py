@@ -58,9 +58,14 @@ def rank_within(df: DataFrame, keys: Sequence[str], order_key: Column, out: str
     w = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     extra = [F.sum("__n").over(Window.partitionBy(*keys)).cast("bigint").alias(size_col)] if size_col else []
     offs = counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"), *extra)
-    return (d.join(offs, [*keys, "__b"], "inner")
+    # null-safe, so rows whose group key is NULL are a group like any other
+    offs = offs.withColumnsRenamed({c: f"__k{i}" for i, c in enumerate([*keys, "__b"])})
+    same = F.lit(True)
+    for i, c in enumerate([*keys, "__b"]):
+        same = same & d[c].eqNullSafe(offs[f"__k{i}"])
+    return (d.join(offs, same, "inner")
             .withColumn(out, (F.col("__off") + F.col("__r")).cast("bigint"))
-            .drop("__h", "__b", "__r", "__off"))
+            .drop("__h", "__b", "__r", "__off", *[f"__k{i}" for i in range(len(keys) + 1)]))
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:

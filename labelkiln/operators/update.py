@@ -20,9 +20,9 @@ def apply_labels(df: DataFrame, accepted: DataFrame, on: str = "id", label: str
     """Write accepted labels back by key and set relevance to 1 for those rows.
 
     ``accepted`` holds ``(on, new_label)``.  Existing labels win unless ``overwrite``; a labelled
-    row is never changed by default.
+    row is never changed by default.  Of several labels accepted for one key the smallest wins.
     """
-    acc = accepted.select(F.col(on), F.col(new_label).alias("__acc")).dropDuplicates([on])
+    acc = accepted.groupBy(on).agg(F.min(new_label).alias("__acc"))
     j = df.join(acc, on, "left")
     lab = (F.coalesce(F.col("__acc"), F.col(label)) if overwrite
            else F.coalesce(F.col(label), F.col("__acc")))
@@ -40,8 +40,9 @@ def apply_labels(df: DataFrame, accepted: DataFrame, on: str = "id", label: str
 
 def fill_labels(df: DataFrame, suggestions: DataFrame, on: str = "id", label: str = "label",
                 suggestion: str = "suggested_label") -> DataFrame:
-    """C2 (Q13): fill only missing labels from a suggestion table (left join + coalesce)."""
-    s = suggestions.select(on, F.col(suggestion).alias("__s")).dropDuplicates([on])
+    """C2 (Q13): fill only missing labels from a suggestion table (left join + coalesce).  Of several
+    suggestions for one key the smallest wins."""
+    s = suggestions.groupBy(on).agg(F.min(suggestion).alias("__s"))
     return (df.join(s, on, "left")
             .withColumn(label, F.coalesce(F.col(label), F.col("__s"))).drop("__s"))
 

@@ -186,24 +186,19 @@ def zero_shot(df: DataFrame, label_vecs: DataFrame, **kw) -> DataFrame:
 
 def semantic_search(queries: DataFrame, corpus: DataFrame, k: int = 5, vec: str = "vec",
                     id_col: str = "id", corpus_id: str = "id", corpus_vec: str = "vec",
-                    max_broadcast_rows: int = 200_000, block_rows: int = 20_000) -> DataFrame:
+                    query_rows: int = 1_000, block_rows: int = 20_000) -> DataFrame:
     """K9: exact top-k corpus items per query by cosine, as ``(id, rank, hit, score)``.
 
-    A corpus under ``max_broadcast_rows`` (counted first) is a bounded parameter and goes the
-    broadcast path.  A larger one is never collected: both sides are cut into hash blocks of about
-    ``block_rows`` rows, every (query block, corpus block) pair is scored by one matrix product in a
-    co-grouped Pandas task, and the per-block winners (at most k per query and block) are reduced by
-    key.  Exact, with work split evenly however the ids are distributed.
+    Neither side is collected: both are cut into hash blocks and every (query block, corpus block) pair is
+    scored by one matrix product in a co-grouped Pandas task of at most about ``query_rows x
+    block_rows`` scores; the winners of a block (k per query) are reduced by key.  Rows without a vector
+    have no hits and are no hits; equal scores go to the smaller corpus id.
     """
     ship_package(queries.sparkSession)
-    c = corpus.select(F.col(corpus_id).alias("__cid"), F.col(corpus_vec).alias("__cvec"))
-    n_c = c.count()
-    if n_c <= max_broadcast_rows:
-        return top_k(queries, c, k, vec, id_col, "__cid", "__cvec", out_label="hit")
-    n_q = queries.count()
-    bq = max(1, -(-n_q // block_rows))
-    bc_ = max(1, -(-n_c // block_rows))
-    q = queries.select(F.col(id_col).alias("__qid"), F.col(vec).alias("__qvec"))
+    c = corpus.select(F.col(corpus_id).alias("__cid"), F.col(corpus_vec).alias("__cvec")).filter("__cvec IS NOT NULL")
+    q = queries.select(F.col(id_col).alias("__qid"), F.col(vec).alias("__qvec")).filter("__qvec IS NOT NULL")
+    bq = max(1, -(-q.count() // query_rows))
+    bc_ = max(1, -(-c.count() // block_rows))
     q = q.withColumn("__qb", F.pmod(F.xxhash64("__qid"), F.lit(bq)))
     q = q.withColumn("__cb", F.explode(F.sequence(F.lit(0), F.lit(bc_ - 1))))
     c = c.withColumn("__cb", F.pmod(F.xxhash64("__cid"), F.lit(bc_)))
@@ -220,13 +215,14 @@ def semantic_search(queries: DataFrame, corpus: DataFrame, k: int = 5, vec: str
         s = _unit_rows(qp["__qvec"]) @ _unit_rows(cp["__cvec"]).T
         s = np.where(np.isnan(s), -np.inf, s)
         kk = min(k, s.shape[1])
-        idx = np.argsort(-s, axis=1, kind="stable")[:, :kk]
-        rows = np.repeat(np.arange(len(qp)), kk)
-        cols = idx.reshape(-1)
-        sc_ = s[rows, cols]
-        out = pd.DataFrame({"__qid": qp["__qid"].to_numpy()[rows], "hit": cp["__cid"].to_numpy()[cols],
-                            "score": sc_})
-        return out[np.isfinite(sc_)]
+        least = np.partition(s, -kk, axis=1)[:, -kk]
+        rows, cols = np.nonzero((s >= least[:, None]) & np.isfinite(s))
+        order = np.lexsort((cols, -s[rows, cols], rows))  # corpus columns are in id order
+        rows, cols = rows[order], cols[order]
+        nth = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+        rows, cols = rows[nth < kk], cols[nth < kk]
+        return pd.DataFrame({"__qid": qp["__qid"].to_numpy()[rows], "hit": cp["__cid"].to_numpy()[cols],
+                             "score": s[rows, cols]})
 
     part = (q.groupBy("__qb", "__cb").cogroup(c.groupBy("__qb", "__cb"))
             .applyInPandas(block, schema))

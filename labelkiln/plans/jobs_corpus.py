@@ -245,7 +245,7 @@ def csv_roundtrip(spark, sf):
     c = corpus_from_tables(spark, sf).select("id", "text", "relevance", "label")
     path = _scratch(spark, "corpus_csv")
     write_corpus(c, path, "csv")
-    return read_corpus(spark, path, CORPUS_SCHEMA, "csv")
+    return read_corpus(spark, path, CORPUS_SCHEMA, "csv", multi_line=True)
 
 
 @job("json_roundtrip", f"SELECT id, text, label FROM {CS} WHERE label IS NOT NULL")

@@ -172,6 +172,6 @@ def zero_shot_fill(spark, sf):
     names = C.labelled(c).select("label").distinct().withColumn("name", F.regexp_replace("label", "_", " "))
     label_vecs = VO.embed(names, text="name", out="proto").select("label", "proto")
     pv = VO.embed(pool, text="text_cleaned", out="vec")
-    zs = VO.zero_shot(pv, label_vecs).filter(F.col("score") >= 0.0)
+    zs = VO.zero_shot(pv, label_vecs)
     sug = zs.select("id", F.col("pred").alias("suggested_label"))
     return U.fill_labels(c.select("id", "label"), sug)

@@ -42,8 +42,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` wins.  Only when it is unset (local tests) a scratch
-    folder is created and registered.
+    The cluster's ``spark.checkpoint.dir`` wins.  Where it is unset, a local session gets a scratch folder;
+    on any other master that is an error, as executors would not see a folder of the driver.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -51,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="labelkiln-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return d

@@ -27,14 +27,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_corpus(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                fmt: str = "csv") -> DataFrame:
-    """A1: read a labelled corpus.  CSV is read with a header, quoted multi-line fields and an
-    explicit schema (no inference pass over the data)."""
+                fmt: str = "csv", multi_line: bool = False) -> DataFrame:
+    """A1: read a labelled corpus.  CSV is read with a header and an explicit schema (no inference pass
+    over the data).  ``multi_line`` is for files with quoted line breaks; such a file is read by one task."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     if fmt == "csv":
-        return (r.option("header", True).option("multiLine", True).option("escape", '"')
+        return (r.option("header", True).option("multiLine", multi_line).option("escape", '"')
                 .csv(path))
     return r.format(fmt).load(path)
 

@@ -15,22 +15,22 @@ from labelkiln.operators import update as U
 from labelkiln.operators import vector as VO
 
 TEXTS = [
-    (0, "Ta nowa pomadka ma piękny, matowy kolor.", 1, "lipstick"),
-    (1, "Mój ulubiony tusz do rzęs świetnie wydłuża.", 1, "mascara"),
-    (2, "Ważne jest, aby dbać o cerę każdego dnia.", 0, None),
-    (3, "Jaki podkład polecacie do cery mieszanej? Musi być trwały.", 0, None),
-    (4, "Ten krem BB jest lekki, ale dobrze kryje.", 0, None),
-    (5, "Bardzo lubię ten błyszczyk, nie klei się.", 0, None),
-    (6, "Promocja na szminki i błyszczyki w naszej drogerii!", 0, None),
-    (7, "Kupiłam wczoraj nowy samochód.", 0, None),
+    (0, "W sklepie leży pomadka w odcieniu maliny.", 1, "lipstick"),
+    (1, "Szukam: tusz do rzęs, wodoodporny.", 1, "mascara"),
+    (2, "Rano piję wodę z cytryną.", 0, None),
+    (3, "Czy ten podkład wytrzyma upał?", 0, None),
+    (4, "Próbka: KREM BB, jasny.", 0, None),
+    (5, "Błyszczyk pachnie wanilią.", 0, None),
+    (6, "Pomadki, szminki i podkłady stoją z lewej.", 0, None),
+    (7, "Rower czeka w garażu.", 0, None),
 ]
 SCHEMA = "id bigint, text string, relevance int, label string"
 
 
 def cosmetics_rules():
-    return [R.keyword_lf("lf_lipstick", "lipstick", ["pomadka", "szminka", "usta", "błyszczyk"]),
-            R.keyword_lf("lf_mascara", "mascara", ["tusz do rzęs", "maskara", "rzęsy"]),
-            R.keyword_lf("lf_foundation", "foundation", ["podkład", "fluid", "krem bb", "krem cc"])]
+    return [R.keyword_lf("lf_lipstick", "lipstick", ["pomadka", "błyszczyk", "konturówka"]),
+            R.keyword_lf("lf_mascara", "mascara", ["tusz do rzęs", "zalotka"]),
+            R.keyword_lf("lf_foundation", "foundation", ["krem bb", "podkład", "puder"])]
 
 
 def test_f1_union_label(spark):
@@ -163,6 +163,6 @@ def test_softmax_sums_to_one(spark):
 
 def test_pandas_lf_slow_path(spark):
     df = spark.createDataFrame(TEXTS, SCHEMA)
-    lf = R.pandas_lf("lf_py", "car", lambda t: "samochód" in t)
+    lf = R.pandas_lf("lf_py", "car", lambda t: "Rower" in t)
     out = {r.id: r.lf_py for r in R.apply_lfs(df, [lf]).collect()}
     assert out[7] == "car" and out[0] is None

@@ -8,14 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from labelkiln.plans import registry
 from labelkiln.sources.corpus import TABLES
 
-SF = "/root/testdata/sf0.001"
-# iterative fits are slower; they are checked by property tests
-SKIP = {"search", "hierarchy", "train_svm", "train_multilabel", "cascade", "fit_best", "train_relevance",
-        "train_lr", "encode_sequences", "tfidf", "semantic_filter", "not_identical"}
-
+registry.load_all()
 
+SF = "/root/testdata/sf0.001"
 def _norm(v):
     if v is None:
         return "<null>"
@@ -47,7 +45,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.oracle_sql() if n not in SKIP))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) & set(registry.JOBS)))
 def test_job_matches_duckdb(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
@@ -60,3 +58,9 @@ def test_job_matches_duckdb(spark, con, name):
     a = sorted(tuple(_norm(r[i]) for i in so) for r in srows)
     b = sorted(tuple(_norm(r[i]) for i in do) for r in drows)
     assert a == b
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.JOBS) - set(registry.SQL)))
+def test_job_without_twin_runs(spark, name):
+    df = registry.JOBS[name](spark, SF)
+    assert df.count() > 0 and df.columns

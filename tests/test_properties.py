@@ -111,7 +111,7 @@ def test_semantic_search_blocked_equals_broadcast(spark):
     q, _ = _vecs(spark, 120, 6, 3)
     c, _ = _vecs(spark, 300, 6, 4)
     a = {(r.id, r.rank): r.hit for r in VO.semantic_search(q, c, 3).collect()}
-    b = {(r.id, r.rank): r.hit for r in VO.semantic_search(q, c, 3, max_broadcast_rows=10, block_rows=70).collect()}
+    b = {(r.id, r.rank): r.hit for r in VO.semantic_search(q, c, 3, query_rows=9, block_rows=70).collect()}
     assert a == b and len(a) == 360
 
 
@@ -151,11 +151,31 @@ def test_active_learning_grows_by_batch(spark):
     assert lab.count() == n0 + 10 and lab.join(pool, "id").count() == 0
 
 
-def test_eda_synonym_paths_agree(spark):
+def test_eda_synonym_rows(spark):
     from labelkiln.operators.balance import eda_synonym
     df = spark.createDataFrame([(1, "Red lipstick and red gloss"), (2, "blue mascara"), (3, "")],
                                "id bigint, text string")
     syn = spark.createDataFrame([("red", "crimson"), ("gloss", "shine"), ("blue", "navy")], "word string, synonym string")
-    a = {r.id: r.augmented for r in eda_synonym(df, syn, p=0.9, seed=3).collect()}
-    b = {r.id: r.augmented for r in eda_synonym(df, syn, p=0.9, seed=3, max_map_entries=0).collect()}
-    assert a[1] == b[1] and a[2] == b[2]
+    more = df.union(spark.createDataFrame([(1, "red gloss"), (4, None), (2, "blue mascara")], df.schema))
+    got = {(r.id, r.text): r.augmented for r in eda_synonym(more, syn, p=1.1, seed=3).collect()}
+    assert got == {(1, "Red lipstick and red gloss"): "crimson lipstick and crimson shine", (2, "blue mascara"): "navy mascara",
+                   (3, ""): "", (1, "red gloss"): "crimson shine", (4, None): None}
+    assert eda_synonym(more, syn, p=1.1, seed=3).count() == 6
+
+
+def test_null_cases(spark):
+    """NULL predictions count as misses, NULL labels are a class of a split, NULL vectors have no hits."""
+    from labelkiln.operators import metrics as M
+    from labelkiln.operators import ranking as RK
+    from labelkiln.operators import update as U
+    from labelkiln.operators import vector as VO
+    df = spark.createDataFrame([(1, 1), (None, 1), (1, 0)], "pred int, gold int")
+    m = M.binary_metrics(df).first()
+    assert (m.tp, m.fp, m.fn, m.tn, m.recall) == (1, 1, 1, 0, 0.5)
+    d = spark.createDataFrame([(i, None if i % 3 == 0 else "x") for i in range(30)], "id long, label string")
+    assert RK.stratified_split(d, "label", 0.2).groupBy("split").count().orderBy("split").collect()[0]["count"] == 6
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0])], "id long, vec array<float>")
+    assert {(r.id, r.hit) for r in VO.semantic_search(v, v, 1).collect()} == {(1, 1), (3, 3)}
+    acc = spark.createDataFrame([(1, "b"), (1, "a")], "id long, label string")
+    base = spark.createDataFrame([(1, None, 0)], "id long, label string, relevance int")
+    assert U.apply_labels(base, acc).first().label == "a"
