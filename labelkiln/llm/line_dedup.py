@@ -88,10 +88,11 @@ def rarity(classes: DataFrame, bits: int = COUNTERS) -> np.ndarray:
     return summed(classes.select("set").mapInPandas(count, STRIPE_SCHEMA), (1 << bits,))
 
 
-def prefix_pairs(sets: DataFrame, percent: int, own: bool = False, bits: int = COUNTERS) -> DataFrame:
+def prefix_pairs(sets: DataFrame, percent: int, own: bool = False, agree: float = 0.0, bits: int = COUNTERS) -> DataFrame:
     """Candidate pairs ``a < b`` of ``cls, set, comp`` that are in different ``comp``: they share a word of both
     prefixes and pass the length and positional filters.  Every pair of similar sets is among them.  ``own``: each
-    class is a ``comp`` of its own.
+    class is a ``comp`` of its own.  ``agree``: ``sets`` has a ``sketch``, and only pairs whose sketches agree in
+    that share of their bytes are given.
 
     A word's classes are cut into tiles of one size step, and, where a ``comp`` is large, into those of the ``comp`` of
     the first class (side 0, no pairs among themselves) and the others (side 1).
@@ -115,10 +116,13 @@ def prefix_pairs(sets: DataFrame, percent: int, own: bool = False, bits: int = C
                 reach = np.repeat(lens - (-(-percent * lens // 100)) + 1, lens)
                 take = (pos < reach) & (freq[order] > 1)
                 at = row[order][take]
-                yield pd.DataFrame({"word": words[order][take].view(np.int64), "cls": some["cls"].to_numpy()[at],
+                out = pd.DataFrame({"word": words[order][take].view(np.int64), "cls": some["cls"].to_numpy()[at],
                                     "size": lens[at], "pos": pos[take], "comp": some["comp"].to_numpy()[at]})
+                yield out.assign(sketch=some["sketch"].to_numpy()[at]) if agree else out
 
-    pre = sets.select("cls", "set", "comp").mapInPandas(prefixes, "word long, cls binary, size int, pos int, comp binary")
+    more = ["sketch"] if agree else []
+    pre = sets.select("cls", "set", "comp", *more).mapInPandas(
+        prefixes, "word long, cls binary, size int, pos int, comp binary" + ", sketch binary" * bool(agree))
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
     # a word of one component only meets nobody; most words are dropped here, before lists move
     if own:
@@ -147,10 +151,11 @@ def prefix_pairs(sets: DataFrame, percent: int, own: bool = False, bits: int = C
         lambda t: F.struct(w["side2"].alias("side"), w["step2"].alias("step"), t.cast("int").alias("tile")))))
     dealt = placed.withColumn("other", F.explode(meetings)).select(
         "word", F.least(me, F.col("other")).alias("m1"), F.greatest(me, F.col("other")).alias("m2"), me.alias("me"),
-        "cls", "size", "pos", "comp")
+        "cls", "size", "pos", "comp", *more)
     key = ["word", "m1", "m2"]
     part = lambda x, c: dealt.select(*key, F.col("me").alias(f"me_{x}"), F.col("cls").alias(c), F.col("size").alias(f"n_{x}"),
-                                     F.col("pos").alias(f"p_{x}"), F.col("comp").alias(f"c_{x}"))
+                                     F.col("pos").alias(f"p_{x}"), F.col("comp").alias(f"c_{x}"),
+                                     *[F.col(m).alias(f"{m}_{x}") for m in more])
     # the overlap that is needed, and the most that is possible from these positions on
     need = F.ceil((F.col("n_x") + F.col("n_y")) * percent / F.lit(100 + percent))
     most = F.least(F.col("n_x") - F.col("p_x"), F.col("n_y") - F.col("p_y"))
@@ -158,9 +163,23 @@ def prefix_pairs(sets: DataFrame, percent: int, own: bool = False, bits: int = C
     fits = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
     pairs = part("x", "a").join(part("y", "b"), key).filter(
         once & fits & (most >= need) & (F.col("c_x") != F.col("c_y")))
+    if agree:
+        pairs = pairs.select("a", "b", F.col("sketch_x").alias("sketch_a"), F.col("sketch_y").alias("sketch_b")).mapInPandas(
+            agreeing(agree), "a binary, b binary")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def agreeing(share: float):
+    """Keeps ``(a, b)`` whose ``sketch_a`` and ``sketch_b`` have equal bytes in that share of places at least."""
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            if len(x):
+                u, v = (np.frombuffer(b"".join(x[c]), np.uint8).reshape(len(x), -1) for c in ("sketch_a", "sketch_b"))
+                yield x.loc[(u == v).mean(axis=1) >= share, ["a", "b"]]
+
+    return keep
+
+
 def similar_earlier(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``cls`` of the classes that have a similar class with an earlier first place (``place``)."""
     n = partitions(classes.sparkSession)

@@ -7,7 +7,7 @@
 2. Texts with equal word sequences are one node.  Nodes that agree in a band of ``ROWS`` registers meet
    in its bucket; with 36 bands of 6 a pair at Jaccard 0.8 is missed by all with probability 2e-5, at 0.85 with 4e-8.
 3. Every member of a bucket is compared with the bucket's smallest node: by set size, by signature (a pair at
-   0.8 falls under ``AGREE`` with probability below 1e-9) and then on full sets.  Members that are linked with it,
+   0.8 falls under ``AGREE`` with probability of about 5e-6) and then on full sets.  Members that are linked with it,
    directly or by way of others, are one component and need no pairs among themselves.  What is left, buckets
    whose members are in several components, is joined across components on the rare end of the full sets,
    which is exact.  No bucket is cut or sampled.
@@ -31,15 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelkiln.llm.common import partitions, salted_join, stored
-from labelkiln.llm.line_dedup import prefix_pairs
+from labelkiln.llm.line_dedup import agreeing, prefix_pairs
 from labelkiln.llm.sets import mix, shingle_set, similar, word_hashes
 from labelkiln.session import ship_package
 
 BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
 WORDS, PERCENT = 5, 80
-#: Signature agreement under which a pair is not looked at: seven standard deviations under 0.8.
-AGREE = 0.57
+#: Signature agreement under which a pair is not looked at: over four standard deviations under 0.8.
+AGREE = 0.68
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U32 = np.uint64(0xFFFFFFFF)
 
@@ -146,22 +146,27 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, comp`` for every node with a link: each node takes the smallest label around it, and the old label
-    learns of the lower one as well, until nothing changes (hook and jump: few rounds for long chains)."""
-    both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                  .distinct(), "links")
-    comp = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                  .select("node", F.least("node", "m").alias("comp")), "comp")
-    while True:
-        around = salted_join(both, ["b"], comp.select(F.col("node").alias("b"), "comp"), "a").groupBy(
-            F.col("a").alias("node")).agg(F.min("comp").alias("around"))
-        low = comp.join(around, "node").select("node", "comp", F.least("comp", "around").alias("low"))
-        hook = low.filter("low < comp").groupBy(F.col("comp").alias("low")).agg(F.min("low").alias("to"))
-        nxt = stored(salted_join(low, ["low"], hook, "node", "left").select(
-            "node", "comp", F.coalesce("to", "low").alias("low")), "comp")
-        if nxt.filter("low <> comp").isEmpty():
-            return nxt.select("node", "comp")
-        comp = nxt.select("node", F.col("low").alias("comp"))
+    """``node, comp`` for every node with a link ``a, b``.
+
+    Each round every label moves to the smallest label beside it, and on to where that one moves; links are then
+    drawn between the new labels and loops are dropped, so the graph shrinks until no link is left.
+    """
+    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    comp = stored(edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct().select(
+        "node", F.col("node").alias("comp")), "comp")
+    while not edges.isEmpty():
+        low = (edges.select(F.col("u").alias("node"), F.col("v").alias("beside"))
+               .union(edges.select("v", "u")).groupBy("node").agg(F.min("beside").alias("beside"))
+               .select("node", F.least("node", "beside").alias("to")))
+        on = low.select(F.col("node").alias("to"), F.col("to").alias("far"))
+        moves = stored(salted_join(low, ["to"], on, "node").select("node", F.col("far").alias("to")), "moves")
+        comp = stored(salted_join(comp, ["comp"], moves.select(F.col("node").alias("comp"), "to"), "node", "left").select(
+            "node", F.coalesce("to", "comp").alias("comp")), "comp")
+        drawn = salted_join(edges, ["u"], moves.select(F.col("node").alias("u"), F.col("to").alias("x")), "v")
+        drawn = salted_join(drawn, ["v"], moves.select(F.col("node").alias("v"), F.col("to").alias("y")), "u")
+        edges = stored(drawn.filter("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v"))
+                       .distinct(), "links")
+    return comp
 
 
 def _cells(members: DataFrame, n: int) -> DataFrame:
@@ -185,8 +190,9 @@ def near_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str, widt
     stars = shared.filter("node <> rep").filter(fits).select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
     stars = stored(_agreeing(stars, nodes), "stars")
     first = _confirmed(stars, docs, nodes, id_col, text_col, width, percent, "first-links")
-    rest = _across(docs, shared, nodes, components(first), id_col, text_col, width, percent)
-    return first.union(rest)
+    comps = components(first)
+    rest = _across(docs, shared, nodes, comps, id_col, text_col, width, percent)
+    return comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).filter("a <> b").union(rest)
 
 
 def _sets_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -205,13 +211,7 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     left = pairs.join(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
     both = salted_join(left, ["b"], nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "a")
 
-    def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            if len(x):
-                u, v = (np.frombuffer(b"".join(x[c]), np.uint8).reshape(len(x), -1) for c in ("sketch_a", "sketch_b"))
-                yield x.loc[(u == v).mean(axis=1) >= AGREE, ["a", "b"]]
-
-    return both.select("a", "b", "sketch_a", "sketch_b").mapInPandas(agree, "a binary, b binary")
+    return both.select("a", "b", "sketch_a", "sketch_b").mapInPandas(agreeing(AGREE), "a binary, b binary")
 
 
 def _across(docs, shared: DataFrame, nodes: DataFrame, comps: DataFrame, id_col, text_col, width, percent) -> DataFrame:
@@ -229,7 +229,8 @@ def _across(docs, shared: DataFrame, nodes: DataFrame, comps: DataFrame, id_col,
     left = stored(labelled.join(cell.select("key", "salt").join(mixed, "key"), ["key", "salt"])
                   .groupBy("node").agg(F.first("comp").alias("comp")), "mixed-members")
     sets = _sets_of(left.select("node"), docs, nodes, id_col, text_col, width)
-    pairs = stored(prefix_pairs(sets.join(left, "node").withColumnRenamed("node", "cls"), percent), "pairs-across")
+    full = sets.join(left, "node").join(nodes.select("node", "sketch"), "node").withColumnRenamed("node", "cls")
+    pairs = stored(prefix_pairs(full, percent, agree=AGREE), "pairs-across")
     return stored(verified(pairs, sets, percent), "second-links")
 
 
