@@ -161,6 +161,9 @@ def prefix_pairs(sets: DataFrame, percent: int, own: bool = False, agree: float
     most = F.least(F.col("n_x") - F.col("p_x"), F.col("n_y") - F.col("p_y"))
     once = ((F.col("m1") == F.col("m2")) & (F.col("a") < F.col("b"))) | (F.col("me_x") < F.col("me_y"))
     fits = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
+    # the smaller set of a similar pair meets the larger one in a shorter prefix of its own already
+    short = lambda n, p: F.col(p) < F.col(n) - F.ceil(F.col(n) * 2 * percent / F.lit(100 + percent)) + 1
+    fits = fits & ((F.col("n_x") > F.col("n_y")) | short("n_x", "p_x")) & ((F.col("n_y") > F.col("n_x")) | short("n_y", "p_y"))
     pairs = part("x", "a").join(part("y", "b"), key).filter(
         once & fits & (most >= need) & (F.col("c_x") != F.col("c_y")))
     if agree:
