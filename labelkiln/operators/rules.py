@@ -61,6 +61,41 @@ def regex_lf(name: str, label: str, pattern: str, text: str = "text", sql_patter
               f"regexp_matches({text}, '{sql_pattern or pattern}')")
 
 
+@dataclass
+class ListLF:
+    """A labelling function that votes for any number of labels; ``build`` returns ``array<string>``.
+
+    An empty or NULL array abstains, and NULL labels in it are ignored.
+    """
+
+    name: str
+    build: Callable[[], Column]
+    sql: str | None = None  # DuckDB twin: a list (oracle only)
+
+    def votes(self) -> Column:
+        return F.coalesce(self.build(), F.array().cast("array<string>"))
+
+    def votes_sql(self) -> str:
+        return f"coalesce({self.sql}, [])"
+
+
+def topics_lf(name: str, topics: dict[str, Sequence[str]], text: str = "text") -> ListLF:
+    """Every label of ``topics`` (label -> keywords) with a keyword in the text."""
+    lfs = [keyword_lf(label, label, words, text) for label, words in topics.items()]
+    return ListLF(name, lambda: F.array(*[lf.vote() for lf in lfs]), "[" + ", ".join(lf.vote_sql() for lf in lfs) + "]")
+
+
+def merge_votes(lfs: Sequence[LF | ListLF]) -> Column:
+    """Distinct, sorted labels of a row over rules with one label and rules with several."""
+    lists = [lf.votes() if isinstance(lf, ListLF) else F.array(lf.vote()) for lf in lfs]
+    return F.array_sort(F.array_distinct(F.filter(F.flatten(F.array(*lists)), lambda x: x.isNotNull())))
+
+
+def merge_votes_sql(lfs: Sequence[LF | ListLF]) -> str:
+    lists = ", ".join(lf.votes_sql() if isinstance(lf, ListLF) else f"[{lf.vote_sql()}]" for lf in lfs)
+    return f"list_sort(list_distinct(list_filter(flatten([{lists}]), lambda x: x IS NOT NULL)))"
+
+
 def negative_lf(name: str, words: Sequence[str], text: str = "text") -> LF:
     """Negative keyword rule; its vote marks the row as not relevant and overrides labels."""
     return keyword_lf(name, NONE, words, text)

@@ -33,3 +33,8 @@ def document_rules() -> list[R.LF]:
 def positive_rules() -> list[R.LF]:
     """The rules without the negative one (for label-matrix and label-model jobs)."""
     return [lf for lf in document_rules() if lf.label != R.NONE]
+
+
+def topic_rules() -> list[R.LF | R.ListLF]:
+    """One rule that returns several labels beside rules that return one."""
+    return [R.topics_lf("lf_topics", {"toxic": TOXIC_WORDS, "boilerplate": BOILERPLATE_WORDS}), *positive_rules()]

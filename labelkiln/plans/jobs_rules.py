@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from labelkiln.operators import rules as R
-from labelkiln.plans.corpus_rules import document_rules, positive_rules
+from labelkiln.plans.corpus_rules import document_rules, positive_rules, topic_rules
 from labelkiln.plans.registry import job
 from labelkiln.sources.corpus import CORPUS_SQL, corpus_from_tables
 
@@ -49,6 +49,14 @@ def merge_labels(spark, sf):
     return c.select("id", F.array_join(R.merge_labels([lf.vote() for lf in lfs]), ", ").alias("labels"))
 
 
+@job("topic_labels", f"SELECT id, array_to_string({R.merge_votes_sql(topic_rules())}, ', ') AS labels "
+                     f"FROM ({CORPUS_SQL}) c")
+def topic_labels(spark, sf):
+    """Labels per row from rules that return lists and rules that return one label."""
+    c = corpus_from_tables(spark, sf, _EXTRA)
+    return c.select("id", F.array_join(R.merge_votes(topic_rules()), ", ").alias("labels"))
+
+
 @job("relevance_from_label", f"SELECT id, CASE WHEN label IS NULL THEN 0 ELSE 1 END AS relevance "
                              f"FROM ({CORPUS_SQL}) c")
 def relevance_from_label(spark, sf):

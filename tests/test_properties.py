@@ -179,3 +179,14 @@ def test_null_cases(spark):
     acc = spark.createDataFrame([(1, "b"), (1, "a")], "id long, label string")
     base = spark.createDataFrame([(1, None, 0)], "id long, label string, relevance int")
     assert U.apply_labels(base, acc).first().label == "a"
+
+
+def test_rules_with_several_labels(spark):
+    from labelkiln.operators import rules as R
+
+    df = spark.createDataFrame([(1, "red apple, green pear"), (2, "an apple"), (3, "stone"), (4, ""), (5, None)],
+                               "id long, text string")
+    lfs = [R.topics_lf("fruit", {"pear": ["pear"], "apple": ["apple"]}), R.keyword_lf("k", "apple", ["red"]),
+           R.ListLF("none", lambda: F.lit(None).cast("array<string>"))]
+    got = {r[0]: r[1] for r in df.select("id", R.merge_votes(lfs)).collect()}
+    assert got == {1: ["apple", "pear"], 2: ["apple"], 3: [], 4: [], 5: []}
