@@ -4,15 +4,17 @@ A line is its set of distinct words (ASCII lower-cased, 64-bit hashes); two line
 Jaccard of 0.8 or more.  A line goes if any earlier line (by document id, then line number) is similar
 to it; blank lines stay.
 
-1. Lines with equal sets are one class, known by its first place; copies are merged before the exchange.
-2. Words are ordered by rarity.  The order comes from a table of ``2**COUNTERS`` counters over the words of
-   all classes: any fixed order gives the exact result, colliding counters only make it a little less
-   selective, and the table's size is bounded whatever the vocabulary.
-3. Each class emits the words of its prefix (``n - ceil(0.8 n) + 1`` rarest).  Words with a count of one
-   occur in no other class and are not emitted.  A class meets another in (word, size step); the
-   length filter and the positional bound on the overlap decide which pairs are verified.
-4. Verification compares the full sets.  Tiles of a bounded number of members keep a frequent word from
-   gathering in one task.
+1. Words are ordered by rarity.  The order comes from a table of ``2**COUNTERS`` counters over all words: any fixed
+   order gives the exact result, colliding counters only make it a little less selective, and the table's size
+   is bounded whatever the vocabulary.
+2. Each line gives its class (hash and parity bitmap of its set), its size and the words of its prefix (the
+   ``n - ceil(0.8 n) + 1`` rarest).  Words with a count of one occur in no other line and are left out.  Lines of one
+   class are merged, known by their first place; full sets do not move.
+3. Classes meet in the words of their prefixes.  The length filter, the positional bound on the overlap and the
+   parity bitmaps (two bitmaps differ in at most as many bits as the sets differ in words) decide which pairs are
+   verified.  Words that may be frequent are cut into tiles of one size step and a bounded number of members; there a
+   class meets the first ones before all others, and the others only while no earlier similar class is known.
+4. The sets of the classes in such pairs are computed anew from the texts and compared in full.
 
 Defined results: null text has no lines (0 lines, cleaned text empty); the parts of an empty text are one
 blank line; rows that repeat an id are earlier or later by the hash of their texts, and rows that repeat both
@@ -25,11 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelkiln.llm.common import LOWEST, STRIPE_SCHEMA, partitions, salted_join, stored, striped, summed
-from labelkiln.llm.sets import similar, word_hashes
+from labelkiln.llm.sets import mix, similar, word_hashes
 from labelkiln.session import ship_package
 
 PERCENT = 80
@@ -38,25 +41,96 @@ COUNTERS = 18
 TILE = 256
 
 
-def line_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``d, t, line, set``: the distinct word hashes of each line that has words."""
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("d"), F.xxhash64(F.col(text_col)).alias("t"),
+                       F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
+
+
+def _joined(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, int, str]]:
+    """``(lo, hi, text)``: neighbouring texts joined by line breaks, up to about ``limit`` characters and never less
+    than one whole text."""
+    lo = size = 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= limit or i == len(texts):
+            yield lo, i, "\n".join(texts[lo:i])
+            lo, size = i, 0
+
+
+def rarity_levels(slim: DataFrame, bits: int = COUNTERS) -> np.ndarray:
+    """``floor(2 log2 count)`` for each counter of the words of all lines (0: at most one)."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << bits, np.int64)
+        for b in batches:
+            for _, _, text in _joined(b["text"].tolist()):
+                total += np.bincount((word_hashes(text) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        yield from striped(total)
+
+    counts = summed(slim.select("text").mapInPandas(count, STRIPE_SCHEMA), (1 << bits,))
+    return np.floor(2 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+
+
+LINE_SCHEMA = ("k long, b1 long, b2 long, d long, t long, line int, size int, skip int, cold int, prefix array<int>")
+CLS = ["k", "b1", "b2"]
+#: Below this level a word has fewer than TILE occurrences.
+COLD = np.uint64(2 * np.log2(TILE))
+
+
+def line_rows(slim: DataFrame, levels: np.ndarray, percent: int, bits: int = COUNTERS) -> DataFrame:
+    """A row for each line that has words: class (``k, b1, b2``), place, ``size`` of the set and the rare end of it.
+
+    ``prefix`` holds the words at positions ``skip`` and on, by the upper half of their hash (two words that share it
+    share a counter too, and only add candidates); the first ``cold`` of them are below level ``COLD``.
+    """
+    shared = slim.sparkSession.sparkContext.broadcast(levels)  # 2**bits bytes, whatever the input
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value.astype(np.uint64)
         for b in batches:
-            for lo in range(0, len(b), 256):
-                rows = []
-                some = b.iloc[lo : lo + 256]
-                for d, t, text in zip(some["d"], some["t"], some["text"], strict=True):
-                    words, ends = _words_by_line(text)
-                    start = 0
-                    for i, end in enumerate(ends):
-                        if end > start:
-                            rows.append((d, t, i, np.unique(words[start:end]).tobytes()))
-                        start = end
-                yield pd.DataFrame(rows, columns=["d", "t", "line", "set"])
-
-    slim = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("d"),
-                       F.xxhash64(F.col(text_col)).alias("t"), F.col(text_col).cast("string").alias("text"))
-    return slim.filter(F.col("text").isNotNull()).mapInPandas(cut, "d long, t long, line int, set binary")
+            d, t = b.column("d").to_numpy(), b.column("t").to_numpy()
+            texts = b.column("text").to_pylist()
+            for lo, hi, text in _joined(texts):
+                words, ends = _words_by_line(text)
+                if len(words):
+                    yield cut(table, words, ends, d[lo:hi], t[lo:hi], [x.count("\n") + 1 for x in texts[lo:hi]])
+
+    def cut(table, words, ends, d, t, per_text) -> pa.RecordBatch:
+        line = np.repeat(np.arange(len(ends), dtype=np.uint64), np.diff(ends, prepend=0))
+        width = np.uint64(max(1, len(ends).bit_length()))
+        # line, level, first bits of the word in one number; words that agree in all of these are put in order after
+        level = table[(words >> np.uint64(64 - bits)).astype(np.int64)]
+        key = (line << (np.uint64(64) - width)) | (level << (np.uint64(57) - width)) | (words >> (np.uint64(7) + width))
+        order = np.argsort(key)
+        c, w = key[order], words[order]
+        if ((c[1:] == c[:-1]) & (w[1:] != w[:-1])).any():
+            order = np.lexsort((words, key))
+            c, w = key[order], words[order]
+        new = np.r_[True, (w[1:] != w[:-1]) | (c[1:] != c[:-1])]
+        w, line, level = w[new], line[order][new], level[order][new]
+        start = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
+        size = np.diff(np.r_[start, len(w)])
+        bit = np.uint64(1) << (w & np.uint64(63))
+        upper = (w & np.uint64(64)) > 0
+        with np.errstate(over="ignore"):
+            k = mix(np.add.reduceat(mix(w + np.uint64(0x9E3779B97F4A7C15)), start) + size.astype(np.uint64))
+        b1 = np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), bit), start)
+        b2 = np.bitwise_xor.reduceat(np.where(upper, bit, np.uint64(0)), start)
+        pos = np.arange(len(w)) - np.repeat(start, size)
+        reach = size - (-(-percent * size // 100)) + 1
+        take = (pos < np.repeat(reach, size)) & (level > 0)
+        number = np.add.reduceat(take.astype(np.int64), start)
+        at = line[start].astype(np.int64)
+        text_of = np.repeat(np.arange(len(per_text)), per_text)
+        first = np.cumsum(per_text) - per_text
+        return pa.RecordBatch.from_arrays([
+            pa.array(k.view(np.int64)), pa.array(b1.view(np.int64)), pa.array(b2.view(np.int64)),
+            pa.array(d[text_of[at]]), pa.array(t[text_of[at]]), pa.array((at - first[text_of[at]]).astype(np.int32)),
+            pa.array(size.astype(np.int32)), pa.array((reach - number).astype(np.int32)),
+            pa.array(np.add.reduceat((take & (level < COLD)).astype(np.int32), start).astype(np.int32)),
+            pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(number)].astype(np.int32)), pa.array((w[take] >> np.uint64(32)).astype(np.uint32).view(np.int32)))],
+            names=["k", "b1", "b2", "d", "t", "line", "size", "skip", "cold", "prefix"])
+
+    return slim.mapInArrow(rows, LINE_SCHEMA)
 
 
 def _words_by_line(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -69,12 +143,6 @@ def _words_by_line(text: str) -> tuple[np.ndarray, np.ndarray]:
     return words, np.r_[begins[breaks], len(words)].astype(np.int64)
 
 
-def _class_key(s: pd.Series) -> pd.Series:
-    import hashlib
-
-    return s.map(lambda x: hashlib.blake2b(x, digest_size=16).digest())
-
-
 def rarity(classes: DataFrame, bits: int = COUNTERS) -> np.ndarray:
     """Counters of the words of all classes, summed in numpy per task and then by Spark."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,11 +156,10 @@ def rarity(classes: DataFrame, bits: int = COUNTERS) -> np.ndarray:
     return summed(classes.select("set").mapInPandas(count, STRIPE_SCHEMA), (1 << bits,))
 
 
-def prefix_pairs(sets: DataFrame, percent: int, own: bool = False, agree: float = 0.0, bits: int = COUNTERS) -> DataFrame:
+def prefix_pairs(sets: DataFrame, percent: int, agree: float = 0.0, bits: int = COUNTERS) -> DataFrame:
     """Candidate pairs ``a < b`` of ``cls, set, comp`` that are in different ``comp``: they share a word of both
-    prefixes and pass the length and positional filters.  Every pair of similar sets is among them.  ``own``: each
-    class is a ``comp`` of its own.  ``agree``: ``sets`` has a ``sketch``, and only pairs whose sketches agree in
-    that share of their bytes are given.
+    prefixes and pass the length and positional filters.  Every pair of similar sets is among them.
+    ``agree``: ``sets`` has a ``sketch``, and only pairs whose sketches agree in that share of their bytes are given.
 
     A word's classes are cut into tiles of one size step, and, where a ``comp`` is large, into those of the ``comp`` of
     the first class (side 0, no pairs among themselves) and the others (side 1).
@@ -125,15 +192,11 @@ def prefix_pairs(sets: DataFrame, percent: int, own: bool = False, agree: float
         prefixes, "word long, cls binary, size int, pos int, comp binary" + ", sketch binary" * bool(agree))
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
     # a word of one component only meets nobody; most words are dropped here, before lists move
-    if own:
-        words = pre.groupBy("word").agg(F.count("*").alias("rows")).filter("rows > 1").select(
-            "word", F.lit(None).cast("binary").alias("main"))
-    else:
-        salt = F.pmod(F.xxhash64("cls"), F.lit(n)).cast("int")
-        cell = pre.withColumn("salt", salt).groupBy("word", "salt").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("cls", "comp")).alias("first"))
-        words = (cell.groupBy("word").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"))
-                 .filter("lo <> hi").select("word", F.col("first.comp").alias("main")))
+    salt = F.pmod(F.xxhash64("cls"), F.lit(n)).cast("int")
+    cell = pre.withColumn("salt", salt).groupBy("word", "salt").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("cls", "comp")).alias("first"))
+    words = (cell.groupBy("word").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"))
+             .filter("lo <> hi").select("word", F.col("first.comp").alias("main")))
     live = salted_join(pre, ["word"], words, "cls").withColumn("step", step).withColumn(
         "side", F.when(F.col("comp") == F.col("main"), 0).otherwise(1)).drop("main")
     live = stored(live, "live-prefixes")
@@ -183,56 +246,187 @@ def agreeing(share: float):
     return keep
 
 
-def similar_earlier(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``cls`` of the classes that have a similar class with an earlier first place (``place``)."""
-    n = partitions(classes.sparkSession)
-    pairs = stored(prefix_pairs(classes.withColumn("comp", F.col("cls")), percent, own=True), "line-pairs")
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(n)).cast("int"))
-    right = salted.select("b", "salt").distinct().join(
-        classes.select(F.col("cls").alias("b"), F.col("set").alias("set_b"), F.col("place").alias("place_b")), "b")
-    left = salted.join(classes.select(F.col("cls").alias("a"), F.col("set").alias("set_a"),
-                                      F.col("place").alias("place_a")), "a")
+def _fits(percent: int, n_x, n_y, p_x, p_y, apart, least):
+    """Whether sets of these sizes that share a word at these positions may be similar; columns or arrays.
+
+    Similar sets differ in at most ``(100 - percent) / (100 + percent)`` of their sizes together, and ``apart`` is a
+    lower bound of that.  The smaller set of a similar pair meets the larger one in a shorter prefix of its own already.
+    """
+    both = n_x + n_y
+    short = lambda n, p: p * (100 + percent) <= n * (100 - percent)
+    return ((apart * (100 + percent) <= both * (100 - percent))
+            & (least(n_x - p_x, n_y - p_y) * (100 + percent) >= both * percent)
+            & ((n_x > n_y) | short(n_x, p_x)) & ((n_y > n_x) | short(n_y, p_y)))
+
+
+def cold_pairs(pre: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs ``a, b`` of classes that meet in a word of fewer than ``TILE`` rows."""
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for b in batches:
+            cols = [c.to_numpy() for c in b.columns]
+            if left is not None:
+                cols = [np.concatenate(x) for x in zip(left, cols, strict=True)]
+            # the rows of the last word wait for the next batch; they are fewer than TILE
+            end = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0
+            left = [c[end:] for c in cols]
+            yield from meet([c[:end] for c in cols])
+        if left is not None:
+            yield from meet(left)
+
+    def meet(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        word, k, b1, b2, size, pos = cols
+        at = np.arange(len(word))
+        for shift in range(1, len(word)):
+            at = at[at + shift < len(word)]
+            at = at[word[at] == word[at + shift]]
+            if not len(at):
+                return
+            to = at + shift
+            apart = np.bitwise_count((b1[at] ^ b1[to]).view(np.uint64)).astype(np.int64) + np.bitwise_count(
+                (b2[at] ^ b2[to]).view(np.uint64))
+            near = apart * (100 + percent) <= (size[at] + size[to]) * (100 - percent)
+            x, y = at[near], to[near]
+            near = _fits(percent, size[x], size[y], pos[x], pos[y], apart[near], np.minimum) & (
+                (k[x] != k[y]) | (b1[x] != b1[y]) | (b2[x] != b2[y]))
+            x, y = x[near], y[near]
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i]) for i in (x, y) for c in (k, b1, b2)],
+                                                 names=[f"{c}_{i}" for i in "xy" for c in CLS])
+
+    rows = pre.filter("i < cold").select("word", *CLS, F.col("size").cast("long"), F.col("pos").cast("long"))
+    met = rows.repartition("word").sortWithinPartitions("word").mapInArrow(
+        pairs, ", ".join(f"{c}_{i} long" for i in "xy" for c in CLS))
+    return _pair(met).distinct()
+
+
+def _of(x: str) -> Column:
+    return F.struct(*[F.col(f"{c}_{x}").alias(c) for c in CLS])
+
+
+def _pair(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least(_of("x"), _of("y")).alias("a"), F.greatest(_of("x"), _of("y")).alias("b"))
+
+
+def _may_match(percent: int) -> Column:
+    """The earlier row ``x`` and the later row ``y`` pass all filters."""
+    apart = sum(F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in ("b1", "b2"))
+    return _fits(percent, *[F.col(c) for c in ("size_x", "size_y", "pos_x", "pos_y")], apart, F.least) & (
+        F.col("place_x") < F.col("place_y"))
+
+
+_ROW = [*CLS, "size", "pos", "place"]
+
+
+def _side(x: str) -> list[Column]:
+    return [F.col(c).alias(f"{c}_{x}") for c in _ROW]
+
+
+def _planned(hot: DataFrame) -> DataFrame:
+    """The rows of ``hot`` with the tile counts and first rows of their word in their size step and those beside it."""
+    cells = hot.groupBy("word", "step").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"),
+                                            F.min(F.struct("place", *CLS, "size", "pos")).alias("first"))
+    other = cells.select("word", F.struct("step", "tiles", "first").alias("beside"))
+    plan = (cells.join(other, "word").filter(F.abs(F.col("step") - F.col("beside.step")) <= 1)
+            .groupBy("word", "step", "tiles").agg(F.collect_list("beside").alias("with")))
+    return salted_join(hot, ["word", "step"], plan, "k")
+
+
+def star_pairs(planned: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of each class with the first ones of its words: as many as there are rows, however many
+    classes are alike."""
+    met = planned.select(*_side("y"), F.explode("with").alias("w")).select(
+        *[F.col(f"{c}_y") for c in _ROW], *[F.col(f"w.first.{c}").alias(f"{c}_x") for c in _ROW])
+    return _pair(met.filter(_may_match(percent))).distinct()
+
+
+def open_pairs(planned: DataFrame, gone: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of the classes that are not ``gone`` yet with all earlier ones of their words."""
+    tile = F.pmod(F.xxhash64("k", "word"), F.col("tiles")).cast("int").alias("tile")
+    x = planned.select("word", "step", tile, *_side("x"))
+    tiles = F.flatten(F.transform("with", lambda w: F.transform(
+        F.sequence(F.lit(0), w["tiles"] - 1), lambda t: F.struct(w["step"].alias("step"), t.cast("int").alias("tile")))))
+    y = planned.join(gone, CLS, "left_anti").select("word", *_side("y"), F.explode(tiles).alias("m")).select(
+        "word", "m.step", "m.tile", *[F.col(f"{c}_y") for c in _ROW])
+    return _pair(x.join(y, ["word", "step", "tile"]).filter(_may_match(percent))).distinct()
+
+
+def sets_of(slim: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``cls, place, set`` of the classes ``wanted`` (``cls, place``), computed anew from the texts of their places."""
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for d, t, text, lines in zip(b["d"], b["t"], b["text"], b["lines"], strict=True):
+                words, ends = _words_by_line(text)
+                begins = np.r_[0, ends[:-1]]
+                rows += [(x["k"], x["b1"], x["b2"], d, t, x["line"], np.unique(words[begins[x["line"]] : ends[x["line"]]]).tobytes())
+                         for x in lines]
+            yield pd.DataFrame(rows, columns=[*CLS, "d", "t", "line", "set"])
+
+    # written first, so that Spark knows its size and moves the texts only where this side is large
+    lines = stored(wanted.select("place.d", "place.t", F.struct("place.line", "cls.*").alias("x")).groupBy("d", "t").agg(
+        F.collect_list("x").alias("lines")), "wanted-lines")
+    found = slim.join(lines, ["d", "t"]).select("d", "t", "text", "lines")
+    return found.mapInPandas(sets, "k long, b1 long, b2 long, d long, t long, line int, set binary").dropDuplicates(CLS).select(
+        F.struct(*CLS).alias("cls"), F.struct("d", "t", "line").alias("place"), "set")
+
+
+def similar_earlier(slim: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``k, b1, b2`` of the classes that have a similar class with an earlier first place (``place``).
+
+    One such class is enough: in frequent words every class first meets the first ones, and only those that stay open
+    meet all earlier ones, so a large group of similar lines makes few pairs.
+    """
+    pre = classes.select(*CLS, "size", "skip", "cold", "place", F.posexplode("prefix").alias("i", "word")).withColumn(
+        "pos", F.col("skip") + F.col("i"))
+    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+    hot = stored(_planned(pre.filter("i >= cold").select("word", step.alias("step"), *_ROW)), "hot-prefixes")
+    first = stored(cold_pairs(pre, percent).union(star_pairs(hot, percent)).distinct(), "first-pairs")
+    gone = stored(later_ones(slim, classes, first, percent), "gone-classes")
+    rest = stored(open_pairs(hot, gone, percent), "open-pairs")
+    return gone.union(later_ones(slim, classes, rest, percent)).distinct()
+
+
+def later_ones(slim: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """``k, b1, b2`` of the later class of each of ``pairs`` whose full sets are similar."""
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    placed = classes.select(F.struct(*CLS).alias("cls"), "place").join(wanted, "cls", "left_semi")
+    sets = stored(sets_of(slim, placed), "line-sets")
+    of = lambda x: sets.select(F.col("cls").alias(x), F.col("set").alias(f"set_{x}"), F.col("place").alias(f"place_{x}"))
+    met = salted_join(salted_join(pairs, ["a"], of("a"), "b"), ["b"], of("b"), "a")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             ok = [similar(np.frombuffer(u, np.uint64), np.frombuffer(v, np.uint64), percent)
                   for u, v in zip(x["set_a"], x["set_b"], strict=True)]
-            yield pd.DataFrame({"cls": x.loc[ok, "later"]})
+            yield x.loc[ok, CLS]
 
     later = F.when(F.col("place_a") < F.col("place_b"), F.col("b")).when(
         F.col("place_b") < F.col("place_a"), F.col("a"))
-    met = left.join(right, ["b", "salt"]).withColumn("later", later).filter("later IS NOT NULL")
-    return met.select("set_a", "set_b", "later").mapInPandas(check, "cls binary").distinct()
+    return met.withColumn("later", later).filter("later IS NOT NULL").select("set_a", "set_b", "later.*").mapInPandas(
+        check, "k long, b1 long, b2 long").distinct()
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``d, t, line`` of the lines that go (``d``: id, ``t``: hash of the text)."""
     spark = docs.sparkSession
     ship_package(spark)
-    n = partitions(spark)
-
-    @F.pandas_udf("binary")
-    def class_key(s: pd.Series) -> pd.Series:
-        return _class_key(s)
-
-    lines = line_sets(docs, id_col, text_col).withColumn("cls", class_key("set"))
+    slim = _slim(docs, id_col, text_col)
     place = F.struct("d", "t", "line")
-    # the lines themselves are kept without their sets; a class keeps one
-    at = stored(lines.select("cls", "d", "t", "line"), "lines")
-    classes = stored(lines.groupBy("cls").agg(F.min(place).alias("place"), F.first("set").alias("set")), "line-classes")
-    near = similar_earlier(classes, percent)
+    lines = stored(line_rows(slim, rarity_levels(slim), percent), "lines")
+    classes = stored(lines.groupBy(*CLS).agg(F.min(place).alias("place"), *[
+        F.first(c).alias(c) for c in ("size", "skip", "cold", "prefix")]), "line-classes")
+    near = similar_earlier(slim, classes, percent)
     # all lines of a class with a similar earlier class go; of the others all but those in the first place
-    verdict = classes.select("cls", "place").join(near.withColumn("gone", F.lit(True)), "cls", "left")
-    salted = at.select("cls", "d", "t", "line").withColumn("salt", F.pmod(F.xxhash64("d", "line"), F.lit(n)).cast("int"))
-    cells = salted.select("cls", "salt").distinct().join(verdict, "cls")
-    return (salted.join(cells, ["cls", "salt"]).filter(F.col("gone") | (place > F.col("place")))
-            .select("d", "t", "line").distinct())
+    verdict = classes.select(*CLS, "place").join(near.withColumn("gone", F.lit(True)), CLS, "left")
+    marked = salted_join(lines.select(*CLS, "d", "t", "line"), CLS, verdict, "d")
+    return marked.filter(F.col("gone") | (place > F.col("place"))).select("d", "t", "line").distinct()
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed`` (line numbers) ``, text`` (cleaned) for each row of ``docs``."""
-    gone = (dropped_lines(docs, id_col, text_col, percent).groupBy("d", "t")
-            .agg(F.array_sort(F.collect_list("line")).alias("removed")))
+    gone = stored(dropped_lines(docs, id_col, text_col, percent).groupBy("d", "t")
+                  .agg(F.array_sort(F.collect_list("line")).alias("removed")), "removed-lines")
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     base = base.withColumn("d", F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))).withColumn("t", F.xxhash64("text"))
     lines = F.split(F.col("text"), "\n", -1)

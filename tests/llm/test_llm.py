@@ -412,6 +412,22 @@ def test_lines(spark):
     assert {r.doc_id: (r.n_lines, list(r.removed), r.text) for r in got} == brute_lines(rows)
 
 
+def test_lines_frequent_words(spark):
+    """Over 256 near copies of a line: words beyond one tile, and classes that stay open after the first round."""
+    rnd = random.Random(5)
+    base = [f"base{i}" for i in range(12)]
+
+    def line(edits):
+        out = list(base)
+        for i in rnd.sample(range(12), edits):
+            out[i] = f"w{rnd.randint(0, 400)}"
+        return " ".join(out)
+
+    rows = [(i, "\n".join(line(rnd.randint(0, 4)) for _ in range(5)), None, None, None) for i in range(160)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: (r.n_lines, list(r.removed), r.text) for r in got} == brute_lines(rows)
+
+
 def test_lines_fixture(docs, rows):
     got = line_dedup.line_report(docs)
     assert got.count() == len(rows)
