@@ -159,7 +159,8 @@ def rarity(classes: DataFrame, bits: int = COUNTERS) -> np.ndarray:
 def prefix_pairs(sets: DataFrame, percent: int, agree: float = 0.0, bits: int = COUNTERS) -> DataFrame:
     """Candidate pairs ``a < b`` of ``cls, set, comp`` that are in different ``comp``: they share a word of both
     prefixes and pass the length and positional filters.  Every pair of similar sets is among them.
-    ``agree``: ``sets`` has a ``sketch``, and only pairs whose sketches agree in that share of their bytes are given.
+    ``agree``: ``sets`` has a ``sketch``, and only pairs whose sketches agree in that share of their bytes and whose
+    parity bitmaps do not show too many words apart (an exact bound) are given.
 
     A word's classes are cut into tiles of one size step, and, where a ``comp`` is large, into those of the ``comp`` of
     the first class (side 0, no pairs among themselves) and the others (side 1).
@@ -185,7 +186,10 @@ def prefix_pairs(sets: DataFrame, percent: int, agree: float = 0.0, bits: int =
                 at = row[order][take]
                 out = pd.DataFrame({"word": words[order][take].view(np.int64), "cls": some["cls"].to_numpy()[at],
                                     "size": lens[at], "pos": pos[take], "comp": some["comp"].to_numpy()[at]})
-                yield out.assign(sketch=some["sketch"].to_numpy()[at]) if agree else out
+                if agree:
+                    both = [p + k for p, k in zip(parities(words, row, len(some)), some["sketch"], strict=True)]
+                    out["sketch"] = np.array(both, object)[at]
+                yield out
 
     more = ["sketch"] if agree else []
     pre = sets.select("cls", "set", "comp", *more).mapInPandas(
@@ -230,11 +234,38 @@ def prefix_pairs(sets: DataFrame, percent: int, agree: float = 0.0, bits: int =
     pairs = part("x", "a").join(part("y", "b"), key).filter(
         once & fits & (most >= need) & (F.col("c_x") != F.col("c_y")))
     if agree:
-        pairs = pairs.select("a", "b", F.col("sketch_x").alias("sketch_a"), F.col("sketch_y").alias("sketch_b")).mapInPandas(
-            agreeing(agree), "a binary, b binary")
+        pairs = pairs.select("a", "b", (F.col("n_x") + F.col("n_y")).alias("both"), F.col("sketch_x").alias("sketch_a"),
+                             F.col("sketch_y").alias("sketch_b")).mapInPandas(close(agree, percent), "a binary, b binary")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+#: Bytes of a set's parity bitmap.
+PARITY = 128
+
+
+def parities(words: np.ndarray, row: np.ndarray, rows: int) -> list[bytes]:
+    """For each row a bitmap of ``8 * PARITY`` cells: whether an odd number of its words fall into the cell.  Two bitmaps
+    differ in at most as many cells as the sets differ in words."""
+    cells = 8 * PARITY
+    at = row * cells + (words & np.uint64(cells - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=rows * cells) & 1).astype(np.uint8).reshape(rows, cells)
+    return [x.tobytes() for x in np.packbits(odd, axis=1)]
+
+
+def close(share: float, percent: int):
+    """Keeps ``(a, b)`` whose sketches, after the parity bitmap, agree in ``share`` of their bytes and whose bitmaps allow
+    a Jaccard of ``percent``; ``both`` is the sum of the set sizes."""
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            if len(x):
+                u, v = (np.frombuffer(b"".join(x[c]), np.uint8).reshape(len(x), -1) for c in ("sketch_a", "sketch_b"))
+                apart = np.bitwise_count(u[:, :PARITY] ^ v[:, :PARITY]).sum(axis=1, dtype=np.int64)
+                ok = apart * (100 + percent) <= x["both"].to_numpy() * (100 - percent)
+                yield x.loc[ok & ((u[:, PARITY:] == v[:, PARITY:]).mean(axis=1) >= share), ["a", "b"]]
+
+    return keep
+
+
 def agreeing(share: float):
     """Keeps ``(a, b)`` whose ``sketch_a`` and ``sketch_b`` have equal bytes in that share of places at least."""
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
