@@ -18,7 +18,8 @@ Hot buckets go through salted cells, so no task holds a whole bucket.
 
 Defined results: null or blank text has an empty set and is a component of its own; rows with null ids
 take part, and a component without any id has a null component id; ``kept`` is then true.  Repeated
-rows of the smallest id are all ``kept`` (``drop_near`` leaves one).  Other columns are ignored.
+rows of the smallest id are all ``kept`` (``drop_near`` leaves one).  A row is found again by its id and the hash of
+its text, so rows that share an id, or have none, are told apart.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import partitions, salted_join, stored
+from labelkiln.llm.common import LOWEST, partitions, salted_join, stored
 from labelkiln.llm.line_dedup import agreeing, prefix_pairs
 from labelkiln.llm.sets import mix, shingle_set, similar, word_hashes
 from labelkiln.session import ship_package
@@ -100,8 +101,14 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
+def _row_key(id_col: str, text_col: str) -> list[Column]:
+    """``d, t``: the id (null: ``LOWEST``) and the hash of the text."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("d"),
+            F.xxhash64(F.col(text_col).cast("string")).alias("t")]
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``doc_id, n_shingles, seq, bands, sketch``; the sketch is one byte a register."""
+    """``doc_id, t, n_shingles, seq, bands, sketch``; ``t`` is the hash of the text, the sketch one byte a register."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for lo in range(0, len(b), 256):
@@ -112,23 +119,26 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
                 keys = _signed(band_keys(sig))
                 sketch = (sig & np.uint64(0xFF)).astype(np.uint8)
                 yield pd.DataFrame({
-                    "doc_id": some["doc_id"].to_numpy(), "n_shingles": [len(s) for s in sets],
+                    "doc_id": some["doc_id"].to_numpy(), "t": some["t"].to_numpy(), "n_shingles": [len(s) for s in sets],
                     "seq": [sequence_key(w) for w in words], "bands": list(keys),
                     "sketch": [r.tobytes() for r in sketch]})
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInPandas(sign, "doc_id long, n_shingles long, seq binary, bands array<long>, sketch binary")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row_key(id_col, text_col)[1],
+                       F.col(text_col).cast("string").alias("text"))
+    return slim.mapInPandas(sign, "doc_id long, t long, n_shingles long, seq binary, bands array<long>, sketch binary")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``node, set`` of the nodes of ``wanted`` (``node, doc_id``: one row of each), computed anew."""
+    """``node, set`` of the nodes of ``wanted`` (``node, d, t``: one row of each), computed anew."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"node": b["node"], "set": [
-                shingle_set(word_hashes(t), width).tobytes() for t in b["text"]]})
+            words = [word_hashes(t) for t in b["text"]]
+            # another text of the same id and hash is not the node's
+            own = [(n, shingle_set(w, width).tobytes()) for n, w in zip(b["node"], words, strict=True) if sequence_key(w) == n]
+            yield pd.DataFrame(own, columns=["node", "set"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = slim.join(wanted, slim["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "text")
+    slim = docs.select(*_row_key(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    found = slim.join(wanted, ["d", "t"]).select("node", "text")
     return found.mapInPandas(sets, "node binary, set binary").dropDuplicates(["node"])
 
 
@@ -178,7 +188,8 @@ def near_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str, widt
     """Verified links ``a, b`` between nodes (word sequences) that connect every component."""
     n = partitions(docs.sparkSession)
     nodes = stored(sig.filter("n_shingles > 0").groupBy(F.col("seq").alias("node")).agg(
-        F.first("n_shingles").cast("int").alias("size"), F.min("doc_id").alias("doc_id"),
+        F.first("n_shingles").cast("int").alias("size"),
+        F.min(F.struct(F.coalesce("doc_id", F.lit(LOWEST)).alias("d"), "t")).alias("place"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
     # one exchange of the members, by (key, salt): the band is part of the key's hash
     member = _cells(nodes.select("node", "size", F.explode("bands").alias("key")), n).repartition("key", "salt")
@@ -200,7 +211,7 @@ def near_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str, widt
 
 def _sets_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """Sets are computed anew from the texts where they are needed, not carried along for every document."""
-    return stored(shingle_sets(docs, nodes.join(wanted, "node", "left_semi").select("node", "doc_id"), id_col, text_col,
+    return stored(shingle_sets(docs, nodes.join(wanted, "node", "left_semi").select("node", "place.*"), id_col, text_col,
                                width), "sets")
 
 
@@ -237,27 +248,41 @@ def _across(docs, shared: DataFrame, nodes: DataFrame, comps: DataFrame, id_col,
     return stored(verified(pairs, sets, percent), "second-links")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                width: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
+def _decided(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """``doc_id, t, n_shingles, first`` for each row: ``first`` (``no_id, id, t``) is the first row of its component."""
     ship_package(docs.sparkSession)
     sig = stored(signatures(docs, id_col, text_col, width), "signatures")
     comps = components(near_links(docs, sig, id_col, text_col, width, percent))
-    rows = sig.select("doc_id", "n_shingles", F.col("seq").alias("node"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "t")
+    rows = sig.select("doc_id", "t", "n_shingles", F.col("seq").alias("node"))
     full = rows.filter("n_shingles > 0")
-    by_node = full.groupBy("node").agg(F.min("doc_id").alias("low"))
+    by_node = full.groupBy("node").agg(F.min(place).alias("low"))
     named = by_node.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    first = named.groupBy("comp").agg(F.min("low").alias("component_id"))
-    named = salted_join(named.select("node", "comp"), ["comp"], first, "node").select("node", "component_id")
-    out = salted_join(full, ["node"], named, "doc_id").select("doc_id", "n_shingles", "component_id").unionByName(
-        rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    first = named.groupBy("comp").agg(F.min("low").alias("first"))
+    named = salted_join(named.select("node", "comp"), ["comp"], first, "node").select("node", "first")
+    return salted_join(full, ["node"], named, "t").select("doc_id", "t", "n_shingles", "first").unionByName(
+        rows.filter("n_shingles = 0").select("doc_id", "t", "n_shingles", place.alias("first")))
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                width: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
+    out = _decided(docs, id_col, text_col, width, percent).select(
+        "doc_id", "n_shingles", F.col("first.id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               width: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with all its columns and one document of each group; rows without words and rows without an id
-    (which no decision can name) stay, and so do rows that repeat the id of one that stays."""
-    gone = near_groups(docs, id_col, text_col, width, percent).filter("NOT kept AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_lk_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_lk_gone"], "left_anti")
+    """``docs`` with all its columns and one row of each group: the one of the smallest id (rows without an id come
+    last) and then of the smallest text hash.  Rows without words stay."""
+    key = _row_key("doc_id", text_col)[0]
+    rows = stored(_decided(docs, id_col, text_col, width, percent).filter("n_shingles > 0").select(
+        key, "t", (F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("t") == F.col("first.t"))).alias("stays")), "decided")
+    gone = rows.filter("NOT stays").select(F.struct("d", "t").alias("_lk_row")).distinct()
+    # equal rows have one key: of those that stay, one does
+    again = rows.filter("stays").groupBy("d", "t").agg(F.count("*").alias("n")).filter("n > 1").select(
+        F.struct("d", "t").alias("_lk_row"))
+    left = docs.withColumn("_lk_row", F.struct(*_row_key(id_col, text_col))).join(gone, "_lk_row", "left_anti")
+    return left.join(again, "_lk_row", "left_anti").unionByName(
+        left.join(again, "_lk_row", "left_semi").dropDuplicates(["_lk_row"])).drop("_lk_row")

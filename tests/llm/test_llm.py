@@ -286,6 +286,26 @@ def test_drop_near(docs, rows):
     assert {r.doc_id for r in left.collect()} - {None} == {r.doc_id for r in want.collect()} - {None}
 
 
+def test_near_rows_of_one_id(spark):
+    """Ids that repeat with other texts, and rows without one: sets and decisions are those of the row."""
+    rnd = random.Random(6)
+    text = lambda: " ".join(f"w{rnd.randrange(10**9)}" for _ in range(60))
+    near = lambda t: t + " more"
+    a, b, none = text(), text(), [text() for _ in range(20)]
+    rows = [(3, a), (7, near(a)), (7, b), (7, b)] + [(None, t) for x in none for t in (x, near(x))]
+    rows += [(None, near(near(b))), (None, ""), (None, ""), (9, None)]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA).repartition(5)
+    sig = near_dedup.signatures(df, "doc_id", "text", 5).filter("n_shingles > 0")
+    wanted = sig.select(F.col("seq").alias("node"), F.coalesce("doc_id", F.lit(near_dedup.LOWEST)).alias("d"), "t").distinct()
+    sets = {bytes(r.node): bytes(r.set) for r in near_dedup.shingle_sets(df, wanted, "doc_id", "text", 5).collect()}
+    hashed = [near_dedup.word_hashes(t) for _, t in rows if t]
+    assert sets == {near_dedup.sequence_key(w): near_dedup.shingle_set(w, 5).tobytes() for w in hashed}
+    left = [(r.doc_id, r.text) for r in near_dedup.drop_near(df).collect()]
+    assert sorted((i, t) for i, t in left if i is not None and t) == [(3, a), (7, b)]
+    assert Counter(t for i, t in left if not t) == {"": 2, None: 1}
+    assert Counter(t.removesuffix(" more") for i, t in left if i is None and t) == Counter(none)
+
+
 # 5 ---------------------------------------------------------------------------------------------------------------
 def brute_exact(rows):
     groups = defaultdict(list)
