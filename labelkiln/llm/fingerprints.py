@@ -1,11 +1,15 @@
 """Order MinHash fingerprints of documents, with DataFrame functions only.
 
 A text is cut into words, and every run of ``k`` words is a k-mer.  Equal k-mers of one text are numbered
-by occurrence, so that a k-mer and its repeats are different elements.  Each element is hashed to one of ``bins`` bins; of each bin the ``tuple_size``
-elements with the smallest hashes are selected, put back in the order of the text, and hashed as one
-tuple.  Two texts agree in a bin only if they select the same elements in the same order, which
+by occurrence, so that a k-mer and its repeats are different elements.  For each of ``bins`` bins the ``tuple_size``
+smallest elements of the whole text, in an order of the bin's own, are selected, put back in the order of the text, and
+hashed as one tuple.  Two texts agree in a bin only if they select the same elements in the same order, which
 is what makes the signature follow edit distance rather than set overlap.
 
+The orders are those of SuperMinHash: an element visits all bins in a permutation of its own, and a bin's order is by
+round of the visit, then by a hash of element and round.  A bin that round 0 fills needs no later one, so long texts
+need a single round, and short ones as many as it takes.
+
 All of it happens inside the row, in sorts of an array of longs; a text never leaves its row to
 be fingerprinted.  The neighbour comparison moves each text once, in blocks of consecutive ids.
 
@@ -52,9 +56,12 @@ def pieces(text: Column) -> Column:
         F.regexp_extract_all(null_text(text), F.lit(r"[^\x20\x09-\x0D]{1,8}"), F.lit(0))))
 
 
-def order_minhash(text: Column, k: int = K, bins: int = BINS, tuple_size: int = TUPLE) -> Column:
+def order_minhash(text: Column, k: int = K, bins: int = BINS, tuple_size: int = TUPLE, whole: bool = False) -> Column:
     """Ascending ``array<long>`` of (bin, 32-bit tuple hash), one for each bin that has elements.
 
+    ``whole``: every bin selects among all elements of the text.  Otherwise only among those of round 0 (one permutation);
+    then bins of short texts hold few elements or none.
+
     An element is a long: from the top, after a zero sign, the bin, the hash and 28 bits of position, so
     that one sort orders a text's elements by bin and hash.
     """
@@ -62,6 +69,7 @@ def order_minhash(text: Column, k: int = K, bins: int = BINS, tuple_size: int =
         raise ValueError("bins must be 16, 32, 64 or 128")
     bin_shift = 63 - (bins.bit_length() - 1)
     hash_bits = ((1 << 63) - 1) & ~_POS
+    round_shift = 2 * bin_shift - 63
 
     def kmers(words: Column) -> Column:
         n = F.greatest(F.size(words) - (k - 1), F.lit(1))
@@ -90,17 +98,42 @@ def order_minhash(text: Column, k: int = K, bins: int = BINS, tuple_size: int =
         return F.filter(es, lambda x, i: (i < tuple_size) | (
             F.shiftright(x, bin_shift) != F.shiftright(F.get(es, i - tuple_size), bin_shift)))
 
-    def tuple_hash(run: Column) -> Column:
+    def thrown(es: Column, rounds: Column) -> Column:
+        """Sorted visits of the first ``rounds`` rounds: bin, round, hash, and 28 bits of index in ``es``."""
+        at = lambda b, r, i: F.shiftleft(b.cast("long"), bin_shift).bitwiseOR(
+            F.shiftleft(r.cast("long"), round_shift)).bitwiseOR(i.cast("long"))
+        place = lambda x, r: (F.shiftright(x, bin_shift) + r * (
+            F.shiftright(x, 28).bitwiseAND(F.lit(bins // 2 - 1)) * 2 + 1)).bitwiseAND(F.lit(bins - 1))
+        later = F.transform(es, lambda x, i: F.transform(F.sequence(F.lit(1), rounds - 1), lambda r: at(
+            place(x, r), r, i).bitwiseOR(F.shiftleft(F.shiftrightunsigned(
+                F.xxhash64(F.shiftright(x, 28), r), 64 - (round_shift - 28)), 28))))
+        return F.sort_array(F.concat(F.transform(es, lambda x, i: at(F.shiftright(x, bin_shift), F.lit(0), i)), F.flatten(later)))
+
+    def selected(es: Column) -> Column:
+        """The first ``tuple_size`` visits of each bin; all rounds where a few did not fill every bin."""
+        some = F.least(F.lit(bins), F.lit(2) + F.floor(F.lit(16 * bins) / F.size(es)).cast("int"))
+        first = lambda rounds: let(thrown(es, rounds), minimal)
+        return let(first(some), lambda vs: F.when(
+            F.size(vs) == F.least(F.size(es), F.lit(tuple_size)) * bins, vs).otherwise(first(F.lit(bins))))
+
+    def tuple_hash(run: Column, register: Column | None = None) -> Column:
         # position to the top, hash below it: sorting restores the order of the text
         in_text_order = F.sort_array(F.transform(run, lambda x: F.shiftleft(x.bitwiseAND(F.lit(_POS)), 35)
                                                  .bitwiseOR(F.shiftright(x, 28))))
         h = F.hash(F.transform(in_text_order, lambda x: x.bitwiseAND(F.lit((1 << 35) - 1)))).cast("long")
-        return F.shiftleft(F.shiftright(F.element_at(run, 1), bin_shift), 32).bitwiseOR(
-            h.bitwiseAND(F.lit(0xFFFFFFFF)))
+        register = F.shiftright(F.element_at(run, 1), bin_shift) if register is None else register
+        return F.shiftleft(register, 32).bitwiseOR(h.bitwiseAND(F.lit(0xFFFFFFFF)))
+
+    def from_all(es: Column) -> Column:
+        return let(selected(es), lambda vs: _runs(vs, bin_shift, lambda run: tuple_hash(
+            F.transform(run, lambda v: F.get(es, v.bitwiseAND(F.lit(_POS)).cast("int"))),
+            F.shiftright(F.element_at(run, 1), bin_shift))))
 
     def signature(words: Column) -> Column:
+        dealt = lambda ms: _runs(ms, bin_shift, tuple_hash)
         return let(kmers(words), lambda ks: let(elements(ks), lambda es: let(
-            minimal(es), lambda ms: _runs(ms, bin_shift, tuple_hash))))
+            minimal(es), lambda ms: F.when(F.size(ms) == tuple_size * bins, dealt(ms)).otherwise(from_all(es))
+            if whole else dealt(ms))))
 
     return let(pieces(text), lambda w: F.when(F.size(w) > 0, signature(w))
                .otherwise(F.array().cast("array<bigint>")))
@@ -151,7 +184,7 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     signature, edited_signature, next_signature``.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), null_text(F.col(text_col)).alias("text"))
-    base = base.withColumn("signature", order_minhash(F.col("text"), k, bins, tuple_size))
+    base = base.withColumn("signature", order_minhash(F.col("text"), k, bins, tuple_size, whole=True))
     ahead = with_next(base, "doc_id", ["text", "signature"])
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
@@ -159,7 +192,7 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "doc_id", n.cast("long").alias("n_chars"), "text", "signature",
         F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)).alias("edited"),
         F.col("next_signature"))
-    return edited.withColumn("edited_signature", order_minhash(F.col("edited"), k, bins, tuple_size))
+    return edited.withColumn("edited_signature", order_minhash(F.col("edited"), k, bins, tuple_size, whole=True))
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:

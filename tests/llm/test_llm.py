@@ -119,6 +119,24 @@ def test_fingerprints_follow_order(spark):
     assert near[0] < 0.75 < 0.9 < near[1]
 
 
+def test_fingerprints_of_short_texts(spark):
+    """Every tuple is chosen among all k-mers of a text: short texts fill every bin and show the order as long ones do."""
+    rnd = random.Random(11)
+    rows = []
+    for n in (20, 40, 60, 120):
+        for _ in range(10):
+            w = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+            rows.append((n, " ".join(w), " ".join(w[n // 2 :] + w[: n // 2])))
+    df = spark.createDataFrame(rows + [(1, "a b", "a b"), (2, "a b c d", "a b c d")], "n int, a string, b string").repartition(4)
+    s = {c: fingerprints.order_minhash(F.col(c), whole=True) for c in "ab"}
+    got = df.select("n", F.size(s["a"]).alias("filled"), fingerprints.likeness(s["a"], s["b"]).alias("near"),
+                    F.transform(s["a"], lambda x: F.shiftright(x, 32)).alias("bins")).collect()
+    assert all(r.bins == list(range(64)) for r in got)
+    for n in (20, 40, 60, 120):
+        assert 0.2 < np.mean([r.near for r in got if r.n == n]) < 0.58
+    assert all(r.near == 1 for r in got if r.n < 3)
+
+
 def test_fingerprint_elements(spark):
     """The signature equals a plain version of it, repeats included."""
     rnd = random.Random(3)
