@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from labelkiln.llm.common import LOWEST, block_of, let, null_text, partitions, upper_splitters
 
 K, BINS, TUPLE = 3, 64, 2
+LONG, GRAM = 24, 8
 _POS = (1 << 28) - 1
 #: The characters of [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
@@ -46,14 +47,17 @@ def _runs(sorted_values: Column, drop_bits: int, per_run) -> Column:
 
 
 def pieces(text: Column) -> Column:
-    """The words of a text; a text of more than 24 characters a word (a script without spaces, encoded
-    data) is cut into pieces of 8 characters instead."""
+    """The words of a text; a word of more than ``LONG`` characters (a script without spaces, encoded data) is
+    taken as its overlapping runs of ``GRAM`` characters, so that an edit changes only the runs it touches."""
     spaced = null_text(text)
     for c in SPACES[1:]:
         spaced = F.replace(spaced, F.lit(c), F.lit(" "))
     words = F.array_remove(F.split(spaced, " ", -1), "")
-    return let(words, lambda w: F.when(F.char_length(null_text(text)) <= 24 * (F.size(w) + 1), w).otherwise(
-        F.regexp_extract_all(null_text(text), F.lit(r"[^\x20\x09-\x0D]{1,8}"), F.lit(0))))
+    grams = lambda w: let(F.split(w, ""), lambda cs: F.transform(
+        F.sequence(F.lit(0), F.size(cs) - GRAM), lambda i: F.array_join(F.slice(cs, i + 1, F.lit(GRAM)), "")))
+    is_long = lambda w: F.char_length(w) > LONG
+    return let(words, lambda ws: F.when(F.exists(ws, is_long), F.flatten(F.transform(
+        ws, lambda w: F.when(is_long(w), grams(w)).otherwise(F.array(w))))).otherwise(ws))
 
 
 def order_minhash(text: Column, k: int = K, bins: int = BINS, tuple_size: int = TUPLE, whole: bool = False) -> Column:

@@ -137,6 +137,19 @@ def test_fingerprints_of_short_texts(spark):
     assert all(r.near == 1 for r in got if r.n < 3)
 
 
+def test_fingerprints_without_spaces(spark):
+    """An inserted character moves no later piece, and half a text in another script leaves the other half alike."""
+    rnd = random.Random(12)
+    a = "".join(chr(rnd.randrange(0x4E00, 0x9000)) for _ in range(600))
+    english = " ".join(f"w{rnd.randrange(10**4)}" for _ in range(50))
+    df = spark.createDataFrame([(a, "日" + a, a[:300] + english, "aa " + "x" * 24 + " " + "ab" * 13)],
+                               "a string, b string, c string, d string")
+    s = {c: fingerprints.order_minhash(F.col(c), whole=True) for c in "abc"}
+    near = df.select(*[fingerprints.likeness(s["a"], s[c]) for c in "bc"], fingerprints.pieces(F.col("d"))).first()
+    assert near[0] > 0.9 and near[1] > 0.08
+    assert near[2] == ["aa", "x" * 24] + [("ab" * 13)[i : i + 8] for i in range(19)]
+
+
 def test_fingerprint_elements(spark):
     """The signature equals a plain version of it, repeats included."""
     rnd = random.Random(3)
