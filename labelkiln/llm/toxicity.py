@@ -1,8 +1,8 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained on labelled text, an ordinary one and a toxic one.  The toxic one is trained on what
-is new about toxic text: its stretches whose 6-byte sequences do not occur in the ordinary sample, so
-that it holds what recurs in toxic text only.  A text is cut into overlapping windows; each is compressed
+telling about toxic text: its stretches whose 6-byte sequences are many times as frequent there as in the ordinary
+sample, by share of texts; its size is that of the distinct stretches.  A text is cut into overlapping windows; each is compressed
 with the ordinary dictionary and with both, and a window counts as suspect from a saving of ``STEP`` bytes
 on.  A logistic curve over the windows' savings (largest, mean, shares of suspect windows) and then isotonic
 regression turn them into a score; both are fitted on savings under dictionaries of the other half of the sample.
@@ -32,7 +32,9 @@ from labelkiln.session import ship_package
 WINDOW, HOP, STEP = 128, 112, 2
 SAMPLE = 2000
 MER = 6
-ORDINARY_BYTES, TOXIC_BYTES = 1 << 17, 1 << 11
+SMOOTH, RATIO = 1.0, 8.0
+#: Both dictionaries together stay within the compressor's window of 2**18 bytes.
+ORDINARY_BYTES, TOXIC_BYTES = 1 << 17, (1 << 17) - WINDOW
 THRESHOLD = 0.3
 
 
@@ -101,14 +103,29 @@ def _mers(raw: bytes) -> np.ndarray:
     return out
 
 
-def new_stretches(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """The stretches of toxic texts whose 6-byte sequences recur there and the ordinary texts do not have."""
-    seen = np.zeros(0, np.uint64)
-    for lo in range(0, len(ordinary), 500):
-        seen = np.union1d(seen, np.concatenate([_mers(t) for t in ordinary[lo : lo + 500]]))
-    found = [m[~_among(m, seen)] for m in map(_mers, toxic)]
-    each, texts = np.unique(np.concatenate([np.unique(m) for m in found] or [seen[:0]]), return_counts=True)
-    telling, out = each[texts >= min(2, len(toxic))], []
+def _by_texts(texts: list[bytes], among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The 6-byte sequences (of ``among``) and in how many texts each occurs; 500 texts at a time."""
+    mers, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for lo in range(0, len(texts), 500):
+        each = [np.unique(_mers(t)) for t in texts[lo : lo + 500]]
+        new, n = np.unique(np.concatenate([m if among is None else m[_among(m, among)] for m in each]), return_counts=True)
+        both, at = np.unique(np.concatenate([mers, new]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([counts, n]), len(both)).astype(np.int64)
+        mers = both
+    return mers, counts
+
+
+def telling_stretches(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """The stretches of toxic texts whose 6-byte sequences recur there and are ``RATIO`` times as frequent (smoothed shares
+    of texts) as in the ordinary texts; a few mislabelled or quoting ordinary texts do not remove a sequence."""
+    each, texts = _by_texts(toxic)
+    recur = texts >= min(2, len(toxic))
+    each, texts = each[recur], texts[recur]
+    plain = np.zeros(len(each))
+    known, n = _by_texts(ordinary, each)
+    plain[np.searchsorted(each, known)] = n
+    ratio = np.log((texts + SMOOTH) / (len(toxic) + 2 * SMOOTH)) - np.log((plain + SMOOTH) / (len(ordinary) + 2 * SMOOTH))
+    telling, out = each[ratio >= np.log(RATIO)], []
     for raw in toxic:
         edge = np.diff(_among(_mers(raw), telling).astype(np.int8), prepend=0, append=0)
         out += [raw[a : b + MER - 1] for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
@@ -134,7 +151,8 @@ def train_dictionaries(texts: pd.Series, y: pd.Series) -> tuple[bytes, bytes]:
     """(ordinary, toxic) dictionaries."""
     raw = {v: [lowered(t) for t in texts[y == v]] for v in (0, 1)}
     ordinary = _trained([w for t in raw[0] for w in windows(t)], ORDINARY_BYTES, 64, 8)
-    return ordinary, _trained(new_stretches(raw[1], raw[0]), TOXIC_BYTES, 16, 6)
+    stretches = telling_stretches(raw[1], raw[0])
+    return ordinary, _trained(stretches, min(TOXIC_BYTES, max(256, sum(map(len, set(stretches))))), 16, 6)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, learn, per_class: int, id_col: str,

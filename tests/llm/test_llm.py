@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -516,6 +517,28 @@ def test_classifiers_on_fixture(spark, docs, rows):
     assert quality.accepted(docs, one).count() == len(rows)
 
 
+def test_toxic_words_survive_flipped_labels():
+    """A few toxic texts among the ordinary ones do not take their words out of the toxic dictionary."""
+    rnd = random.Random(13)
+    bad = ["".join(rnd.choices("qwxzjkvy", k=9)).encode() for _ in range(10)]
+    vocab = ["".join(rnd.choices("abcdefghilmnoprstu", k=rnd.randint(3, 9))).encode() for _ in range(500)]
+
+    def text(extra):
+        w = rnd.choices(vocab, k=60) + extra
+        rnd.shuffle(w)
+        return b" ".join(w)
+
+    toxic, ordinary = [text(rnd.sample(bad, 3)) for _ in range(200)], [text([]) for _ in range(395)]
+    flipped = ordinary + [text(list(bad)) for _ in range(5)]
+    held = b"\n".join(toxicity.telling_stretches(toxic, flipped))
+    assert all(w in held for w in bad)
+    words_held = [w for w in vocab if len(w) >= 6 and b" " + w + b" " in held]
+    assert len(words_held) < 0.05 * len(vocab)
+    both = np.r_[np.ones(200, int), np.zeros(400, int)]
+    _, trained = toxicity.train_dictionaries(pd.Series([t.decode() for t in toxic + flipped]), pd.Series(both))
+    assert all(w in trained for w in bad)
+
+
 def test_held_out_labels_do_not_matter(spark, docs, rows):
     labels = spark.createDataFrame([(r[0], i % 2, (i // 3) % 2) for i, r in enumerate(rows) if r[0] is not None],
                                    "doc_id long, quality int, toxic int")
