@@ -196,8 +196,8 @@ def fit_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
         tried = Savings(*train_dictionaries(s["text"][fold != f], s["y"][fold != f]))
         x[fold == f] = [tried.features(t) for t in s["text"][fold == f]]
     w = logistic(x, y)
-    # the sample is taken by class, so each class is weighed back to its share of the labelled rows
-    counts = labels.filter(F.col(target).isin(0, 1)).groupBy(F.col(target).cast("int")).count().collect()
+    # the sample is taken by class, so each class is weighed back to its share of the rows learned from
+    counts = labels.filter(F.col(label_id).isNotNull() & F.col(target).isin(0, 1)).filter(learn(F.col(label_id))).groupBy(F.col(target).cast("int")).count().collect()
     share = {r[0]: r[1] for r in counts}
     weigh = np.where(y == 1, share[1] / y.sum(), share[0] / (1 - y).sum())
     xs, ys = isotonic(np.c_[x, np.ones(len(x))] @ w, y, weigh / weigh.mean())

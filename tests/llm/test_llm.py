@@ -548,6 +548,15 @@ def test_held_out_labels_do_not_matter(spark, docs, rows):
     assert np.allclose(a, b)
 
 
+def test_held_out_toxic_labels_do_not_matter(spark, docs, rows):
+    labels = spark.createDataFrame([(r[0], (i // 3) % 2) for i, r in enumerate(rows) if r[0] is not None], "doc_id long, toxic int")
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planted = labels.withColumn("toxic", F.when(crc % 4 == 2, 1).otherwise(F.col("toxic"))).unionByName(
+        spark.createDataFrame([(None, 1)] * 50, "doc_id long, toxic int"))
+    a, b = (sorted((r.doc_id or -1, r.score) for r in toxicity.toxicity_report(docs, x).collect()) for x in (labels, planted))
+    assert np.allclose(a, b) and max(s for _, s in a) > 0
+
+
 # 9 ---------------------------------------------------------------------------------------------------------------
 def brute_targets(size, weights=(5, 2, 1), share=1.5, limit=2):
     names = sorted((s for s in size if s is not None)) + [s for s in size if s is None]
