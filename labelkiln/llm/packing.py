@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import null_text, stored, word_count
+from labelkiln.llm.common import null_text, salted_join, stored, word_count
 from labelkiln.session import ship_package
 
 LENGTHS = (512, 1024, 2048, 4096)
@@ -84,15 +84,18 @@ def best_fit_pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lengths, top = tuple(sorted(lengths)), max(lengths)
     # written once: the number of rows fixes the number of blocks, and the texts are read a single time
     items = stored(docs.select(F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("words"),
-                               F.xxhash64(F.lit("pack"), F.col(id_col), null_text(F.col(text_col))).alias("h")),
-                   "items")
-    # a deal that also parts rows that repeat an id: by hash of the row and of its place among a few salts
+                               F.xxhash64(F.lit("pack"), F.col(id_col), null_text(F.col(text_col))).alias("h"),
+                               F.monotonically_increasing_id().alias("row")), "items")
+    # by hash of the row; equal rows are parted by the row number that was written with them
     blocks = max(1, -(-items.count() // block_rows))
-    pieces = items.filter("words > 0").withColumn(
+    equal = items.groupBy("h").agg(F.count("*").alias("rows")).filter("rows > 1").select("h", F.lit(True).alias("again"))
+    dealt = salted_join(items.filter("words > 0"), ["h"], equal, "row", "left").withColumn(
+        "nth", F.when(F.col("again"), F.col("row")).otherwise(-1))
+    pieces = dealt.withColumn(
         "piece", F.explode(F.sequence(F.lit(0), ((F.col("words") - 1) / top).cast("int")))).select(
         "doc_id", "piece", (F.col("piece").cast("long") * top).alias("piece_start"),
         F.least(F.lit(top).cast("long"), F.col("words") - F.col("piece").cast("long") * top).alias("size"),
-        F.pmod(F.xxhash64("h", "piece"), F.lit(blocks)).alias("block"))
+        F.pmod(F.xxhash64("h", "nth", "piece"), F.lit(blocks)).alias("block"))
 
     def pack(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["size", "doc_id", "piece"], ascending=[False, True, True], kind="stable")

@@ -47,9 +47,8 @@ def prototypes_long(df: DataFrame, label: str = "label", vec: str = "vec") -> Da
 
 
 def members(df: DataFrame, label: str = "label", id_col: str = "id") -> DataFrame:
-    """Member ids per label.  Only for bounded groups; D6 does not need it."""
-    return df.filter(F.col(label).isNotNull()).groupBy(label).agg(
-        F.array_sort(F.collect_list(id_col)).alias("members"))
+    """Members of each label as rows ``label, id``; a label may hold any share of the rows."""
+    return df.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(label, id_col)
 
 
 def _matrix(protos: DataFrame, label: str, vec: str) -> tuple[list, np.ndarray]:

@@ -98,10 +98,10 @@ def prototypes(spark, sf):
 @job("prototype_sizes", f"SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(len(list(id)) AS BIGINT) AS members "
                         f"FROM ({EMB_SQL}) e WHERE label IS NOT NULL GROUP BY label")
 def prototype_sizes(spark, sf):
-    """D6 member counts and D7 member lists (their sizes) per label."""
+    """D6 member counts and D7 member rows (their number) per label."""
     e = emb_corpus(spark, sf)
     p = VO.prototypes(e, "label", "vec").select("label", "n")
-    m = VO.members(e, "label").select("label", F.size("members").cast("bigint").alias("members"))
+    m = VO.members(e, "label").groupBy("label").agg(F.count("*").cast("bigint").alias("members"))
     return p.join(m, "label")
 
 

@@ -404,6 +404,15 @@ def test_packing(docs, rows):
     assert used > 0.9 * given
 
 
+def test_packing_parts_equal_rows(spark):
+    """A third of all rows being one row goes to all blocks, not to one."""
+    rows = [(7, "same row " * 5, None, None, None)] * 400 + [(i, f"t{i} " * 10, None, None, None) for i in range(800)]
+    got = packing.best_fit_pack(spark.createDataFrame(rows, SCHEMA), lengths=(32, 64), block_rows=60)
+    per = got.groupBy("block").agg(F.count("*").alias("n")).collect()
+    assert len(per) == 20 and max(r.n for r in per) < 120
+    assert got.filter("doc_id = 7 AND size = 10").count() == 401 and got.count() == 1200
+
+
 def naive_best_fit(sizes, lengths, overhead):
     bins, left, out = [], sum(sizes), []
     for s in sizes:

@@ -60,6 +60,11 @@ def test_job_matches_duckdb(spark, con, name):
     assert a == b
 
 
+def test_prototype_sizes_collects_no_lists(spark):
+    plan = E.queries()["prototype_sizes"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.JOBS) - set(registry.SQL)))
 def test_job_without_twin_runs(spark, name):
     df = registry.JOBS[name](spark, SF)
