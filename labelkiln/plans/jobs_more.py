@@ -90,7 +90,7 @@ def variant_pairs(spark, sf):
     c = corpus_from_tables(spark, sf)
     v = B.augment_class(c, "toxic", 3, seed=SEED).filter(F.col("variant_no") > 0)
     vp = P.variant_pairs(c, v)
-    return vp.select("id", "variant_no", (F.col("text") != F.col("variant")).alias("changed"))
+    return vp.select("id", "variant_no", "variant", (F.col("text") != F.col("variant")).alias("changed"))
 
 
 @job("augment_errors")
@@ -99,8 +99,7 @@ def augment_errors(spark, sf):
     c = C.labelled(corpus_from_tables(spark, sf, ("n_chars",)))
     tox = [lf for lf in positive_rules() if lf.name == "lf_toxic"][0]
     p = c.withColumn("pred", F.when(tox.predicate, "toxic").otherwise("clean"))
-    a = B.augment_errors(p.select("id", "text", "label", "pred"), "pred", "label", 60, seed=SEED)
-    return a.groupBy("label").agg(F.count("*").cast("bigint").alias("n"))
+    return B.augment_errors(p.select("id", "text", "label", "pred"), "pred", "label", 60, seed=SEED)
 
 
 _RECALL_SQL = f"""WITH s AS (SELECT score, CASE WHEN pred = gold THEN 1 ELSE 0 END AS g FROM ({NEAREST_SQL}) n),

@@ -297,7 +297,7 @@ def embed(spark, sf):
     """K1: text -> vector for the whole documents table (built-in hashed bag of words; a supplied
     encoder runs through the same call on Arrow batches)."""
     v = _doc_vectors(spark, sf)
-    return v.select("id", F.size("vec").alias("dim"), r6(V.norm("vec")).alias("norm"))
+    return v.select("id", F.size("vec").alias("dim"), r6(V.norm("vec")).alias("norm"), "vec")
 
 
 @job("prototype_label_docs")

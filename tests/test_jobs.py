@@ -60,6 +60,26 @@ def test_job_matches_duckdb(spark, con, name):
     assert a == b
 
 
+def test_jobs_return_what_they_compute(spark):
+    assert {"id", "variant_no", "variant"} <= set(registry.JOBS["variant_pairs"](spark, SF).columns)
+    assert "vec" in registry.JOBS["embed"](spark, SF).columns
+    rows = registry.JOBS["augment_errors"](spark, SF)
+    assert {"id", "variant_no", "text", "label"} <= set(rows.columns)
+
+
+def test_supplied_encoder_and_augmenter(spark):
+    from pyspark.sql import functions as F
+
+    from labelkiln.operators import balance, vector
+
+    df = spark.createDataFrame([(1, "a b", "x"), (2, None, "x"), (3, "abc", "x"), (4, "d", "y")], "id long, text string, label string")
+    got = {r.id: list(r.vec) for r in vector.embed(df, lambda ts: [[len(t), 1.0] for t in ts], batch_size=2).collect()}
+    assert got == {1: [3.0, 1.0], 2: [0.0, 1.0], 3: [3.0, 1.0], 4: [1.0, 1.0]}
+    more = balance.augment_to_target(df, target=3, augmenter=lambda d: d.withColumn("text", F.concat(F.lit("new "), "text")))
+    assert sorted((r.id, r.variant_no > 0, r.text) for r in more.filter("label = 'y'").collect()) == [
+        (4, False, "d"), (4, True, "new d"), (4, True, "new d")]
+
+
 def test_prototype_sizes_collects_no_lists(spark):
     plan = E.queries()["prototype_sizes"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
