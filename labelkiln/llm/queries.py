@@ -7,15 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from labelkiln.llm import (
-    exact_dedup, fingerprints, line_dedup, mixing, near_dedup, packing, quality, shards, token_files, toxicity,
+    alignment, chat, exact_dedup, fingerprints, line_dedup, mixing, near_dedup, packing, quality, shards, spelling,
+    token_files, toxicity,
 )
 from labelkiln.llm.common import documents, labels
 
 
-def _tokenizer() -> str:
+def _tokenizer(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,6 +30,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_toxicity": lambda s, d: toxicity.toxicity_report(documents(s, d), labels(s, d)),
     "op9_source_mixing": lambda s, d: mixing.mix_report(documents(s, d)),
     "op10_fourier_quality": lambda s, d: quality.quality_report(documents(s, d), labels(s, d)),
+    "op11_typed_chat": lambda s, d: chat.chat_report(s.read.parquet(f"{d}/conversations.parquet")),
+    "op12_pair_bitmaps": lambda s, d: alignment.alignment_report(
+        documents(s, d), _tokenizer(), _tokenizer("piece_bpe_32k.model")),
+    "op13_spelling_variants": lambda s, d: spelling.variant_groups(documents(s, d)),
 }
 
 SQL: dict[str, str] = {
@@ -45,4 +50,5 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND nth
 FROM f
 """,
     "op9_source_mixing": mixing.MIX_SQL,
+    "op11_typed_chat": chat.CHAT_SQL,
 }
