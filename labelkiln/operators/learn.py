@@ -1,31 +1,35 @@
 """Learned classifiers and training loops on ``pyspark.ml``.
 
-Fits are distributed ``pyspark.ml`` estimators (one aggregate job per optimizer step); features
-are sparse vectors built once and persisted.  Loops (self-training, active learning) are driver
-loops over DataFrames: each round is fit -> transform -> filter -> union / anti join, with the
-growing tables cut from their lineage by a reliable checkpoint in the cluster's checkpoint folder.
+Fits are distributed (one aggregate job per optimizer step); features are sparse vectors built once.  The parents of
+a hierarchy and the labels of a multi-label task are fitted together (:mod:`labelkiln.operators.joint`).  Loops
+(self-training, active learning) are driver loops over DataFrames: each round is fit -> score -> choose, and the state of
+a loop is a table of keys (id, label, round) that is joined to the fixed feature tables, so a checkpoint of a round
+holds no features.  Every loop takes a classifier of one's own (:mod:`labelkiln.operators.classifier`).
 Nothing but fitted parameters and per-round counts comes back to the driver.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer, StringIndexer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelkiln.functions import text as tx
-from labelkiln.operators.ranking import hash_order, query_batch
-from labelkiln.operators.update import apply_labels, remaining_pool
+from labelkiln.functions import vector as V
+from labelkiln.operators import joint
+from labelkiln.operators.classifier import Classifier, LogisticClassifier, Model, as_model, scored
+from labelkiln.operators.ranking import hash_order, query_batch, top_fraction
+from labelkiln.operators.update import apply_labels
 from labelkiln.session import cut_lineage
 
 JAVA_TOKEN_PATTERN = r"[\p{L}\p{N}\p{M}_]{2,}"
@@ -76,7 +80,8 @@ def vectors_as_features(df: DataFrame, vec: str = "vec", out: str = "features")
 
 
 def train_lr(df: DataFrame, label: str = "label", features: str = "features", weight: str | None = None,
-             reg: float | None = None, max_iter: int = 200, elastic_net: float = 0.0, c: float = 1.0) -> PipelineModel:
+             reg: float | None = None, max_iter: int = 200, elastic_net: float = 0.0, c: float = 1.0,
+             tol: float = 1e-6) -> PipelineModel:
     """L2: multinomial logistic regression; labels indexed alphabetically (one vocabulary for the
     whole run, Q15).  ``weight`` is a per-row weight column (L3).
 
@@ -88,7 +93,7 @@ def train_lr(df: DataFrame, label: str = "label", features: str = "features", we
     idx = StringIndexer(inputCol=label, outputCol="__y", stringOrderType="alphabetAsc", handleInvalid="skip")
     lr = LogisticRegression(featuresCol=features, labelCol="__y", probabilityCol="__prob", predictionCol="__pred",
                             rawPredictionCol="__raw", regParam=reg, elasticNetParam=elastic_net, maxIter=max_iter,
-                            standardization=False, family="multinomial")
+                            standardization=False, family="multinomial", tol=tol)
     if weight:
         lr.setWeightCol(weight)
     return Pipeline(stages=[idx, lr]).fit(df.filter(F.col(label).isNotNull()))
@@ -98,17 +103,10 @@ def model_labels(model: PipelineModel) -> list[str]:
     return list(model.stages[0].labels)
 
 
-def score(model: PipelineModel, df: DataFrame, out_label: str = "pred", out_conf: str = "confidence",
+def score(model: Model | PipelineModel, df: DataFrame, out_label: str = "pred", out_conf: str = "confidence",
           probs: str = "probs") -> DataFrame:
     """L2: class probabilities as an array, best class (E3) and its probability."""
-    labels = model_labels(model)
-    lr = model.stages[1]
-    t = lr.transform(df)
-    p = vector_to_array(F.col("__prob"))
-    arr = F.array(*[F.lit(x) for x in labels])
-    return (t.withColumn(probs, p).withColumn(out_conf, F.array_max(probs))
-            .withColumn(out_label, F.element_at(arr, (F.col("__pred") + 1).cast("int")))
-            .drop("__prob", "__pred", "__raw"))
+    return scored(model, df, out_label, out_conf, probs)
 
 
 def train_relevance(df: DataFrame, label: str = "relevance", features: str = "features",
@@ -142,152 +140,233 @@ def fewshot_label(df: DataFrame, vec: str = "vec", label: str = "label", thresho
 
 
 def train_multilabel(df: DataFrame, labels: str = "labels", vocab: Sequence[str] = (), features: str = "features",
-                     parallelism: int = 4) -> dict[str, PipelineModel]:
-    """One binary model per label over shared (persisted) features, fitted from a small thread
-    pool so several distributed fits run at once."""
-    d = df.select(features, labels).persist()
+                     classifier: Classifier | None = None, parallelism: int = 4) -> joint.JointModel | dict[str, Model]:
+    """One yes/no model per label.  All labels are fitted together, one job a step; with a ``classifier`` of one's own
+    its fits run ``parallelism`` at a time over the shared rows."""
+    if classifier is None:
+        return joint.fit_multilabel(df, labels, vocab, features)
+    d = cut_lineage(df.select(features, labels).filter(F.col(labels).isNotNull()))
 
-    def fit(v: str) -> tuple[str, PipelineModel]:
-        t = d.withColumn("__bin", F.when(F.array_contains(labels, v), "1").otherwise("0"))
-        return v, train_lr(t, "__bin", features)
+    def fit(v: str) -> tuple[str, Model]:
+        return v, classifier.fit(d.withColumn("__bin", F.when(F.array_contains(labels, v), "1").otherwise("0")),
+                                 "__bin", features)
 
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        models = dict(ex.map(fit, list(vocab)))
-    d.unpersist()
-    return models
-
-
-def predict_multilabel(models: dict[str, PipelineModel], df: DataFrame, cut: float = 0.5,
-                       out: str = "labels_pred") -> DataFrame:
-    """Labels whose own model gives P(yes) > cut, sorted."""
-    d = df
-    cols = []
-    for v, m in sorted(models.items()):
-        yes = model_labels(m).index("1") if "1" in model_labels(m) else None
-        t = m.stages[1].transform(d)
-        pcol = f"__p_{len(cols)}"
-        d = t.withColumn(pcol, vector_to_array("__prob")[yes] if yes is not None else F.lit(0.0)).drop(
-            "__prob", "__pred", "__raw")
-        cols.append((v, pcol))
-    arr = F.array(*[F.when(F.col(p) > cut, F.lit(v)) for v, p in cols])
-    return d.withColumn(out, F.array_sort(F.filter(arr, lambda x: x.isNotNull()))).drop(*[p for _, p in cols])
-
-
-def cascade(df: DataFrame, gate: PipelineModel, specialist: Callable[[DataFrame], DataFrame],
-            id_col: str = "id", gate_label: str = "1", out: str = "labels_pred") -> DataFrame:
-    """The cheap gate scores every row; only rows it passes go to the specialist; results are
-    joined back by key, and rows the gate stops get an empty label list.  Every input id once."""
-    g = score(gate, df, out_label="__gate", out_conf="__gate_conf", probs="__gate_probs")
-    passed = g.filter(F.col("__gate") == gate_label).drop("__gate", "__gate_conf", "__gate_probs")
-    spec = specialist(passed).select(id_col, out)
-    return (df.join(spec, id_col, "left")
-            .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>"))))
+        return dict(ex.map(fit, list(vocab)))
+
+
+def predict_multilabel(models: joint.JointModel | Mapping[str, Model], df: DataFrame, cut: float = 0.5,
+                       out: str = "labels_pred", features: str = "features") -> DataFrame:
+    """Labels whose own model gives P(yes) > cut, sorted (I2).  Row-wise."""
+    if isinstance(models, joint.JointModel):
+        return df.withColumn(out, joint.labels_above(models, features, cut))
+    d, kept = df, []
+    for k, (v, m) in enumerate(sorted(models.items())):
+        if "1" in m.labels:
+            d = m.probabilities(d, f"__p{k}")
+            kept.append(F.when(F.get(f"__p{k}", F.lit(m.labels.index("1"))) > cut, F.lit(v)))
+    arr = F.array(*kept) if kept else F.array().cast("array<string>")
+    return d.withColumn(out, F.array_sort(F.filter(arr, lambda x: x.isNotNull()))).select(*df.columns, out)
+
+
+def gate_passes(gate: Model | PipelineModel, df: DataFrame, gate_label: str = "1", out: str = "gate_passes",
+                threshold: float | None = None) -> DataFrame:
+    """L6, first half: whether the gate's best class is ``gate_label``, or its probability reaches ``threshold``."""
+    m = as_model(gate)
+    d = scored(m, df, "__gate", "__gate_conf", "__gate_probs")
+    if threshold is None:
+        ok = F.col("__gate") == gate_label
+    else:
+        ok = F.get("__gate_probs", F.lit(m.labels.index(gate_label))) >= threshold if gate_label in m.labels else F.lit(False)
+    return d.withColumn(out, F.coalesce(ok, F.lit(False))).drop("__gate", "__gate_conf", "__gate_probs")
+
+
+def cascade(df: DataFrame, gate: Model | PipelineModel, specialist: joint.JointModel | Callable[[DataFrame], DataFrame],
+            gate_label: str = "1", out: str = "labels_pred", features: str = "features", cut: float = 0.5,
+            threshold: float | None = None) -> DataFrame:
+    """The cheap gate scores every row; only rows it passes go to the specialist; rows the gate stops get
+    an empty label list.  Every row once, without a join, so it also runs on streams.
+
+    A joint model sees the features of passed rows only and everything is one projection; a function gets the
+    passed rows and returns each with ``out`` (a gate score is then computed on both branches)."""
+    none = F.array().cast("array<string>")
+    d = gate_passes(gate, df, gate_label, "__pass", threshold)
+    if isinstance(specialist, joint.JointModel):
+        seen = joint.labels_above(specialist, F.when(F.col("__pass"), F.col(features)), cut)
+        return d.withColumn(out, F.when(F.col("__pass"), seen).otherwise(none)).drop("__pass")
+    passed = specialist(d.filter("__pass").drop("__pass")).withColumn(out, F.coalesce(out, none))
+    return passed.select(*df.columns, out).unionByName(
+        d.filter("NOT __pass").drop("__pass").withColumn(out, none).select(*df.columns, out))
 
 
 # --------------------------------------------------------------------------------------- hierarchy
 
 
-def train_hierarchy(df: DataFrame, levels: Sequence[str], features: str = "features",
-                    min_rows: int = 2) -> dict[str, PipelineModel]:
+def train_hierarchy(df: DataFrame, levels: Sequence[str], features: str = "features", min_rows: int = 2,
+                    classifier: Classifier | None = None, parallelism: int = 4) -> joint.JointModel | dict[str, Model]:
     """One classifier per parent node (key = slash path of the parent, '' for the root) over the
-    next level.  Parents with fewer than two children or ``min_rows`` rows get no model (F15)."""
-    models: dict[str, PipelineModel] = {}
-    d = df.persist()
-    for depth, lev in enumerate(levels):
-        parents = d.select(*levels[:depth]).distinct().collect() if depth else [()]
-        for p in parents:
-            cond = F.lit(True)
-            for lv, val in zip(levels[:depth], p):
-                cond = cond & (F.col(lv) == val)
-            sub = d.filter(cond & F.col(lev).isNotNull())
-            stats = sub.agg(F.countDistinct(lev).alias("k"), F.count("*").alias("n")).first()
-            if stats.k >= 2 and stats.n >= min_rows:
-                models["/".join(str(x) for x in p)] = train_lr(sub, lev, features)
-    d.unpersist()
-    return models
-
-
-def predict_path(models: dict[str, PipelineModel], df: DataFrame, depth: int, id_col: str = "id",
-                 out: str = "path") -> DataFrame:
+    next level.  Parents with fewer than two children or ``min_rows`` rows get no model (F15).
+
+    All parents of all levels are fitted together; with a ``classifier`` of one's own its fits run ``parallelism`` at
+    a time, one per parent."""
+    if classifier is None:
+        return joint.fit_hierarchy(df, levels, features, min_rows)
+    d = cut_lineage(df.select(features, *levels, *[joint.path_key(levels[:k]).alias(f"__key{k}") for k in range(len(levels))]))
+    wanted = []
+    for k, level in enumerate(levels):
+        stats = d.filter(F.col(f"__key{k}").isNotNull() & F.col(level).isNotNull()).groupBy(f"__key{k}").agg(
+            F.countDistinct(level).alias("k"), F.count("*").alias("n"))
+        wanted += [(k, level, r[0]) for r in stats.filter((F.col("k") >= 2) & (F.col("n") >= min_rows)).collect()]
+
+    def fit(task: tuple[int, str, str]) -> tuple[str, Model]:
+        k, level, key = task
+        rows = d.filter(F.col(f"__key{k}") == key).withColumn("__child", F.col(level).cast("string"))
+        return key, classifier.fit(rows, "__child", features)
+
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        return dict(ex.map(fit, wanted))
+
+
+def predict_path(models: joint.JointModel | Mapping[str, Model], df: DataFrame, depth: int, id_col: str = "id",
+                 out: str = "path", features: str = "features") -> DataFrame:
     """C11: descend level by level; rows at a parent with a model get its prediction appended, rows
-    at a parent without one stop (their path ends there)."""
+    at a parent without one stop (their path ends there).
+
+    With a joint model the whole way down is one expression over the row's features.  Other models score the rows at
+    their own parent only."""
+    if isinstance(models, joint.JointModel):
+        return df.withColumn(out, joint.path_column(models, features, depth))
     cur = df.withColumn(out, F.array().cast("array<string>")).withColumn("__key", F.lit(""))
     done = None
     for _ in range(depth):
-        parts, stopped = [], cur
-        for key, m in models.items():
-            at = cur.filter(F.col("__key") == key)
-            s = score(m, at, out_label="__next", out_conf="__c", probs="__p")
-            parts.append(s.withColumn(out, F.concat(F.col(out), F.array("__next")))
-                       .withColumn("__key", tx.path_key(out)).drop("__next", "__c", "__p"))
-            stopped = stopped.filter(F.col("__key") != key)
+        parts = [scored(m, cur.filter(F.col("__key") == key), "__next", "__c", "__p")
+                 .withColumn(out, F.concat(F.col(out), F.array("__next"))).withColumn("__key", tx.path_key(out))
+                 .drop("__next", "__c", "__p") for key, m in models.items()]
+        stopped = cur.filter(~F.col("__key").isin(list(models)))
         done = stopped if done is None else done.unionByName(stopped)
-        if not parts:
-            cur = None
-            break
-        cur = parts[0]
+        cur = parts[0] if parts else cur.limit(0)
         for p in parts[1:]:
             cur = cur.unionByName(p)
         cur = cut_lineage(cur)
-    res = done if cur is None else done.unionByName(cur)
-    return res.drop("__key")
+    return done.unionByName(cur).drop("__key") if done is not None else cur.drop("__key")
 
 
 # --------------------------------------------------------------------------------------- loops
 
 
-def self_train(labelled: DataFrame, pool: DataFrame, threshold: float | Sequence[float] = 0.9,
+def _by_class(thresholds: float | Mapping[str, float], label: Column) -> Column:
+    """The threshold of a row's class (B4); a class that is not named is never accepted."""
+    if not isinstance(thresholds, Mapping):
+        return F.lit(float(thresholds))
+    named = F.lit(None).cast("double")
+    for name, t in thresholds.items():
+        named = F.when(label == name, F.lit(float(t))).otherwise(named)
+    return named
+
+
+def self_train(labelled: DataFrame, pool: DataFrame, threshold: float | Mapping[str, float] | Sequence = 0.9,
                rounds: int = 1, label: str = "label", features: str = "features", id_col: str = "id",
-               log: list | None = None) -> tuple[DataFrame, DataFrame]:
-    """Fit on the labelled set, pseudo-label pool rows with confidence >= the round's
-    threshold (a list lowers it per round), append them, remove them from the pool.  Stops when the
-    pool is empty or nothing is accepted.  Returns (labelled, pool)."""
-    thresholds = list(threshold) if isinstance(threshold, (list, tuple)) else [threshold] * rounds
-    lab = labelled.select(id_col, features, label, F.lit(0).alias("round"))
-    pl = pool.select(id_col, features)
+               log: list | None = None, classifier: Classifier | None = None, surest: float | None = None,
+               balance: int | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Fit on the labelled set, pseudo-label pool rows with confidence >= the round's threshold, append them,
+    remove them from the pool.  Stops when the pool is empty or nothing is accepted.  Returns (labelled, pool).
+
+    ``threshold``: a number, one per class (B4), or a list of either, one per round.  ``surest``: at most this
+    share of the pool per round, the surest rows (E4).  ``balance``: each round fits on so many rows per class, cut or
+    repeated in seeded order (F5).  ``log`` gets ``(round, accepted)``.
+
+    The state of the loop is the table of accepted keys; features are read from ``pool``, whose ids are unique.
+    """
+    from labelkiln.operators.balance import rebalance
+
+    clf = classifier or LogisticClassifier()
+    plan = list(threshold) if isinstance(threshold, (list, tuple)) else [threshold] * max(1, rounds)
+    start = labelled.select(id_col, features, label, F.lit(0).alias("round"))
+    rows = pool.select(id_col, features)
+    taken = None
+
+    def grown() -> DataFrame:
+        return start if taken is None else start.unionByName(
+            rows.join(taken, id_col).select(id_col, features, label, "round"))
+
+    def rest() -> DataFrame:
+        return rows if taken is None else rows.join(taken, id_col, "left_anti")
+
     for r in range(1, rounds + 1):
-        if pl.isEmpty():
+        left = rest()
+        if left.isEmpty():
             break
-        m = train_lr(lab, label, features)
-        s = score(m, pl)
-        acc = s.filter(F.col("confidence") >= thresholds[min(r - 1, len(thresholds) - 1)])
-        acc = cut_lineage(acc.select(id_col, features, F.col("pred").alias(label), F.lit(r).alias("round")))
-        n = acc.count()
+        train = grown()
+        if balance is not None:
+            train = rebalance(train.filter(F.col(label).isNotNull()), label, balance, seed, id_col)
+        model = clf.fit(train, label, features)
+        s = scored(model, left).select(id_col, F.col("pred").alias(label), "confidence")
+        if surest is not None:
+            s = top_fraction(s, surest, "confidence", id_col)
+        sure = s.filter(F.col("confidence") >= _by_class(plan[min(r - 1, len(plan) - 1)], F.col(label)))
+        sure = cut_lineage(sure.select(id_col, label, F.lit(r).alias("round")))
+        n = sure.count()
         if log is not None:
             log.append((r, n))
         if n == 0:
             break
-        lab = cut_lineage(lab.unionByName(acc))
-        pl = cut_lineage(remaining_pool(pl, acc, id_col))
-    return lab, pl
+        taken = sure if taken is None else taken.unionByName(sure)
+    return grown(), rest()
+
+
+def uncertainty(strategy: str | Callable[[Column], Column], probs: str = "probs", features: str = "features") -> Column:
+    """H5-H9 by name: how unsure a row is.  ``egl`` also takes the length of the features into account; the two multi-label
+    strategies read every probability as a yes/no of its own.  A function of the probabilities is taken as it is."""
+    if callable(strategy):
+        return strategy(F.col(probs))
+    return {"least_confidence": lambda: V.least_confidence(probs), "margin": lambda: -V.margin(probs),
+            "entropy": lambda: V.entropy(probs), "egl": lambda: V.egl(probs, joint.vector_norm(features)),
+            "multilabel_mean": lambda: V.multilabel_uncertainty(probs, "mean"),
+            "multilabel_most": lambda: V.multilabel_uncertainty(probs, "max")}[strategy]()
 
 
 def active_learn(labelled: DataFrame, pool: DataFrame, expert: DataFrame, n: int = 50, rounds: int = 3,
-                 strategy: str = "least_confidence", label: str = "label", features: str = "features",
-                 id_col: str = "id", log: list | None = None) -> tuple[DataFrame, DataFrame]:
+                 strategy: str | Callable[[Column], Column] = "least_confidence", label: str = "label",
+                 features: str = "features", id_col: str = "id", log: list | None = None,
+                 classifier: Classifier | None = None) -> tuple[DataFrame, DataFrame]:
     """Each round fit, score the pool, take the ``n`` least sure rows (E1), look their
-    answers up in the expert table ``(id, label)`` (a key join), append, remove from the pool."""
-    from labelkiln.functions import vector as V
-    lab = labelled.select(id_col, features, label, F.lit(0).alias("round"))
-    pl = pool.select(id_col, features)
-    unc = {"least_confidence": V.least_confidence, "margin": lambda p: -V.margin(p),
-           "entropy": V.entropy}[strategy]
+    answers up in the expert table ``(id, label)`` (a key join), append, remove from the pool.
+
+    Where ``label`` is a list of labels, a yes/no model per label is fitted (L5) and the probabilities are theirs.  The
+    state of the loop is the table of answered keys, as in :func:`self_train`."""
+    clf = classifier or LogisticClassifier()
+    start = labelled.select(id_col, features, label, F.lit(0).alias("round"))
+    rows = pool.select(id_col, features)
+    several = dict(labelled.dtypes)[label].startswith("array")
+    taken = None
+
+    def grown() -> DataFrame:
+        return start if taken is None else start.unionByName(
+            rows.join(taken, id_col).select(id_col, features, label, "round"))
+
+    def rest() -> DataFrame:
+        return rows if taken is None else rows.join(taken, id_col, "left_anti")
+
+    def probabilities(train: DataFrame, left: DataFrame) -> DataFrame:
+        if not several:
+            return scored(clf.fit(train, label, features), left)
+        vocab = [r[0] for r in train.select(F.explode(label).alias("v")).distinct().orderBy("v").collect()]
+        return left.withColumn("probs", joint.label_scores(joint.fit_multilabel(train, label, vocab, features), features))
+
     for r in range(1, rounds + 1):
-        if pl.isEmpty():
+        left = rest()
+        if left.isEmpty():
             break
-        m = train_lr(lab, label, features)
-        s = score(m, pl).withColumn("uncertainty", unc("probs"))
-        q = query_batch(s, n, "uncertainty", id_col).select(id_col, features)
-        got = q.join(expert.select(id_col, F.col(label)), id_col).withColumn("round", F.lit(r))
-        got = cut_lineage(got)
+        s = probabilities(grown(), left).withColumn("uncertainty", uncertainty(strategy, "probs", features))
+        asked = query_batch(s.select(id_col, "uncertainty"), n, "uncertainty", id_col).select(id_col)
+        got = cut_lineage(asked.join(expert.select(id_col, F.col(label)), id_col).withColumn("round", F.lit(r)))
         k = got.count()
         if log is not None:
             log.append((r, k))
         if k == 0:
             break
-        lab = cut_lineage(lab.unionByName(got))
-        pl = cut_lineage(remaining_pool(pl, got, id_col))
-    return lab, pl
+        taken = got if taken is None else taken.unionByName(got)
+    return grown(), rest()
 
 
 # --------------------------------------------------------------------------------------- search

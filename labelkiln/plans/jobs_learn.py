@@ -6,14 +6,17 @@ relational TF-IDF and the sequence encoding are exact and have DuckDB twins.
 
 from __future__ import annotations
 
+from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import functions as F
 
 from labelkiln.functions import text as tx
 from labelkiln.operators import corpus as C
 from labelkiln.operators import learn as L
+from labelkiln.operators.classifier import MLClassifier
 from labelkiln.operators import ranking as RK
 from labelkiln.plans.jobs_vector import emb_corpus
 from labelkiln.plans.registry import job
+from labelkiln.session import cut_lineage
 from labelkiln.sources.corpus import CORPUS_SQL, corpus_from_tables, read_table
 
 CS = f"({CORPUS_SQL}) c"
@@ -52,7 +55,7 @@ def encode_sequences(spark, sf):
 def _doc_features(spark, sf):
     c = corpus_from_tables(spark, sf, ("lang",))
     fm = L.tfidf_features(c, "text", 1000)
-    return L.featurize(fm, c).persist()
+    return cut_lineage(L.featurize(fm, c))
 
 
 @job("train_lr")
@@ -108,7 +111,7 @@ def cascade(spark, sf):
     d = _ml_features(spark, sf)
     gate = L.train_relevance(d, "relevance")
     ms = L.train_multilabel(d.filter(F.col("labels").isNotNull()), "labels", ["low_quality", "toxic"])
-    out = L.cascade(d, gate, lambda x: L.predict_multilabel(ms, x), "id")
+    out = L.cascade(d, gate, ms)
     return out.select("id", F.array_join("labels_pred", ",").alias("labels"))
 
 
@@ -135,6 +138,33 @@ def self_train(spark, sf):
     return lab.select("id", "label", "round")
 
 
+@job("self_train_balanced")
+def self_train_balanced(spark, sf):
+    """L8-L10 with all controls: a threshold per class that falls each round, the surest 10 % of the pool per round at most,
+    and each fit on 60 rows per class, cut or repeated; naive Bayes as a supplied classifier, on shifted vectors."""
+    e = emb_corpus(spark, sf)
+    e = L.vectors_as_features(e.withColumn("vec", F.transform("vec", lambda x: x.cast("double") + 1.0)))
+    classes = [r[0] for r in C.labelled(e).select("label").distinct().orderBy("label").collect()]
+    plan = [{c: (0.4 if i % 2 else 0.35) - 0.1 * r for i, c in enumerate(classes)} for r in range(3)]
+    lab, _ = L.self_train(C.labelled(e), C.unlabelled(e), plan, 3, surest=0.1, balance=60,
+                          classifier=MLClassifier(NaiveBayes(modelType="gaussian")))
+    return lab.select("id", "label", "round")
+
+
+@job("active_learn_egl")
+def active_learn_egl(spark, sf):
+    """L11 with expected gradient length, and with a yes/no model per label (the most undecided one counts): which rows
+    each asks the expert for."""
+    e = L.vectors_as_features(emb_corpus(spark, sf))
+    one, _ = L.active_learn(C.labelled(e), C.unlabelled(e), e.select("id", F.col("gold").alias("label")), 20, 2, "egl")
+    lists = e.withColumn("label", F.when(F.col("label").isNotNull(), F.array("label")))
+    many, _ = L.active_learn(C.labelled(lists), C.unlabelled(lists), e.select("id", F.array("gold").alias("label")), 20, 2,
+                             "multilabel_most")
+    return (one.select("id", "round", "label", F.lit("egl").alias("strategy"))
+            .unionByName(many.select("id", "round", F.array_join("label", ",").alias("label"),
+                                     F.lit("multilabel_most").alias("strategy"))))
+
+
 @job("active_learn")
 def active_learn(spark, sf):
     """3 rounds of 20 least-confident rows answered by the expert table (gold labels)."""

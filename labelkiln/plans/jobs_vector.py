@@ -13,7 +13,8 @@ from labelkiln.functions import vector as V
 from labelkiln.operators import corpus as C
 from labelkiln.operators import ranking as RK
 from labelkiln.operators import vector as VO
-from labelkiln.plans.registry import job
+from labelkiln.operators import vector_index as VX
+from labelkiln.plans.registry import SQL, job
 from labelkiln.sources.corpus import read_table
 
 SEED = 7
@@ -204,6 +205,34 @@ def semantic_search(spark, sf):
             .select("id", "rank", "hit", r6("score").alias("score")))
 
 
+@job("semantic_search_index")
+def semantic_search_index(spark, sf):
+    """K9 by a cell index: every row whose id is divisible by 50 searches all vectors, with as many probes as a
+    recall of 0.95 takes on a sample of the queries; the tests measure recall against the exact search."""
+    e = emb_corpus(spark, sf)
+    queries = e.filter(F.col("id") % 50 == 0)
+    index = VX.build_index(e)
+    probes = VX.probes_for(index, queries, 5, 0.95)
+    return VX.search_index(index, queries, 5, probes).select("id", "rank", "hit", r6("score").alias("score"))
+
+
+@job("semantic_search_exact", SQL["semantic_search"])
+def semantic_search_exact(spark, sf):
+    """K9 by a cell index that visits every cell that can hold a better hit: the rows of the exact search."""
+    e = emb_corpus(spark, sf)
+    index = VX.build_index(C.labelled(e))
+    return (VX.search_index(index, C.unlabelled(e), 3, 4, exact=True)
+            .select("id", "rank", "hit", r6("score").alias("score")))
+
+
+@job("nearest_large", SQL["nearest"])
+def nearest_large(spark, sf):
+    """C5 with prototypes in a cell index: neither side collected or broadcast."""
+    e = emb_corpus(spark, sf)
+    protos = VO.prototypes(C.labelled(e), "label", "vec")
+    return VX.nearest_large(C.unlabelled(e), protos).select("id", "pred", r6("score").alias("score"))
+
+
 @job("vector_checks", "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count_if(embedding IS NULL) AS BIGINT) AS null_vectors, "
                       "CAST(count_if(embedding IS NOT NULL AND len(embedding) <> 64) AS BIGINT) AS wrong_length, "
                       "CAST(count_if(embedding IS NOT NULL AND list_bool_or(list_transform(embedding, lambda x: isnan(x)))) "

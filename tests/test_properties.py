@@ -135,7 +135,7 @@ def test_cascade_every_id_once(spark):
     d = L.featurize(fm, df).withColumn("labels", F.array("label"))
     gate = L.train_relevance(d, "relevance")
     ms = L.train_multilabel(d, "labels", ["toxic"])
-    out = L.cascade(d, gate, lambda x: L.predict_multilabel(ms, x), "id")
+    out = L.cascade(d, gate, lambda x: L.predict_multilabel(ms, x))
     assert out.count() == 60 and out.select("id").distinct().count() == 60
     stopped = out.filter("relevance = 0").collect()
     assert all(r.labels_pred == [] for r in stopped)
