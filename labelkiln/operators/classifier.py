@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkiln.operators.joint import vector_width
+from labelkiln.operators.joint import OneModel, fit_one, vector_width
 
 
 class Model(Protocol):
@@ -70,15 +70,12 @@ class MLClassifier:
 
 @dataclass
 class LogisticClassifier:
-    """The library's default: :func:`labelkiln.operators.learn.train_lr`."""
+    """The library's default: multinomial logistic regression with an L2 penalty of strength ``C = c``."""
 
     c: float = 1.0
-    max_iter: int = 200
 
-    def fit(self, rows: DataFrame, label: str = "label", features: str = "features", weight: str | None = None) -> MLModel:
-        from labelkiln.operators.learn import train_lr
-
-        return as_model(train_lr(rows, label, features, weight, c=self.c, max_iter=self.max_iter))
+    def fit(self, rows: DataFrame, label: str = "label", features: str = "features", weight: str | None = None) -> OneModel:
+        return fit_one(rows, label, features, weight, c=self.c)
 
 
 @dataclass

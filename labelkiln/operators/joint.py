@@ -13,7 +13,7 @@ the way down a hierarchy, or all labels of a row, take one narrow pass, in batch
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from labelkiln.session import cut_lineage, ship_package
 
 CHUNK_VALUES = 2_000_000
+#: Features whose second moments are taken in full, and the rows they are taken from (both set the pace only).
+GRAM_FEATURES, GRAM_ROWS = 1024, 100_000
 
 
 # ------------------------------------------------------------------------------------------- rows as matrices
@@ -85,10 +87,11 @@ def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Descent:
-    """L-BFGS with backtracking for one problem, told one value and gradient at a time."""
+    """L-BFGS with backtracking for one problem, told one value and gradient at a time.  ``solve`` is a first guess at the
+    inverse of the second derivatives; it decides how many steps are taken, not where they lead."""
 
-    def __init__(self, x: np.ndarray, tol: float, memory: int = 10):
-        self.x, self.tol, self.memory = x, tol, memory
+    def __init__(self, x: np.ndarray, tol: float, solve: Callable[[np.ndarray], np.ndarray], memory: int = 20):
+        self.x, self.tol, self.solve, self.memory = x, tol, solve, memory
         self.f, self.g, self.direction, self.step = None, None, None, 1.0
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
         self.done = False
@@ -108,7 +111,7 @@ class _Descent:
                 self.pairs = [*self.pairs[1 - self.memory:], (s, y)]
             self.x = self.x + s
         self.f, self.g = f, g
-        if np.abs(g).max(initial=0.0) <= self.tol:
+        if np.abs(self.solve(g)).max(initial=0.0) <= self.tol:
             self.done = True
             return
         q, used = g.copy(), []
@@ -116,14 +119,77 @@ class _Descent:
             a = (s @ q) / (y @ s)
             q -= a * y
             used.append(a)
+        q = self.solve(q)
         if self.pairs:
             s, y = self.pairs[-1]
-            q *= (s @ y) / (y @ y)
+            q *= (s @ y) / (y @ self.solve(y))
         for (s, y), a in zip(self.pairs, reversed(used), strict=True):
             q += s * (a - (y @ q) / (y @ s))
         self.direction, self.step = -q, 1.0
 
 
+class _Curvature:
+    """Second moments of the features, shared by all problems: in full among the ``GRAM_FEATURES`` weightiest features and the
+    intercept, the diagonal for the rest.  Taken from a bounded sample of rows, as it only sets the pace."""
+
+    def __init__(self, data: DataFrame, n: int, width: int):
+        rows = data.sample(min(1.0, GRAM_ROWS / max(1, n)), seed=42) if n > GRAM_ROWS else data
+
+        def squares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, seen = np.zeros(width), 0
+            for rb in batches:
+                for _, x in dense_chunks(rb.column("x"), width):
+                    total, seen = total + (x * x).sum(axis=0), seen + len(x)
+            yield pa.RecordBatch.from_pydict({"k": pa.array([0], pa.int32()), "part": [np.append(total, seen).tobytes()]})
+
+        schema = "k int, part binary"
+        total = _added(rows.mapInArrow(squares, schema))[0]
+        self.n, self.diagonal = max(1.0, total[-1]), total[:-1] / max(1.0, total[-1])
+        self.full = np.sort(np.argsort(-self.diagonal, kind="stable")[:GRAM_FEATURES])
+        full = self.full
+
+        def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = np.zeros((len(full) + 1, len(full) + 1))
+            for rb in batches:
+                for _, x in dense_chunks(rb.column("x"), width):
+                    z = np.hstack([x[:, full], np.ones((len(x), 1))])
+                    m += z.T @ z
+            parts = np.array_split(m, 8)
+            yield pa.RecordBatch.from_pydict({"k": pa.array(range(8), pa.int32()), "part": [p.tobytes() for p in parts]})
+
+        parts = _added(rows.mapInArrow(gram, schema))
+        m = np.concatenate([parts[k] for k in sorted(parts)]).reshape(len(full) + 1, -1) / self.n
+        self.value, self.vector = np.linalg.eigh(m)
+        self.rows = np.append(full, width)
+        self.rest = np.setdiff1d(np.arange(width), full)
+
+    def solver(self, shares: np.ndarray, penalty: float) -> Callable[[np.ndarray], np.ndarray]:
+        """For a problem whose classes have these shares of its rows: at the start p (1 - p) is the same in all rows."""
+        bend = np.maximum(shares * (1 - shares), 1e-6)
+        inner = 1.0 / (np.maximum(self.value, 0.0)[:, None] * bend + penalty)
+        outer = 1.0 / (self.diagonal[self.rest][:, None] * bend + penalty)
+
+        def solve(q: np.ndarray) -> np.ndarray:
+            m = q.reshape(-1, len(bend))
+            out = np.empty_like(m)
+            out[self.rows] = self.vector @ (inner * (self.vector.T @ m[self.rows]))
+            out[self.rest] = outer * m[self.rest]
+            return out.ravel()
+
+        return solve
+
+
+def _added(parts: DataFrame) -> dict[int, np.ndarray]:
+    """The arrays that tasks yielded as ``k, part`` (eight-byte floats), added up per ``k`` on the executors."""
+    def add(f: pd.DataFrame) -> pd.DataFrame:
+        total = np.frombuffer(f["part"].iloc[0]).copy()
+        for p in f["part"].iloc[1:]:
+            total += np.frombuffer(p)
+        return pd.DataFrame({"k": f["k"].iloc[:1], "part": [total.tobytes()]})
+
+    return {r.k: np.frombuffer(r.part) for r in parts.groupBy("k").applyInPandas(add, "k int, part binary").collect()}
+
+
 # ------------------------------------------------------------------------------------------- models
 
 
@@ -146,13 +212,13 @@ class JointModel:
 
 
 def fit_members(rows: DataFrame, keys: Sequence[str], classes: Sequence[Sequence[str]], features: str = "features",
-                members: str = "members", weight: str | None = None, c: float = 1.0, tol: float = 1e-6,
+                members: str = "members", weight: str | None = None, c: float = 1.0, tol: float = 2e-6,
                 max_steps: int = 200) -> JointModel:
     """Fit every problem from rows that name the problems they belong to.
 
     ``members`` is ``array<struct<p:int, y:int>>``: number of the problem and of the class within it.  The rows are
-    checkpointed once (they are read in every step); each step is one job over them.  A problem whose gradient (of the
-    mean loss with its penalty) is below ``tol`` rests.
+    checkpointed once (they are read in every step); each step is one job over them.  A problem
+    rests when its coefficients are within about ``tol`` of the optimum (gradient over second derivatives).
     """
     spark = rows.sparkSession
     ship_package(spark)
@@ -169,21 +235,23 @@ def fit_members(rows: DataFrame, keys: Sequence[str], classes: Sequence[Sequence
         n[r.p] += r.n
         mass[r.p][r.y] += r.w
     penalty = [1.0 / (c * max(1.0, k)) for k in n]
+    curvature = _Curvature(data, int(n.max()), width)
     runs = []
     for p, cl in enumerate(classes):
+        total = max(mass[p].sum(), 1e-300)
         prior = np.log(np.maximum(mass[p], 1e-300))
         start = np.zeros((width + 1, len(cl)))
         start[-1] = np.where(mass[p] > 0, prior - prior[mass[p] > 0].mean(), 0.0) if n[p] else 0.0
-        runs.append(_Descent(start.ravel(), tol))
+        runs.append(_Descent(start.ravel(), tol, curvature.solver(mass[p] / total, penalty[p])))
         runs[-1].done = n[p] == 0 or len(cl) < 2
     steps = 0
     while steps < max_steps and not all(r.done for r in runs):
         active = {p: r.trial().reshape(width + 1, -1) for p, r in enumerate(runs) if not r.done}
-        for p, (loss, grad) in _sums(data, active, width).items():
+        for p, sums in _sums(data, active, width).items():
             x = active[p]
             lam, total = penalty[p], mass[p].sum()
-            f = loss / total + 0.5 * lam * float((x[:-1] ** 2).sum())
-            g = grad / total
+            f = sums[0] / total + 0.5 * lam * float((x[:-1] ** 2).sum())
+            g = sums[1:].reshape(x.shape) / total
             g[:-1] += lam * x[:-1]
             runs[p].tell(f, g.ravel())
         steps += 1
@@ -203,8 +271,8 @@ def vector_width(rows: DataFrame, vec: str) -> int:
     return int(row[0]) if row else 0
 
 
-def _sums(data: DataFrame, active: dict[int, np.ndarray], width: int) -> dict[int, tuple[float, np.ndarray]]:
-    """Loss and gradient of the active problems: one job, summed per problem on the executors."""
+def _sums(data: DataFrame, active: dict[int, np.ndarray], width: int) -> dict[int, np.ndarray]:
+    """Loss and gradient of the active problems, one array each: one job, summed per problem on the executors."""
     bc = data.sparkSession.sparkContext.broadcast(active)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,20 +299,12 @@ def _sums(data: DataFrame, active: dict[int, np.ndarray], width: int) -> dict[in
                     prob *= ws[:, None]
                     grad[p][:-1] += xs.T @ prob
                     grad[p][-1] += prob.sum(axis=0)
-        yield pa.RecordBatch.from_pydict({
-            "p": pa.array(list(at), pa.int32()), "loss": pa.array([loss[p] for p in at], pa.float64()),
-            "grad": pa.array([grad[p].tobytes() for p in at], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"k": pa.array(list(at), pa.int32()),
+                                          "part": [np.append(loss[p], grad[p].ravel()).tobytes() for p in at]})
 
-    def add(f: pd.DataFrame) -> pd.DataFrame:
-        total = np.frombuffer(f["grad"].iloc[0]).copy()
-        for g in f["grad"].iloc[1:]:
-            total += np.frombuffer(g)
-        return pd.DataFrame({"p": f["p"].iloc[:1], "loss": [f["loss"].sum()], "grad": [total.tobytes()]})
-
-    schema = "p int, loss double, grad binary"
-    rows = data.mapInArrow(task, schema).groupBy("p").applyInPandas(add, schema).collect()
+    out = _added(data.mapInArrow(task, "k int, part binary"))
     bc.destroy()
-    return {r.p: (r.loss, np.frombuffer(r.grad).reshape(width + 1, -1).copy()) for r in rows}
+    return out
 
 
 # ------------------------------------------------------------------------------------------- hierarchies
@@ -361,6 +421,30 @@ def labels_above(model: JointModel, features: str | Column, cut: float = 0.5) ->
     return F.array_sort(F.transform(F.filter(named, lambda x: x["p"] > cut), lambda x: x["label"]))
 
 
+@dataclass
+class OneModel:
+    """One problem of a joint fit as a classifier model (see :mod:`labelkiln.operators.classifier`)."""
+
+    labels: list[str]
+    model: JointModel
+    features: str
+
+    def probabilities(self, df: DataFrame, out: str = "probs") -> DataFrame:
+        return df.withColumn(out, class_probabilities(self.model, "", self.features))
+
+
+def fit_one(df: DataFrame, label: str = "label", features: str = "features", weight: str | None = None, **fit) -> OneModel:
+    """A single multinomial model: the hierarchy that is its root alone.  A table of one class has that class's
+    probability at 1."""
+    names = [r[0] for r in df.filter(F.col(label).isNotNull()).select(F.col(label).cast("string")).distinct().collect()]
+    if len(names) < 2:
+        width = vector_width(df, features)
+        flat = JointModel([""], [names], [np.zeros((width, len(names)))], [np.zeros(len(names))])
+        return OneModel(names, flat, features)
+    model = fit_hierarchy(df, [label], features, 1, weight, **fit)
+    return OneModel(model.classes[0], model, features)
+
+
 def class_probabilities(model: JointModel, key: str, features: str | Column) -> Column:
     """Probabilities of the classes of one problem, in the order of its classes."""
     p = model.keys.index(key)

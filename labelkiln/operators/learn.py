@@ -110,13 +110,13 @@ def score(model: Model | PipelineModel, df: DataFrame, out_label: str = "pred",
 
 
 def train_relevance(df: DataFrame, label: str = "relevance", features: str = "features",
-                    balanced: bool = True) -> PipelineModel:
+                    balanced: bool = True, classifier: Classifier | None = None) -> Model:
     """L3: class-balanced binary "gatekeeper" (weights ``N / (k n_j)`` from D8)."""
     from labelkiln.operators.balance import class_weights, with_weights
     d = df.withColumn("__lab", F.col(label).cast("string"))
     if balanced:
         d = with_weights(d, class_weights(d, "__lab"), "__lab", "__w")
-    return train_lr(d, "__lab", features, "__w" if balanced else None)
+    return (classifier or LogisticClassifier()).fit(d, "__lab", features, "__w" if balanced else None)
 
 
 def train_svm(df: DataFrame, label: str = "relevance", features: str = "features", reg: float = 0.01):
