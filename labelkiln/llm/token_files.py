@@ -8,8 +8,8 @@ executors and any file system that Spark reaches will do.
 
 Tokenizing: white space runs belong to what follows them, so a text can be cut before each run that follows
 another character without changing any id; each task asks the tokenizer only for pieces that it
-has not met, and joins the answers as bytes.  The table of pieces is bounded (``KNOWN``) and only
-saves time.
+has not met, ``RUN`` of them in one text, and puts the answers together.  The table of pieces is bounded (``KNOWN``) and
+only saves time.
 
 Defined results: null text counts as empty, an empty text has the end id alone, null ids come first, rows
 that repeat an id follow each other in the order of the hash of their texts.  Other columns are ignored.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -31,16 +32,30 @@ from labelkiln.llm.common import LOWEST, block_of, null_text, partitions, scratc
 from labelkiln.session import ship_package
 
 CHUNK_IDS = 1 << 16
-KNOWN = 400_000
+KNOWN = 800_000
+RUN = 500
 END_ID = 0
 FILE_SCHEMA = ("block int, seq int, id_start long, n_ids long, words binary, offsets binary, escape_at binary, "
                "escapes binary, doc_ids binary, null_ids binary, lengths binary")
 # White space as the tokenizer's pattern knows it: Python's adds four separators, which are left out.
 _PIECES = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
+_SPACES = frozenset(re.findall(r"[^\S\x1c-\x1f]", "".join(map(chr, range(0x3100)))))
+
+
+def _put(store: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``more`` behind the first ``used`` values; the room doubles when it is short."""
+    if used + len(more) > len(store):
+        store = np.concatenate([store[:used], np.zeros(max(used, len(more)), store.dtype)])
+    store[used : used + len(more)] = more
+    return store
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes."""
+    """Ids of texts as little-endian 32-bit bytes.
+
+    Every piece that was met has a number, and its ids stand in one long array.  When more than ``KNOWN`` pieces are
+    known, those that were not met again since the last time are given up.
+    """
 
     def __init__(self, path: str):
         import os
@@ -48,21 +63,81 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def learn(self, pieces) -> dict[str, bytes]:
-        got = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(pieces, got, strict=True)}
+        self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        # a character of the byte-level alphabet is one byte; strings of added tokens are written as they are
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.length = np.array([len(added[i].content.encode()) if i in added else len(self.tokenizer.id_to_token(i) or "")
+                                for i in range(size)], np.int64)
+        self.known: dict[str, int] = {}
+        self.start, self.count, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.ids, self.used = np.zeros(0, "<u4"), 0
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        # pieces that begin with white space and end without may stand behind each other; the others stand alone
+        behind = [p for p in new if p[0] in _SPACES and p[-1] not in _SPACES]
+        alone = [p for p in new if not (p[0] in _SPACES and p[-1] not in _SPACES)]
+        parts, counts = [], []
+        runs = ["".join(behind[lo : lo + RUN]) for lo in range(0, len(behind), RUN)]
+        for lo, ids in zip(range(0, len(behind), RUN), self._encoded(runs), strict=True):
+            ends = np.cumsum([len(p.encode()) for p in behind[lo : lo + RUN]])
+            upto = np.searchsorted(np.cumsum(self.length[ids]), ends, side="right")
+            parts.append(ids)
+            counts.append(np.diff(upto, prepend=0))
+        for ids in self._encoded(alone):
+            parts.append(ids)
+            counts.append(np.array([len(ids)]))
+        count = np.concatenate([np.zeros(0, np.int64), *counts])
+        first, n_ids = len(self.known), int(count.sum())
+        self.start = _put(self.start, first, self.used + np.cumsum(count) - count)
+        self.count = _put(self.count, first, count)
+        self.met = _put(self.met, first, np.zeros(len(new), bool))
+        self.ids, self.used = _put(self.ids, self.used, np.concatenate(parts)), self.used + n_ids
+        self.known.update(zip([*behind, *alone], range(first, first + len(new)), strict=True))
+
+    def _forget(self) -> None:
+        kept = [p for p, code in self.known.items() if self.met[code]]
+        if len(kept) > KNOWN // 2:
+            kept = []
+        codes = np.array([self.known[p] for p in kept], np.int64)
+        ids = self._gather(codes)
+        self.known = dict(zip(kept, range(len(kept)), strict=True))
+        self.count = self.count[codes]
+        self.start, self.met, self.ids, self.used = np.cumsum(self.count) - self.count, np.zeros(len(kept), bool), ids, len(ids)
+
+    def _gather(self, codes: np.ndarray) -> np.ndarray:
+        n = self.count[codes]
+        return self.ids[np.repeat(self.start[codes] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [_PIECES.findall(t) for t in texts]
-        new = list({p for pieces in cut for p in pieces}.difference(self.known))
-        if len(self.known) + len(new) > KNOWN:
-            self.known = {}
-            new = list({p for pieces in cut for p in pieces})
-        self.known.update(self.learn(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        codes = self._codes(cut)
+        unknown = np.flatnonzero(codes < 0)
+        if len(unknown):
+            pieces = list(chain.from_iterable(cut))
+            new = list(dict.fromkeys(pieces[k] for k in unknown.tolist()))
+            if len(self.known) + len(new) > KNOWN:
+                self.met[codes[codes >= 0]] = True
+                self._forget()
+                codes = self._codes(cut)
+                unknown = np.flatnonzero(codes < 0)
+                new = list(dict.fromkeys(pieces[k] for k in unknown.tolist()))
+            self.met[codes[codes >= 0]] = True
+            self._learn(new)
+            codes[unknown] = [self.known[pieces[k]] for k in unknown.tolist()]
+        else:
+            self.met[codes] = True
+        flat = self._gather(codes)
+        upto = np.cumsum(np.bincount(np.repeat(np.arange(len(cut)), [len(p) for p in cut]), self.count[codes],
+                                     len(cut)).astype(np.int64))
+        return [part.tobytes() for part in np.split(flat, upto[:-1])] if cut else []
+
+    def _codes(self, cut: list[list[str]]) -> np.ndarray:
+        """The number of every piece, -1 where it is not known."""
+        return np.fromiter(map(self.known.get, chain.from_iterable(cut), repeat(-1)), np.int64)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -99,8 +174,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, id_col: str =
         block, seq, start, size, ids, parts, rows = None, 0, 0, 0, [], [], []
         for b in batches:
             # a few texts at a time: the pieces of a batch are in memory together
-            for lo in range(0, len(b), 64):
-                some = b.iloc[lo : lo + 64]
+            for lo in range(0, len(b), 128):
+                some = b.iloc[lo : lo + 128]
                 coded = enc(some["text"].tolist())
                 for at, doc, got in zip(some["block"], some["doc_id"], coded, strict=True):
                     if parts and (at != block or size >= CHUNK_IDS):
