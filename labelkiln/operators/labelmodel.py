@@ -1,8 +1,7 @@
 """Rule analysis and label models.
 
-All statistics are single aggregates over the wide vote table (one column per rule).  Label models
-never touch the text: votes are first compressed to distinct vote patterns with their counts (one
-shuffle), and every fitting step runs on that pattern table.  Only fitted parameters (rules x classes
+Votes are first compressed to distinct vote patterns with their counts (one shuffle); statistics of rules, of pairs of
+rules, and every fitting step run on that table, in long form, so that plans do not grow with the number of rules.  Only fitted parameters (rules x classes
 x outcomes numbers) come back to the driver; prediction is a narrow step (Arrow batches, one numpy
 pass whatever the number of rules and classes), so it also runs on streams.
 """
@@ -18,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.session import ship_package
+from labelkiln.session import cut_lineage, ship_package
 
 ABSTAIN = None
 
@@ -27,50 +26,84 @@ def _voted(c: str) -> Column:
     return F.col(c).isNotNull()
 
 
+def _patterns(votes: DataFrame, lfs: Sequence[str], gold: str | None = None) -> DataFrame:
+    """Distinct patterns as lists of the votes cast, ``cast`` (``j``: number of the rule, ``v``: its vote), with counts ``n``.
+
+    One grouping key whatever the number of rules; the plan does not grow with them."""
+    key = [F.array(*[F.col(c) for c in lfs]).alias("votes")] + ([F.col(gold).alias("gold")] if gold else [])
+    counted = votes.select(*key).groupBy("votes", *(["gold"] if gold else [])).agg(F.count("*").cast("bigint").alias("n"))
+    cast = F.filter(F.transform("votes", lambda v, j: F.struct(j.alias("j"), v.alias("v"))), lambda x: x["v"].isNotNull())
+    return cut_lineage(counted.withColumn("cast", cast).drop("votes"))
+
+
+def _named(votes: DataFrame, lfs: Sequence[str]) -> DataFrame:
+    return votes.sparkSession.createDataFrame(list(enumerate(lfs)), "j int, lf string")
+
+
 def lf_summary(votes: DataFrame, lfs: Sequence[str], gold: str | None = None) -> DataFrame:
     """Per rule coverage, overlap, conflict (as fractions of all rows), polarity (labels it
-    votes) and, with a gold column, empirical accuracy on gold rows it voted on."""
-    n = F.count("*")
-    aggs = []
-    for c in lfs:
-        others = [o for o in lfs if o != c]
-        any_other = F.lit(False)
-        conflict = F.lit(False)
-        for o in others:
-            any_other = any_other | _voted(o)
-            conflict = conflict | (_voted(o) & (F.col(o) != F.col(c)))
-        aggs += [(F.count_if(_voted(c)) / n).alias(f"{c}__coverage"),
-                 (F.count_if(_voted(c) & any_other) / n).alias(f"{c}__overlap"),
-                 (F.count_if(_voted(c) & conflict) / n).alias(f"{c}__conflict"),
-                 F.array_sort(F.collect_set(F.col(c))).alias(f"{c}__polarity")]
-        if gold:
-            g = F.col(gold).isNotNull() & _voted(c)
-            aggs.append((F.count_if(g & (F.col(c) == F.col(gold))) / F.count_if(g)).alias(f"{c}__accuracy"))
-    one = votes.agg(*aggs)
-    stats = ["coverage", "overlap", "conflict", "polarity"] + (["accuracy"] if gold else [])
-    rows = F.array(*[F.struct(F.lit(c).alias("lf"), *[F.col(f"{c}__{s}").alias(s) for s in stats]) for c in lfs])
-    return one.select(F.inline(rows))
+    votes) and, with a gold column, empirical accuracy on gold rows it voted on.
+
+    Patterns are compressed first; each then gives a row per vote cast."""
+    pat = _patterns(votes, lfs, gold)
+    total = pat.agg(F.sum("n")).scalar()
+    one = pat.withColumn("x", F.explode("cast"))
+    other = F.size("cast") > 1
+    against = F.exists("cast", lambda y: y["v"] != F.col("x.v"))
+    count = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(0))
+    aggs = [F.sum("n").alias("voted"), count(other).alias("shared"), count(against).alias("against"),
+            F.array_sort(F.collect_set("x.v")).alias("polarity")]
+    if gold:
+        aggs += [count(F.col("gold").isNotNull()).alias("checked"), count(F.col("gold") == F.col("x.v")).alias("right")]
+    s = _named(votes, lfs).join(one.groupBy(F.col("x.j").alias("j")).agg(*aggs), "j", "left")
+    share = lambda c: F.coalesce(F.col(c), F.lit(0)) / total
+    kind = votes.schema[lfs[0]].dataType.simpleString()
+    out = [share("voted").alias("coverage"), share("shared").alias("overlap"), share("against").alias("conflict"),
+           F.coalesce("polarity", F.array().cast(f"array<{kind}>")).alias("polarity")]
+    if gold:
+        out.append(F.when(F.col("checked") > 0, F.col("right") / F.col("checked")).alias("accuracy"))
+    return s.select("lf", *out)
+
+
+def _pairs_cast(pat: DataFrame) -> DataFrame:
+    """``i, j, a, b, n``: how often rules ``i < j`` cast the votes ``a`` and ``b`` on one row."""
+    pairs = F.flatten(F.transform("cast", lambda x, at: F.transform(
+        F.slice("cast", at + 2, F.size("cast")), lambda y: F.struct(x["j"].alias("i"), y["j"].alias("j"), x["v"].alias("a"),
+                                                                   y["v"].alias("b")))))
+    return (pat.filter(F.size("cast") > 1).withColumn("p", F.explode(pairs))
+            .groupBy("p.i", "p.j", "p.a", "p.b").agg(F.sum("n").alias("n")))
+
+
+def _votes_cast(pat: DataFrame) -> DataFrame:
+    """``j, v, n``: how often rule ``j`` cast the vote ``v``."""
+    return pat.withColumn("x", F.explode("cast")).groupBy("x.j", "x.v").agg(F.sum("n").alias("n"))
+
+
+def pair_votes(votes: DataFrame, lfs: Sequence[str]) -> DataFrame:
+    """``lf_i, lf_j, vote_i, vote_j, n`` for the rule pairs and votes that occur (numbers of rules: i < j)."""
+    names = _named(votes, lfs)
+    return (_pairs_cast(_patterns(votes, lfs)).join(names.select(F.col("j").alias("i"), F.col("lf").alias("lf_i")), "i")
+            .join(names.select("j", F.col("lf").alias("lf_j")), "j")
+            .select("lf_i", "lf_j", F.col("a").alias("vote_i"), F.col("b").alias("vote_j"), "n"))
 
 
 def lf_agreement(votes: DataFrame, lfs: Sequence[str]) -> DataFrame:
     """For every ordered pair of rules (i < j): rows where both voted, agreed, disagreed."""
-    aggs, pairs = [], []
-    for a in range(len(lfs)):
-        for b in range(a + 1, len(lfs)):
-            i, j = lfs[a], lfs[b]
-            both = _voted(i) & _voted(j)
-            aggs += [F.count_if(both).cast("bigint").alias(f"{i}__{j}__both"),
-                     F.count_if(both & (F.col(i) == F.col(j))).cast("bigint").alias(f"{i}__{j}__agree"),
-                     F.count_if(both & (F.col(i) != F.col(j))).cast("bigint").alias(f"{i}__{j}__disagree")]
-            pairs.append((i, j))
-    one = votes.agg(*aggs, F.count("*").cast("bigint").alias("__n"),
-                    *[F.count_if(_voted(c)).cast("bigint").alias(f"{c}__cov") for c in lfs])
-    rows = F.array(*[F.struct(F.lit(i).alias("lf_i"), F.lit(j).alias("lf_j"),
-                              F.col(f"{i}__{j}__both").alias("both"), F.col(f"{i}__{j}__agree").alias("agree"),
-                              F.col(f"{i}__{j}__disagree").alias("disagree"),
-                              F.col(f"{i}__cov").alias("cov_i"), F.col(f"{j}__cov").alias("cov_j"),
-                              F.col("__n").alias("n")) for i, j in pairs])
-    return one.select(F.inline(rows))
+    pat = _patterns(votes, lfs)
+    total = pat.agg(F.sum("n")).scalar()
+    met = _pairs_cast(pat).groupBy("i", "j").agg(
+        F.sum("n").alias("both"), F.sum(F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)).alias("agree"))
+    cov = cut_lineage(_votes_cast(pat).groupBy("j").agg(F.sum("n").alias("cov")))
+    grid = votes.sparkSession.createDataFrame(
+        [(i, j, lfs[i], lfs[j]) for i in range(len(lfs)) for j in range(i + 1, len(lfs))],
+        "i int, j int, lf_i string, lf_j string")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    return (grid.join(met, ["i", "j"], "left")
+            .join(cov.select(F.col("j").alias("i"), F.col("cov").alias("cov_i")), "i", "left")
+            .join(cov.select("j", F.col("cov").alias("cov_j")), "j", "left")
+            .select("lf_i", "lf_j", zero("both").alias("both"), zero("agree").alias("agree"),
+                    (zero("both") - zero("agree")).alias("disagree"), zero("cov_i").alias("cov_i"),
+                    zero("cov_j").alias("cov_j"), total.cast("bigint").alias("n")))
 
 
 def correlated_lfs(votes: DataFrame, lfs: Sequence[str], lift: float = 2.0) -> DataFrame:
@@ -135,66 +168,95 @@ def _rows(col: pd.Series, width: int) -> np.ndarray:
     return np.array(col.to_list(), dtype=int).reshape(len(col), width)
 
 
+PATTERN_ROWS = 20_000
+
+
+def _normal(z: list[np.ndarray]) -> list[np.ndarray]:
+    """Logs of distributions along the last axis, made to add up to one."""
+    return [x - (m := x.max(axis=-1, keepdims=True)) - np.log(np.exp(x - m).sum(axis=-1, keepdims=True)) for x in z]
+
+
+def _mixed(points: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Anderson's next point from the last points ``(z, EM step of z)``: the mix of steps whose changes cancel best."""
+    z, g = points[-1]
+    if len(points) < 2:
+        return g
+    change = np.stack([(b[1] - b[0]) - (a[1] - a[0]) for a, b in zip(points, points[1:], strict=False)], axis=1)
+    moved = np.stack([b[1] - a[1] for a, b in zip(points, points[1:], strict=False)], axis=1)
+    gamma = np.linalg.lstsq(change, g - z, rcond=1e-10)[0]
+    return g - moved @ gamma
+
+
 def fit_em(votes: DataFrame, lfs: Sequence[str], classes: Sequence[str], max_iter: int = 100,
-           tol: float = 1e-6, smoothing: float = 0.01) -> EMModel:
+           tol: float = 1e-6, smoothing: float = 0.01, memory: int = 5) -> EMModel:
     """Dawid-Skene EM on vote patterns, started from vote shares.
 
-    Votes are compressed to distinct patterns with counts (one shuffle, cached).  In each iteration every
-    task sums the expected counts of its patterns per (rule, outcome, class) in numpy and Spark adds them up;
-    the driver gets the sums of the outcomes that occur, never patterns.
+    Votes are compressed to distinct patterns with counts (one shuffle, checkpointed in parts of about ``PATTERN_ROWS``).
+    In each step every task sums the expected counts of its patterns per (rule, outcome, class) in numpy and Spark adds them
+    up; the driver gets the sums of the outcomes that occur, never patterns.  Steps are accelerated: the next point mixes the
+    last ``memory`` EM steps (Anderson), and a point of lower likelihood is given up for the plain EM step before it.  The fit ends
+    when an EM step changes no parameter by ``tol``, when two steps in turn change the likelihood by less than a tenth of that share
+    of it (votes that leave the parameters open), or after ``max_iter`` jobs.
     """
     ship_package(votes.sparkSession)
     lfs, classes = list(lfs), list(classes)
     J, K = len(lfs), len(classes)
-    pat = vote_patterns(votes, lfs).select(_outcomes(lfs, classes).alias("o"), "cnt").cache()
-    params: list = [None]
-
-    def expect(batches):
-        sums, total, ll = np.zeros((J, K + 1, K)), np.zeros(K), 0.0
-        for b in batches:
-            if not len(b):
-                continue
-            o, cnt = _rows(b["o"], J), b["cnt"].to_numpy(float)
-            if params[0] is None:
-                n = np.stack([(o == k + 1).sum(axis=1) for k in range(K)], axis=1).astype(float)
-                tot = n.sum(axis=1, keepdims=True)
-                resp = np.where(tot > 0, (n + smoothing) / (tot + K * smoothing), 1.0 / K)
-            else:
-                lj = _log_joint(o, *params[0])
-                m = lj.max(axis=1, keepdims=True)
-                z = np.exp(lj - m).sum(axis=1, keepdims=True)
-                resp = np.exp(lj - m) / z
-                ll += float((cnt * (m[:, 0] + np.log(z[:, 0]))).sum())
-            w = resp * cnt[:, None]
-            total += w.sum(axis=0)
-            for j in range(J):
-                np.add.at(sums[j], o[:, j], w)
-        j, v, k = np.nonzero(sums)
-        yield pd.DataFrame({"j": np.r_[j, [-1] * K, -2], "v": np.r_[v, [0] * K, 0], "k": np.r_[k, np.arange(K), 0],
-                            "s": np.r_[sums[j, v, k], total, ll]})
-
-    prev, it, ll = None, 0, float("nan")
-    prior = np.full(K, 1.0 / K)
-    theta = np.full((J, K, K + 1), 1.0 / (K + 1))
-    for it in range(1, max_iter + 2):
+    pat = cut_lineage(vote_patterns(votes, lfs).select(_outcomes(lfs, classes).alias("o"), "cnt"))
+    pat = pat.coalesce(max(1, -(-pat.count() // PATTERN_ROWS)))
+
+    def step(params) -> tuple[list[np.ndarray], float]:
+        """Log parameters after one EM step, and the log likelihood before it."""
+        def expect(batches):
+            sums, total, ll = np.zeros((J, K + 1, K)), np.zeros(K), 0.0
+            for b in batches:
+                if not len(b):
+                    continue
+                o, cnt = _rows(b["o"], J), b["cnt"].to_numpy(float)
+                if params is None:
+                    n = np.stack([(o == k + 1).sum(axis=1) for k in range(K)], axis=1).astype(float)
+                    tot = n.sum(axis=1, keepdims=True)
+                    resp = np.where(tot > 0, (n + smoothing) / (tot + K * smoothing), 1.0 / K)
+                else:
+                    lj = _log_joint(o, *[np.exp(x) for x in params])
+                    m = lj.max(axis=1, keepdims=True)
+                    z = np.exp(lj - m).sum(axis=1, keepdims=True)
+                    resp = np.exp(lj - m) / z
+                    ll += float((cnt * (m[:, 0] + np.log(z[:, 0]))).sum())
+                w = resp * cnt[:, None]
+                total += w.sum(axis=0)
+                for j in range(J):
+                    np.add.at(sums[j], o[:, j], w)
+            j, v, k = np.nonzero(sums)
+            yield pd.DataFrame({"j": np.r_[j, [-1] * K, -2], "v": np.r_[v, [0] * K, 0], "k": np.r_[k, np.arange(K), 0],
+                                "s": np.r_[sums[j, v, k], total, ll]})
+
         rows = pat.mapInPandas(expect, "j int, v int, k int, s double").groupBy("j", "v", "k").agg(F.sum("s")).collect()
         nk, counts, ll = np.zeros(K), np.zeros((J, K, K + 1)), float("nan")
-        for j, v, k, s in rows:
+        for j, v, k, value in rows:
             if j == -2:
-                ll = s
+                ll = value
             elif j == -1:
-                nk[k] = s
+                nk[k] = value
             else:
-                counts[j, k, v] = s
-        if params[0] is not None and (it > max_iter or prev is not None and abs(ll - prev) < tol * max(1.0, abs(prev))):
+                counts[j, k, v] = value
+        return _normal([np.log(nk + smoothing), np.log(counts + smoothing)]), ll
+
+    flat = lambda z: np.concatenate([x.ravel() for x in z])
+    back = lambda x: _normal([x[:K], x[K:].reshape(J, K, K + 1)])
+    at, points, last, ll, jobs, still = step(None)[0], [], None, float("nan"), 1, 0
+    while jobs <= max_iter:
+        after, ll = step(at)
+        jobs += 1
+        if last is not None and ll < last[0] - 1e-9 * abs(last[0]) and last[1] is not None:
+            at, points, last = last[1], [], (last[0], None)
+            continue
+        still = still + 1 if last is not None and abs(ll - last[0]) < 0.1 * tol * abs(last[0]) else 0
+        last = (ll, after)
+        if still > 1 or max(np.abs(np.exp(a) - np.exp(b)).max() for a, b in zip(after, at, strict=True)) < tol:
             break
-        prev = ll if params[0] is not None else None
-        prior = (nk + smoothing) / (nk.sum() + K * smoothing)
-        theta = counts + smoothing
-        theta /= theta.sum(axis=2, keepdims=True)
-        params[0] = (prior, theta)
-    pat.unpersist()
-    return EMModel(classes, lfs, prior, theta, it - 1, ll)
+        points = [*points, (flat(at), flat(after))][-memory - 1 :]
+        at = back(_mixed(points))
+    return EMModel(classes, lfs, np.exp(at[0]), np.exp(at[1]), jobs - 1, ll)
 
 
 def predict_em(votes: DataFrame, model: EMModel, tie_break: str = "abstain", seed: int = 123,
@@ -245,43 +307,72 @@ def binary_votes(votes: DataFrame, lfs: Sequence[str], target: str) -> DataFrame
                                .alias(f"__b_{c}") for c in lfs])
 
 
+def _fit_moments(single: DataFrame, pairs: DataFrame, rules: int, clip: float) -> DataFrame:
+    """``label, i, acc, cov, prior`` from first moments (``label, i, mean, cov``) and second ones (``label, i, j, m``;
+    pairs that are not listed have 0).
+
+    With ``M_ij = E[v_i v_j] = a_i a_j`` and ``a_i = cov_i (2 acc_i - 1)``, ``|a_i|`` is the median over pairs (j, k) of
+    ``sqrt(|M_ij M_ik / M_jk|)``; rules are assumed better than chance."""
+    both = cut_lineage(pairs.filter("m <> 0").select("label", "i", "j", "m").unionByName(
+        pairs.filter("m <> 0").select("label", F.col("j").alias("i"), F.col("i").alias("j"), "m")))
+    side = both.groupBy("label", "i").agg(F.count("*").alias("beside"))
+    of = lambda x, y, m: both.select("label", F.col("i").alias(x), F.col("j").alias(y), F.col("m").alias(m))
+    # every pair (j, k) with a moment is a candidate for every other rule; where i lacks a moment, it counts as 0
+    den = of("j", "k", "m_jk").filter("j < k")
+    full = of("i", "j", "m_ij").join(of("i", "k", "m_ik"), ["label", "i"]).filter("j < k").join(den, ["label", "j", "k"])
+    value = full.select("label", "i", F.sqrt(F.abs(F.col("m_ij") * F.col("m_ik") / F.col("m_jk"))).alias("x"))
+    # the zeros are not listed: how many there are follows from the numbers of pairs
+    total = den.groupBy("label").agg(F.count("*").alias("pairs"))
+    by_rule = value.groupBy("label", "i").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    base = (single.select("label", "i", "mean", "cov").join(total, "label", "left").join(side, ["label", "i"], "left")
+            .join(by_rule, ["label", "i"], "left"))
+    n = (F.coalesce("pairs", F.lit(0)) - F.coalesce("beside", F.lit(0))).cast("int")  # pairs without rule i
+    xs = F.coalesce("xs", F.array().cast("array<double>"))
+    nth = lambda k: F.when(k < n - F.size(xs), 0.0).otherwise(F.get(xs, (k - (n - F.size(xs))).cast("int")))
+    low, high = F.floor((n - 1) / 2), F.floor(n / 2)
+    a = F.when(n > 0, (nth(low) + nth(high)) / 2).otherwise(0.0)
+    one = base.withColumn("a", a).withColumn("acc", F.when(
+        F.col("cov") > 0, F.least(F.lit(1 - clip), F.greatest(F.lit(clip), (1 + F.col("a") / F.col("cov")) / 2)))
+        .otherwise(0.5))
+    prior = one.groupBy("label").agg(F.coalesce(F.avg(F.when(F.col("a") > 0, F.col("mean") / F.col("a"))), F.lit(0.0)).alias("s"))
+    prior = prior.select("label", F.least(F.lit(1 - clip), F.greatest(F.lit(clip), (1 + F.col("s")) / 2)).alias("prior"))
+    return one.join(prior, "label").select("label", "i", "acc", "cov", "prior")
+
+
+def _models(fitted: DataFrame, names: Sequence[str], prior: float | None = None) -> dict[str, TripletModel]:
+    """The fitted table (labels x rules numbers) as a model per label."""
+    out: dict[str, TripletModel] = {}
+    for r in fitted.orderBy("label", "i").collect():
+        m = out.setdefault(r.label, TripletModel(list(names), {}, {}, r.prior if prior is None else prior))
+        m.accuracy[names[r.i]], m.coverage[names[r.i]] = r.acc, r.cov
+    return out
+
+
 def fit_triplet(votes: DataFrame, lfs: Sequence[str], prior: float | None = None, clip: float = 0.01) -> TripletModel:
-    """J9 (moments): with ``M_ij = E[v_i v_j] = a_i a_j`` and ``a_i = cov_i (2 acc_i - 1)``,
-    ``|a_i| = median over pairs (j, k) of sqrt(|M_ij M_ik / M_jk|)``; rules are assumed better than
-    chance.  ``lfs`` are columns holding -1/0/+1.  One aggregate pass."""
-    lfs = list(lfs)
-    J = len(lfs)
-    aggs = [F.avg(F.col(c).cast("double")).alias(f"m_{i}") for i, c in enumerate(lfs)]
-    aggs += [F.avg((F.col(c) != 0).cast("double")).alias(f"c_{i}") for i, c in enumerate(lfs)]
-    for i in range(J):
-        for j in range(i + 1, J):
-            aggs.append(F.avg((F.col(lfs[i]) * F.col(lfs[j])).cast("double")).alias(f"M_{i}_{j}"))
-    row = votes.agg(*aggs).first()
-
-    def M(i, j):
-        i, j = min(i, j), max(i, j)
-        return row[f"M_{i}_{j}"] or 0.0
-
-    acc, cov, a_abs = {}, {}, []
-    for i in range(J):
-        cands = []
-        for j in range(J):
-            for k in range(j + 1, J):
-                if i in (j, k):
-                    continue
-                den = M(j, k)
-                if den != 0:
-                    cands.append(math.sqrt(abs(M(i, j) * M(i, k) / den)))
-        a = float(np.median(cands)) if cands else 0.0
-        c = row[f"c_{i}"] or 0.0
-        cov[lfs[i]] = c
-        a_abs.append(a)
-        acc[lfs[i]] = float(min(1 - clip, max(clip, (1 + a / c) / 2))) if c > 0 else 0.5
-    if prior is None:
-        ests = [row[f"m_{i}"] / a_abs[i] for i in range(J) if a_abs[i] > 0]
-        s = float(np.mean(ests)) if ests else 0.0
-        prior = min(1 - clip, max(clip, (1 + s) / 2))
-    return TripletModel(lfs, acc, cov, prior)
+    """J9 (moments) for one target: ``lfs`` are columns holding -1/0/+1.  See ``_fit_moments``."""
+    signs = votes.select(*[F.when(F.col(c) != 0, F.when(F.col(c) > 0, "+").otherwise("-")).alias(c) for c in lfs])
+    return fit_triplets(signs, lfs, ["+"], prior, clip, list(lfs))["+"]
+
+
+def fit_triplets(votes: DataFrame, lfs: Sequence[str], labels: Sequence[str], prior: float | None = None,
+                 clip: float = 0.01, names: Sequence[str] | None = None) -> dict[str, TripletModel]:
+    """The moments of all one-vs-rest targets from one table of pair votes.
+
+    Votes are compressed to patterns, and those to counts per (rule, vote) and (rule, rule, vote, vote); each target
+    reads its moments off these counts (+1: a vote for it, -1: for another label)."""
+    names = list(names or [f"__b_{c}" for c in lfs])
+    pat = _patterns(votes, lfs)
+    total = pat.agg(F.sum("n")).scalar()
+    targets = F.explode(F.array(*[F.lit(t) for t in labels])).alias("label")
+    sign = lambda v: F.when(F.col(v) == F.col("label"), 1.0).otherwise(-1.0)
+    grid = votes.sparkSession.createDataFrame([(t, i) for t in labels for i in range(len(lfs))], "label string, i int")
+    single = _votes_cast(pat).select("*", targets).groupBy("label", F.col("j").alias("i")).agg(
+        F.sum(F.col("n") * sign("v")).alias("s"), F.sum("n").alias("c"))
+    single = grid.join(single, ["label", "i"], "left").select(
+        "label", "i", (F.coalesce("s", F.lit(0.0)) / total).alias("mean"), (F.coalesce("c", F.lit(0)) / total).alias("cov"))
+    pairs = _pairs_cast(pat).select("*", targets).groupBy("label", "i", "j").agg(
+        (F.sum(F.col("n") * sign("a") * sign("b")) / total).alias("m"))
+    return _models(_fit_moments(single, pairs, len(lfs), clip), names, prior)
 
 
 def predict_triplet(votes: DataFrame, model: TripletModel, out: str = "p_positive") -> DataFrame:
@@ -298,14 +389,10 @@ def predict_triplet(votes: DataFrame, model: TripletModel, out: str = "p_positiv
 def label_model_ovr(votes: DataFrame, lfs: Sequence[str], labels: Sequence[str], threshold: float = 0.5,
                     id_col: str = "id") -> DataFrame:
     """One-vs-rest triplet models, one per target label, then labels above the threshold
-    (sorted, NULL when no rule voted)."""
+    (sorted, NULL when no rule voted).  One pass over the votes fits all of them, one projection predicts."""
+    models = fit_triplets(votes, lfs, labels)
     d = votes
-    probs = []
     for t in labels:
-        b = binary_votes(d, lfs, t)
-        cols = [f"__b_{c}" for c in lfs]
-        m = fit_triplet(b.select(*cols), cols)
-        d = predict_triplet(b, m, f"p_{t}").drop(*cols)
-        probs.append(t)
-    arr = F.array(*[F.when(F.col(f"p_{t}") > threshold, F.lit(t)) for t in probs])
+        d = predict_triplet(binary_votes(d, lfs, t), models[t], f"p_{t}").drop(*[f"__b_{c}" for c in lfs])
+    arr = F.array(*[F.when(F.col(f"p_{t}") > threshold, F.lit(t)) for t in labels])
     return d.withColumn("labels", F.array_sort(F.filter(arr, lambda x: x.isNotNull())))

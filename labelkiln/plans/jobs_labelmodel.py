@@ -95,15 +95,56 @@ def label_matrix(spark, sf):
 def label_model(spark, sf):
     """Dawid-Skene EM over vote patterns (3 classes); prediction per document, all-abstain
     rows stay unlabelled.  Iterative fit: checked by tests on planted votes, not by SQL."""
-    v = _votes(spark, sf).persist()  # narrow (id + votes): rules run once for fit and predict
+    v = _votes(spark, sf)  # narrow: votes are cheaper to take again than to keep
     m = LM.fit_em(v, _LFS, CLASSES, max_iter=100)
     p = LM.predict_em(v, m, tie_break="abstain")
     return p.select("id", "pred", F.round("confidence", 6).alias("confidence"))
 
 
-@job("label_model_ovr")
+@job("label_model_hash")
+def label_model_hash(spark, sf):
+    """The same model with ties settled by a seeded hash of the id."""
+    v = _votes(spark, sf)
+    m = LM.fit_em(v, _LFS, CLASSES, max_iter=100)
+    return LM.predict_em(v, m, tie_break="hash").select("id", "pred")
+
+
+_TARGETS = ["low_quality", "toxic"]
+#: Moments, triplet accuracies, priors and log odds of all targets, from the votes.
+_MOMENTS_SQL = f"""
+  v AS ({_VOTES_SQL}),
+  lab AS (SELECT unnest({_TARGETS!r}) AS t),
+  l AS (SELECT id, unnest(range({len(_LFS)})) AS i, unnest([{', '.join(_LFS)}]) AS vote FROM v),
+  b AS (SELECT t, id, i, CASE WHEN vote IS NULL THEN 0 WHEN vote = t THEN 1 ELSE -1 END AS s FROM l, lab),
+  m AS (SELECT x.t, x.i, y.i AS j, avg(x.s * y.s) AS m FROM b x JOIN b y ON x.t = y.t AND x.id = y.id AND x.i <> y.i GROUP BY ALL),
+  c AS (SELECT t, i, avg(s) AS mean, avg(abs(s)) AS cov FROM b GROUP BY ALL),
+  a AS (SELECT p.t, p.i, median(sqrt(abs(p.m * q.m / d.m))) AS a FROM m p JOIN m q ON p.t = q.t AND p.i = q.i AND p.j < q.j
+        JOIN m d ON d.t = p.t AND d.i = p.j AND d.j = q.j WHERE d.m <> 0 GROUP BY ALL),
+  f AS (SELECT c.t, c.i, coalesce(a, 0) AS a, mean,
+          CASE WHEN cov > 0 THEN least(0.99, greatest(0.01, (1 + coalesce(a, 0) / cov) / 2)) ELSE 0.5 END AS acc
+        FROM c LEFT JOIN a ON c.t = a.t AND c.i = a.i),
+  p AS (SELECT t, least(0.99, greatest(0.01, (1 + coalesce(avg(mean / a) FILTER (WHERE a > 0), 0)) / 2)) AS prior
+        FROM f GROUP BY t),
+  o AS (SELECT b.id, b.t, bool_or(b.s <> 0) AS voted,
+          1 / (1 + exp(-(ln(any_value(prior) / (1 - any_value(prior))) + sum(b.s * ln(acc / (1 - acc)))))) AS p
+        FROM b JOIN f ON b.t = f.t AND b.i = f.i JOIN p ON p.t = b.t GROUP BY b.id, b.t)"""
+
+
+@job("label_model_ovr", f"WITH {_MOMENTS_SQL} SELECT id, coalesce(string_agg(t, ',' ORDER BY t) FILTER (WHERE voted AND p > 0.5), '') "
+                        f"AS labels FROM o GROUP BY id")
 def label_model_ovr(spark, sf):
     """One-vs-rest triplet-moment models per label, labels above 0.5."""
     v = _votes(spark, sf)
-    out = LM.label_model_ovr(v, _LFS, ["low_quality", "toxic"], 0.5)
+    out = LM.label_model_ovr(v, _LFS, _TARGETS, 0.5)
     return out.select("id", F.array_join("labels", ",").alias("labels"))
+
+
+@job("label_model_moments", f"WITH {_MOMENTS_SQL} SELECT id, t AS target, round(CASE WHEN voted THEN p END, 6) AS p FROM o")
+def label_model_moments(spark, sf):
+    """J9 (moments): the probability of each target per document, NULL where no rule voted."""
+    v = _votes(spark, sf)
+    models = LM.fit_triplets(v, _LFS, _TARGETS)
+    for t in _TARGETS:
+        v = LM.predict_triplet(LM.binary_votes(v, _LFS, t), models[t], f"p_{t}").drop(*[f"__b_{c}" for c in _LFS])
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), F.round(f"p_{t}", 6).alias("p")) for t in _TARGETS]))
+    return v.select("id", each.alias("x")).select("id", "x.target", "x.p")
