@@ -31,7 +31,7 @@ def class_weights(df: DataFrame, label: str = "label", manual: Mapping[str, floa
 
 def with_weights(df: DataFrame, weights: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Attach class weights to rows (the weight table is bounded by the vocabulary: broadcast)."""
-    return df.join(F.broadcast(weights.select(label, F.col("weight").alias(out))), label, "left")
+    return df.join(weights.select(label, F.col("weight").alias(out)), label, "left")
 
 
 def pos_weights(df: DataFrame, labels: str = "labels") -> DataFrame:
@@ -185,7 +185,7 @@ def augment_to_target(df: DataFrame, label: str = "label", target: int = 100, te
     text (N6); by default the built-in EDA variants."""
     src = df.filter(F.col(label).isNotNull())
     d = deficits(src, label, target).filter(F.col("deficit") > 0)
-    gen = src.join(F.broadcast(d), label)  # one row per class
+    gen = src.join(d, label)  # one row per class
     gen = gen.withColumn("variant_no", F.explode(F.sequence(F.lit(1), F.col("variants").cast("int"))))
     key = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.col("variant_no").cast("string"), F.lit(str(seed))))
     gen = rank_within(gen, [label], key, out="__p").filter(F.col("__p") < F.col("deficit"))

@@ -6,9 +6,10 @@ collects rows to the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from labelkiln.functions import text as tx
@@ -38,7 +39,7 @@ def accept_by_class(df: DataFrame, thresholds: DataFrame | Mapping[str, float],
         m = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v)))])
         t = F.element_at(m, F.col(label))
     else:
-        df = df.join(F.broadcast(thresholds.withColumnRenamed(thresholds.columns[1], "__t")), label, "left")
+        df = df.join(thresholds.withColumnRenamed(thresholds.columns[1], "__t"), label, "left")
         t = F.col("__t")
     if default is not None:
         t = F.coalesce(t, F.lit(float(default)))
@@ -139,6 +140,28 @@ def audit(before: DataFrame, after: DataFrame, label: str = "label", new_label:
                                          for m in ("initial_nulls", "assigned", "flipped", "final_nulls")])))
 
 
+AUDIT = ("initial_nulls", "assigned", "flipped", "final_nulls")
+
+
+def audit_metrics(label: str = "label", new_label: str = "weak_label", before: str = "relevance_before",
+                  after: str = "relevance") -> list[Column]:
+    """D17 as aggregates over one table that carries both states: to be observed while the rows pass."""
+    old, new = F.col(label), F.col(new_label)
+    return [F.count_if(old.isNull()).cast("bigint").alias("initial_nulls"),
+            F.count_if(old.isNull() & new.isNotNull()).cast("bigint").alias("assigned"),
+            F.count_if((F.col(before) == 0) & (F.col(after) == 1)).cast("bigint").alias("flipped"),
+            F.count_if(new.isNull()).cast("bigint").alias("final_nulls")]
+
+
+def audited_write(df: DataFrame, path: str, label: str = "label", new_label: str = "weak_label",
+                  before: str = "relevance_before", after: str = "relevance", fmt: str = "parquet") -> DataFrame:
+    """Write ``df`` and return ``(metric, value)`` as counted by the write itself: no second pass, no join."""
+    seen = Observation(f"audit-{uuid.uuid4().hex[:8]}")
+    df.observe(seen, *audit_metrics(label, new_label, before, after)).write.format(fmt).save(path)
+    got = seen.get
+    return df.sparkSession.createDataFrame([(m, got[m]) for m in AUDIT], "metric string, value bigint")
+
+
 def vector_checks(df: DataFrame, vec: str = "embedding", dim: int = 64, id_col: str = "id") -> DataFrame:
     """One aggregate row: rows, NULL vectors, wrong length, vectors holding NaN, zero vectors."""
     v = F.col(vec)

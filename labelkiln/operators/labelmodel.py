@@ -285,7 +285,7 @@ def predict_em(votes: DataFrame, model: EMModel, tie_break: str = "abstain", see
     idx = F.when(F.size(tied) == 1, single)
     if tie_break == "hash":
         idx = idx.otherwise(pick_hash)
-    pred = F.when(any_vote, F.element_at(labels, (idx + 1).cast("int")))
+    pred = F.when(any_vote, F.get(labels, idx.cast("int")))
     return d.withColumn("pred", pred).withColumn("confidence", F.when(F.col("pred").isNotNull(), mx)).drop("__o")
 
 

@@ -29,6 +29,7 @@ from labelkiln.functions import vector as V
 from labelkiln.operators import joint
 from labelkiln.operators.classifier import Classifier, LogisticClassifier, Model, as_model, scored
 from labelkiln.operators.ranking import hash_order, query_batch, top_fraction
+from labelkiln.operators.tokens import HEAD, looked_up
 from labelkiln.operators.update import apply_labels
 from labelkiln.session import cut_lineage
 
@@ -66,7 +67,7 @@ def tfidf_relational(df: DataFrame, text: str = "text", id_col: str = "id", max_
     n = df.agg(F.count("*")).scalar()
     stats = tf.groupBy("term").agg(F.sum("tf").alias("cf"), F.count("*").alias("df"))
     voc = stats.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)  # the vocabulary cap
-    w = tf.join(F.broadcast(voc), "term").withColumn("w", F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1))
+    w = tf.join(voc, "term").withColumn("w", F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1))
     nrm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__n"))
     return w.join(nrm, id_col).select(id_col, "term", (F.col("w") / F.col("__n")).alias("weight"))
 
@@ -451,7 +452,9 @@ def encode_sequences(df: DataFrame, vocab: DataFrame, text: str = "text", id_col
     """Token ids truncated and padded to ``max_len`` plus the attention mask.  Truncation happens
     before the explode, so at most ``max_len`` tokens per row go through the vocabulary join."""
     t = df.select(id_col, F.posexplode(F.slice(tx.words(text), 1, max_len)).alias("pos", "token"))
-    j = t.join(vocab, "token", "left").withColumn("token_id", F.coalesce("token_id", F.lit(unk_id)))
+    # ids follow the corpus counts, so the frequent tokens are the first ones
+    head = vocab.filter(F.col("token_id") < HEAD).select("token").distinct()
+    j = looked_up(t, vocab, "token", head).withColumn("token_id", F.coalesce("token_id", F.lit(unk_id)))
     g = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("__s"))
     ids = F.transform("__s", lambda s: s["token_id"])
     out = df.select(id_col).join(g, id_col, "left").withColumn("__ids", F.coalesce(ids, F.array().cast("array<int>")))

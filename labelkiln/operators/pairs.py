@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labelkiln.functions import vector as V
-from labelkiln.operators.ranking import hash_order, rank_within
+from labelkiln.operators.ranking import global_rank, hash_order, rank_within
 
 
 def positions(df: DataFrame, label: str = "label", id_col: str = "id", seed: int = 42) -> DataFrame:
@@ -26,7 +26,7 @@ def positions(df: DataFrame, label: str = "label", id_col: str = "id", seed: int
     # label table is bounded by the vocabulary: index it with a window over that small table
     idx = sizes.select(label, "n", (F.row_number().over(Window.orderBy(label)) - 1).alias("li"),
                        F.count("*").over(Window.partitionBy()).alias("n_labels"))
-    return r.join(F.broadcast(idx), label)
+    return r.join(idx, label)
 
 
 def positive_pairs(df: DataFrame, per_anchor: int = 1, label: str = "label", id_col: str = "id",
@@ -56,7 +56,7 @@ def negative_pairs(df: DataFrame, per_anchor: int = 1, label: str = "label", id_
     a = a.withColumn("nli", F.pmod(F.col("li") + F.col("j"), F.col("n_labels")))
     sizes = p.select(F.col("li").alias("nli"), F.col("n").alias("nn"), F.col(label).alias("negative_label")
                      ).distinct()
-    a = a.join(F.broadcast(sizes), "nli").withColumn("npos", F.pmod(F.col("pos"), F.col("nn")))
+    a = a.join(sizes, "nli").withColumn("npos", F.pmod(F.col("pos"), F.col("nn")))
     b = p.select(F.col(id_col).alias("negative"), F.col("li").alias("nli"), F.col("pos").alias("npos"))
     return a.join(b, ["nli", "npos"]).select("anchor", "negative", "anchor_label", "negative_label")
 
@@ -73,7 +73,7 @@ def triplets(df: DataFrame, per_anchor: int = 1, label: str = "label", id_col: s
     a = (a.withColumn("ppos", F.pmod(F.col("pos") + F.col("j"), F.col("n")))
          .withColumn("nli", F.pmod(F.col("li") + F.col("j"), F.col("n_labels"))))
     sizes = p.select(F.col("li").alias("nli"), F.col("n").alias("nn")).distinct()
-    a = a.join(F.broadcast(sizes), "nli").withColumn("npos", F.pmod(F.col("pos"), F.col("nn")))
+    a = a.join(sizes, "nli").withColumn("npos", F.pmod(F.col("pos"), F.col("nn")))
     pos_side = p.select(F.col(id_col).alias("positive"), F.col(label).alias("__pl"), F.col("pos").alias("ppos"))
     neg_side = p.select(F.col(id_col).alias("negative"), F.col("li").alias("nli"), F.col("pos").alias("npos"))
     t = a.join(pos_side, (a[label] == pos_side["__pl"]) & (a["ppos"] == pos_side["ppos"]))
@@ -89,6 +89,18 @@ def label_batches(df: DataFrame, per_label: int = 4, label: str = "label", id_co
     return p.select(id_col, label, F.floor(F.col("pos") / per_label).cast("bigint").alias("batch"))
 
 
+def mixed_batches(df: DataFrame, batch_size: int = 16, label: str = "label", id_col: str = "id",
+                  seed: int = 42) -> DataFrame:
+    """Batches of exactly ``batch_size`` rows (the last one: what is left) that hold several labels.
+
+    Row ``k`` of a label of ``n`` rows stands at ``(k + 1/2) / n`` of the whole order, so every stretch of it holds the labels
+    in about their shares of all rows, and no batch at the end is left with one label.  Exact ranks, no single-partition sort.
+    """
+    p = positions(df, label, id_col, seed).withColumn("__place", (F.col("pos") + 0.5) / F.col("n"))
+    r = global_rank(p.select(id_col, label, "__place"), [F.col("__place"), F.col(label)], out="__rank")
+    return r.select(id_col, label, F.floor((F.col("__rank") - 1) / batch_size).cast("bigint").alias("batch"))
+
+
 def variant_pairs(originals: DataFrame, variants: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
     """A text with each of its own augmented variants (equi-join on the key)."""
     v = variants.select(id_col, "variant_no", F.col(text).alias("variant"))

@@ -128,7 +128,7 @@ def best_class(df: DataFrame, probs: str = "probs", labels: Sequence[str] | Colu
         lab = idx.cast("int")
     else:
         arr = F.array(*[F.lit(x) for x in labels]) if not isinstance(labels, Column) else labels
-        lab = F.element_at(arr, (idx + 1).cast("int"))
+        lab = F.get(arr, idx.cast("int"))
     return df.withColumn(out_label, lab).withColumn(out_score, mx)
 
 

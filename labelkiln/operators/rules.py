@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelkiln.functions import text as tx
+from labelkiln.operators.tokens import frequent, looked_up
 
 NONE = "__none__"  # vote of a negative rule: "this row is not relevant"
 
@@ -132,31 +133,31 @@ def pandas_lf(name: str, label: str, fn: Callable, text: str = "text") -> LF:
 
 
 def kb_lf(name: str, label: str, kb: DataFrame, term_col: str = "term", text: str = "text",
-          id_col: str = "id", max_terms: int = 1_000_000) -> LF:
+          id_col: str = "id") -> LF:
     """The text contains a term from an external table (e.g. an ingredient list).
 
-    Tokens of each row are exploded and semi-joined to the distinct, lower-cased terms.  The term
-    table is broadcast only when its row count is under ``max_terms``; otherwise the join is a
-    shuffle join on the token.  Only (id) of matching rows is kept, then joined back on the key.
+    Tokens of each row are exploded and joined to the distinct, lower-cased terms (see :func:`kb_hits`).  Only (id) of
+    matching rows is kept, then joined back on the key.
     """
     hit = f"__kb_{name}"
 
     def prepare(df: DataFrame) -> DataFrame:
-        return df.join(kb_hits(df, kb, term_col, text, id_col, max_terms).withColumn(hit, F.lit(True)),
+        return df.join(kb_hits(df, kb, term_col, text, id_col).withColumn(hit, F.lit(True)),
                        id_col, "left")
 
     return LF(name, label, lambda: F.coalesce(F.col(hit), F.lit(False)), prepare=prepare, drop_after=(hit,))
 
 
 def kb_hits(df: DataFrame, kb: DataFrame, term_col: str = "term", text: str = "text",
-            id_col: str = "id", max_terms: int = 1_000_000) -> DataFrame:
-    """Ids whose text contains at least one knowledge-base term (whole token)."""
-    terms = kb.select(F.lower(F.col(term_col)).alias("tok")).distinct()
-    n = terms.count()
-    if n <= max_terms:
-        terms = F.broadcast(terms)
+            id_col: str = "id") -> DataFrame:
+    """Ids whose text contains at least one knowledge-base term (whole token).
+
+    Frequent tokens, which a third of all rows may hold, are looked up apart from the rest (see
+    :func:`labelkiln.operators.tokens.looked_up`)."""
+    terms = kb.select(F.lower(F.col(term_col)).alias("tok")).filter("tok IS NOT NULL").distinct().withColumn("__hit", F.lit(True))
     toks = df.select(id_col, F.explode(F.array_distinct(tx.words(text))).alias("tok"))
-    return toks.join(terms, "tok", "left_semi").select(id_col).distinct()
+    head = frequent(toks, "tok")
+    return looked_up(toks, terms, "tok", head).filter("__hit").select(id_col).distinct()
 
 
 def _prepared(df: DataFrame, lfs: Sequence[LF]) -> DataFrame:
@@ -209,9 +210,12 @@ def union_label(df: DataFrame, lfs: Sequence[LF], label: str = "label", relevanc
 
     Labelled rows keep their label.  An unlabelled row with at least one positive vote gets the
     joined, sorted labels and relevance 1; a negative vote (J3) overrides positives and leaves the
-    row unlabelled with relevance 0.  Rules are only evaluated on unlabelled rows (lazy CASE).
+    row unlabelled with relevance 0.  Rules are only evaluated on unlabelled rows (lazy CASE; Arrow-batched rules
+    of :func:`pandas_lf` see every row).
     """
-    voted = apply_lfs(df, lfs, prefix="__lf_")
+    unlabelled = F.col(label).isNull()
+    voted = _prepared(df, lfs)
+    voted = _dropped(voted.select("*", *[F.when(unlabelled, lf.vote()).alias(f"__lf_{lf.name}") for lf in lfs]), lfs)
     vote_cols = [f"__lf_{lf.name}" for lf in lfs]
     merged = merge_labels(vote_cols)
     neg = F.array_contains(merged, NONE)

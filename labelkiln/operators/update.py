@@ -67,7 +67,7 @@ def decode_labels(df: DataFrame, vocab: DataFrame, index_col: str = "label_id",
     """Class index -> label via the vocabulary table ``(label, label_id)``.  The vocabulary is
     bounded by the number of classes, so it is broadcast."""
     v = vocab.select(F.col(index_col).alias("__i"), F.col(label).alias(out or label))
-    return (df.join(F.broadcast(v), df[index_col] == v["__i"], "left").drop("__i"))
+    return (df.join(v, df[index_col] == v["__i"], "left").drop("__i"))
 
 
 def append(a: DataFrame, b: DataFrame, allow_missing: bool = True) -> DataFrame:

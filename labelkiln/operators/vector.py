@@ -13,7 +13,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +23,7 @@ from labelkiln.functions import text as tx
 from labelkiln.functions import vector as V
 from labelkiln.session import ship_package
 
-MAX_BROADCAST_VALUES = 50_000_000  # ~400 MB of doubles per block
+MAX_BROADCAST_VALUES = 50_000_000  # ~400 MB of doubles per block; larger sides: vector_index.nearest_large
 
 
 def prototypes(df: DataFrame, label: str = "label", vec: str = "vec", out: str = "proto") -> DataFrame:
@@ -178,6 +180,14 @@ def prototype_scores(df: DataFrame, protos: DataFrame, vec: str = "vec", id_col:
     return top_k(df, protos, n, vec, id_col, label, proto_vec).drop("rank")
 
 
+def score_map(df: DataFrame, protos: DataFrame, vec: str = "vec", id_col: str = "id", label: str = "label",
+              proto_vec: str = "proto", out: str = "scores") -> DataFrame:
+    """K3: one row per row, its scores against all prototypes as a map ``label -> score``."""
+    names = F.array(*[F.lit(x) for x in prototype_labels(protos, label)])
+    s = score_matrix(df, protos, vec, id_col, label, proto_vec, "__s")
+    return s.select(id_col, F.map_from_arrays(names, F.col("__s")).alias(out))
+
+
 def zero_shot(df: DataFrame, label_vecs: DataFrame, **kw) -> DataFrame:
     """K4: nearest label-name vector."""
     return nearest(df, label_vecs, **kw)
@@ -308,18 +318,41 @@ def separation(pairs: DataFrame, a_vec: str = "a_vec", b_vec: str = "b_vec", sam
 # K1: text -> vector
 
 
-def hashed_embedding(df: DataFrame, text: str = "text", dim: int = 64, out: str = "vec",
-                     seed: int = 42) -> DataFrame:
-    """K1 default (offline, no model): hashed bag of words (``HashingTF``, murmur3 buckets) of the
-    lower-cased word tokens, L2-normalized, as ``array<float>``.  JVM-side ``pyspark.ml``
-    transformers, linear in the number of tokens."""
-    from pyspark.ml.feature import HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
+def hash_code(token: Column) -> Column:
+    """20 bits of the token's md5: the highest is its sign, the others choose its place."""
+    return F.conv(F.substring(F.md5(token.cast("binary")), 1, 5), 16, 10).cast("int")
+
+
+def hashed_embedding(df: DataFrame, text: str = "text", dim: int = 64, out: str = "vec") -> DataFrame:
+    """K1 default (offline, no model): signed hashed bag of words of the lower-cased word tokens, L2-normalized, as
+    ``array<double>``.  Place and sign of a token come from its md5, so the vectors are the same in any engine
+    (:func:`hashed_embedding_sql`).  Row-wise; a text without words has the zero vector."""
+    @F.arrow_udf("array<double>")
+    def bag(codes: pa.Array) -> pa.Array:
+        n = len(codes)
+        flat = codes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(codes), 0).to_numpy(zero_copy_only=False))
+        at = row * dim + (flat & (_SIGN - 1)) % dim
+        x = np.bincount(at, np.where(flat & _SIGN, -1.0, 1.0), n * dim).reshape(n, dim)
+        norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
+        x = x / np.where(norm > 0, norm, 1.0)
+        return pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * dim, x.ravel())
+
+    return df.withColumn(out, bag(F.transform(tx.words(text), hash_code)))
+
+
+_SIGN = 1 << 19
+
 
-    d = df.withColumn("__tok", F.coalesce(tx.words(text), F.array().cast("array<string>")))
-    d = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim).transform(d)
-    d = Normalizer(inputCol="__tf", outputCol="__n", p=2.0).transform(d)
-    return d.withColumn(out, vector_to_array("__n", "float32")).drop("__tok", "__tf", "__n")
+def hashed_embedding_sql(base_sql: str, text: str = "text", id_col: str = "id", dim: int = 64) -> str:
+    """DuckDB twin of :func:`hashed_embedding`: ``id, vec``."""
+    return (f"SELECT i.{id_col}, list(coalesce(x, 0) / CASE WHEN n > 0 THEN n ELSE 1 END ORDER BY i.p) AS vec FROM "
+            f"(SELECT {id_col}, unnest(range({dim})) AS p FROM {base_sql}) i LEFT JOIN "
+            f"(SELECT {id_col}, p, x, sqrt(sum(x * x) OVER (PARTITION BY {id_col})) AS n FROM ("
+            f"SELECT {id_col}, (v % {_SIGN}) % {dim} AS p, CAST(sum(CASE WHEN v >= {_SIGN} THEN -1 ELSE 1 END) AS DOUBLE) AS x FROM ("
+            f"SELECT {id_col}, CAST('0x' || substr(md5(w), 1, 5) AS INT) AS v FROM ("
+            f"SELECT {id_col}, unnest({tx.words_sql(text)}) AS w FROM {base_sql})) GROUP BY ALL)) s "
+            f"ON i.{id_col} = s.{id_col} AND i.p = s.p GROUP BY i.{id_col}")
 
 
 def embed(df: DataFrame, encoder: Callable[[list], np.ndarray] | None = None, text: str = "text",

@@ -187,11 +187,11 @@ _TEMPLATES = ["Rewrite in other words: {text}", "Write a similar sentence to: {t
 
 
 @job("prompt_table", f"SELECT id, CAST(t.i AS INT) AS template_no, replace(t.tpl, '{{text}}', text) AS prompt FROM "
-                     f"(SELECT * FROM {CS} WHERE label = 'toxic') c, (SELECT * FROM (VALUES (0, '{_TEMPLATES[0]}'), "
+                     f"{CS}, (SELECT * FROM (VALUES (0, '{_TEMPLATES[0]}'), "
                      f"(1, '{_TEMPLATES[1]}')) v(i, tpl)) t")
 def prompt_table(spark, sf):
-    """Prompt rows for an outside generator, for the rare class."""
-    c = corpus_from_tables(spark, sf).filter(F.col("label") == "toxic")
+    """Prompt rows for an outside generator, one per document and template."""
+    c = corpus_from_tables(spark, sf)
     return B.prompt_table(c, _TEMPLATES).select("id", F.col("template_no").cast("int"), "prompt")
 
 
@@ -324,6 +324,14 @@ def label_batches(spark, sf):
     return P.label_batches(e, 4, "gold", "id", SEED).select("id", F.col("gold").alias("label"), "batch")
 
 
+@job("mixed_batches", f"""SELECT id, label, CAST(floor((row_number() OVER (ORDER BY place, label) - 1) / 16) AS BIGINT) AS batch FROM (
+  SELECT id, gold AS label, (pos + 0.5) / n AS place FROM ({_EPOS}))""")
+def mixed_batches(spark, sf):
+    """Batches of 16 rows, labels interleaved by their place within their label."""
+    e = emb_corpus(spark, sf)
+    return P.mixed_batches(e, 16, "gold", "id", SEED).select("id", F.col("gold").alias("label"), "batch")
+
+
 def _trip_vecs(spark, sf):
     e = emb_corpus(spark, sf)
     t = P.triplets(e, 1, "gold", "id", SEED)

@@ -3,6 +3,8 @@ F1-F3, G1-G9)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from labelkiln.functions import text as tx
@@ -10,7 +12,8 @@ from labelkiln.operators import corpus as C
 from labelkiln.operators import rules as R
 from labelkiln.operators import update as U
 from labelkiln.plans.corpus_rules import document_rules
-from labelkiln.plans.registry import job
+from labelkiln.plans.registry import SQL, job
+from labelkiln.session import checkpoint_dir
 from labelkiln.sources.corpus import CORPUS_SQL, corpus_from_tables, read_table
 
 CS = f"({CORPUS_SQL}) c"
@@ -85,12 +88,27 @@ def has_keyword(spark, sf):
     return c.filter(tx.has_keyword("text", ["idiot", "moron", "released under"])).select("id")
 
 
-@job("extract_quantity", r"SELECT id, CAST(regexp_extract(text, '(?i)(\d+)\s?ml', 1) AS BIGINT) AS ml "
-                         f"FROM {CS} WHERE regexp_matches(text, '(?i)(\\d+)\\s?ml')")
+#: Product texts of the part table: even keys name a quantity, in several spellings, odd ones a number without a unit.
+_PART_SQL = ("SELECT p_partkey AS id, concat(p_name, CASE p_partkey % 4 WHEN 0 THEN concat(' ', p_size, ' ML, pack of 6') "
+             "WHEN 2 THEN concat(' ', p_size, 'ml') ELSE concat(' size ', p_size) END) AS text FROM part")
+
+
+def _parts(spark, sf):
+    p = read_table(spark, sf, "part")
+    k = F.col("p_partkey") % 4
+    tail = (F.when(k == 0, F.concat(F.lit(" "), F.col("p_size"), F.lit(" ML, pack of 6")))
+            .when(k == 2, F.concat(F.lit(" "), F.col("p_size"), F.lit("ml"))).otherwise(F.concat(F.lit(" size "), F.col("p_size"))))
+    return p.select(F.col("p_partkey").alias("id"), F.concat("p_name", tail).alias("text"))
+
+
+@job("extract_quantity", f"SELECT id, CAST(regexp_extract(text, '(?i)(\\d+)\\s?ml', 1) AS BIGINT) AS ml, "
+                         f"array_to_string(regexp_extract_all(text, '\\d+'), ',') AS numbers "
+                         f"FROM ({_PART_SQL}) p WHERE regexp_matches(text, '(?i)(\\d+)\\s?ml')")
 def extract_quantity(spark, sf):
-    """First captured quantity (rows without one are dropped)."""
-    c = corpus_from_tables(spark, sf)
-    return (c.select("id", tx.extract_quantity("text").alias("ml")).filter(F.col("ml").isNotNull()))
+    """First captured quantity of a product text and all its numbers (rows without a quantity are dropped)."""
+    return (_parts(spark, sf).select("id", tx.extract_quantity("text").alias("ml"),
+                                     F.array_join(tx.extract_all("text", r"\d+"), ",").alias("numbers"))
+            .filter(F.col("ml").isNotNull()))
 
 
 @job("value_counts", "SELECT lang, CAST(count(*) AS BIGINT) AS count FROM documents "
@@ -145,6 +163,15 @@ def audit(spark, sf):
     return C.audit(c, w, label="label", new_label="weak_label")
 
 
+@job("audit_observed", SQL["audit"])
+def audit_observed(spark, sf):
+    """D17 in flight: the audit numbers of the rule labelling run, counted while its result is written."""
+    c = corpus_from_tables(spark, sf, ("n_chars",)).withColumn("relevance_before", F.col("relevance"))
+    w = R.union_label(c, document_rules()).select("id", "label", "relevance", "relevance_before", "weak_label")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/audited-{uuid.uuid4().hex}"
+    return C.audited_write(w, path, "label", "weak_label", "relevance_before", "relevance")
+
+
 @job("apply_labels", f"""SELECT c.id, CASE WHEN c.label IS NULL AND a.weak_label IS NOT NULL THEN 1 ELSE c.relevance END
   AS relevance, coalesce(c.label, a.weak_label) AS label FROM {CS} LEFT JOIN
   (SELECT id, weak_label FROM ({_WEAK_SQL}) w WHERE label IS NULL AND weak_label IS NOT NULL) a ON c.id = a.id""")

@@ -105,13 +105,20 @@ def train_multilabel(spark, sf):
     return L.predict_multilabel(ms, d).select("id", F.array_join("labels_pred", ",").alias("labels"))
 
 
+def cascade_models(spark, sf, features):
+    """The relevance gate and the label specialist on documents with ``features``."""
+    lab = read_table(spark, sf, "labels")
+    arr = F.filter(F.array(F.when(F.col("toxic") == 1, "toxic"), F.when(F.col("quality") == 0, "low_quality")),
+                   lambda x: x.isNotNull())
+    d = cut_lineage(features.join(lab.select(F.col("doc_id").alias("id"), arr.alias("labels")), "id", "left"))
+    return L.train_relevance(d, "relevance"), L.train_multilabel(d, "labels", ["low_quality", "toxic"])
+
+
 @job("cascade")
 def cascade(spark, sf):
     """Relevance gate first, multi-label specialist only on rows the gate passes; every id once."""
-    d = _ml_features(spark, sf)
-    gate = L.train_relevance(d, "relevance")
-    ms = L.train_multilabel(d.filter(F.col("labels").isNotNull()), "labels", ["low_quality", "toxic"])
-    out = L.cascade(d, gate, ms)
+    d = _doc_features(spark, sf)
+    out = L.cascade(d, *cascade_models(spark, sf, d))
     return out.select("id", F.array_join("labels_pred", ",").alias("labels"))
 
 

@@ -70,16 +70,15 @@ def decode_labels(spark, sf):
     return U.attach_predictions(c.select("id", "label"), dec)
 
 
-_KB_SQL = (f"(SELECT DISTINCT lower(t) AS tok FROM (SELECT unnest({tx.words_sql('text')}) AS t FROM benchmark) "
-           f"WHERE length(t) >= 12)")
+_KB_SQL = f"(SELECT DISTINCT lower(t) AS tok FROM (SELECT unnest({tx.words_sql('text')}) AS t FROM benchmark))"
 
 
 @job("kb_votes", f"SELECT DISTINCT id FROM (SELECT id, unnest(list_distinct({tx.words_sql('text')})) AS tok FROM {CS}) x "
                  f"WHERE tok IN (SELECT tok FROM {_KB_SQL})")
 def kb_votes(spark, sf):
-    """Documents containing a term of a knowledge-base table (long benchmark terms)."""
+    """Documents containing a term of a knowledge-base table (all words of the benchmark)."""
     b = read_table(spark, sf, "benchmark")
-    kb = b.select(F.explode(tx.words("text")).alias("term")).filter(F.length("term") >= 12)
+    kb = b.select(F.explode(tx.words("text")).alias("term"))
     c = corpus_from_tables(spark, sf)
     return R.kb_hits(c, kb, "term", "text", "id")
 

@@ -15,7 +15,7 @@ from labelkiln.operators import ranking as RK
 from labelkiln.operators import vector as VO
 from labelkiln.operators import vector_index as VX
 from labelkiln.plans.registry import SQL, job
-from labelkiln.sources.corpus import read_table
+from labelkiln.sources.corpus import CORPUS_SQL, read_table
 
 SEED = 7
 T_ACCEPT = 0.2      # inclusive (Q1)
@@ -321,12 +321,42 @@ def _doc_vectors(spark, sf):
     return VO.embed(corpus_from_tables(spark, sf), text="text", out="vec", dim=64)
 
 
-@job("embed")
+@job("embed", f"""SELECT id, CAST(64 AS INT) AS dim, array_to_string(list_transform(vec, lambda x: CAST(round(x * 1000000) AS BIGINT)), ',') AS vec
+  FROM ({VO.hashed_embedding_sql(f"({CORPUS_SQL}) c")})""")
 def embed(spark, sf):
     """K1: text -> vector for the whole documents table (built-in hashed bag of words; a supplied
     encoder runs through the same call on Arrow batches)."""
     v = _doc_vectors(spark, sf)
-    return v.select("id", F.size("vec").alias("dim"), r6(V.norm("vec")).alias("norm"), "vec")
+    whole = F.transform("vec", lambda x: F.round(x * 1000000).cast("bigint").cast("string"))
+    return v.select("id", F.size("vec").alias("dim"), F.array_join(whole, ",").alias("vec"))
+
+
+@job("score_map", f"SELECT id, string_agg(label || '=' || CAST(CAST(round(score * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY label) AS scores "
+                  f"FROM ({RANKED_SQL}) r GROUP BY id")
+def score_map(spark, sf):
+    """K3: all scores of a row in one map, here written out in label order."""
+    e, pool, protos = _pool_and_protos(spark, sf)
+    m = VO.score_map(pool, protos)
+    each = F.transform(F.array_sort(F.map_entries("scores")), lambda x: F.concat(
+        x["key"], F.lit("="), F.round(x["value"] * 1000000).cast("bigint").cast("string")))
+    return m.select("id", F.array_join(each, ",").alias("scores"))
+
+
+_DAMAGED_SQL = ("SELECT e.vec_id AS id, d.text, CASE WHEN vec_id % 40 = 1 THEN NULL WHEN vec_id % 40 = 2 THEN list_slice(embedding, 1, 63) "
+                "WHEN vec_id % 40 = 3 THEN list_prepend('NaN'::FLOAT, list_slice(embedding, 2, 64)) ELSE embedding END AS vec "
+                "FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id")
+
+
+@job("bad_vectors", f"SELECT id, text, CASE WHEN vec IS NULL THEN 'null' WHEN len(vec) <> 64 THEN 'wrong_length' ELSE 'nan' END AS problem "
+                    f"FROM ({_DAMAGED_SQL}) v WHERE vec IS NULL OR len(vec) <> 64 OR list_bool_or(list_transform(vec, lambda x: isnan(x)))")
+def bad_vectors(spark, sf):
+    """The rows with unusable vectors and their texts; some vectors of the table are damaged first."""
+    e, d = read_table(spark, sf, "embeddings"), read_table(spark, sf, "documents")
+    k, v = F.col("vec_id") % 40, F.col("embedding")
+    vec = (F.when(k == 1, None).when(k == 2, F.slice(v, 1, 63))
+           .when(k == 3, F.concat(F.array(F.lit(float("nan")).cast("float")), F.slice(v, 2, 63))).otherwise(v))
+    rows = e.join(d, e["vec_id"] == d["doc_id"], "left").select(F.col("vec_id").alias("id"), "text", vec.alias("vec"))
+    return C.bad_vectors(rows, "vec", 64, "text").select("id", "text", "problem")
 
 
 @job("prototype_label_docs")

@@ -12,7 +12,7 @@ import os
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from labelkiln.operators import rules as R
@@ -43,16 +43,6 @@ def run_to_table(stream: DataFrame, name: str, out_dir: str | None = None, fmt:
     return os.path.join(base, "data"), q
 
 
-def stream_union_label(stream: DataFrame, lfs: Sequence[R.LF], **kw) -> DataFrame:
-    """J8 on a stream: the same projection as the batch operator."""
-    return R.union_label(stream, lfs, **kw)
-
-
-def stream_apply(stream: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Any row-wise operator (cleaning, scoring with fitted parameters, a fitted gate) on a stream."""
-    return fn(stream)
-
-
 def label_stream_to_table(spark: SparkSession, path: str, schema, lfs: Sequence[R.LF],
                           prepare: Callable[[DataFrame], DataFrame] | None = None, name: str = "union_label",
                           **kw) -> DataFrame:
@@ -60,5 +50,16 @@ def label_stream_to_table(spark: SparkSession, path: str, schema, lfs: Sequence[
     s = read_stream(spark, path, schema)
     if prepare is not None:
         s = prepare(s)
-    out, _ = run_to_table(stream_union_label(s, lfs, **kw), name)
+    out, _ = run_to_table(R.union_label(s, lfs, **kw), name)
     return spark.read.parquet(out)
+
+
+def audited_to_table(stream: DataFrame, name: str, metrics: Sequence[Column]) -> tuple[DataFrame, dict[str, int]]:
+    """Write a stream and count on the way: the table, and the metrics (counts) summed over its micro-batches."""
+    out, q = run_to_table(stream.observe(name, *metrics), name)
+    total: dict[str, int] = {}
+    for p in q.recentProgress:
+        row = p.observedMetrics.get(name)
+        for m, n in (row.asDict() if row is not None else {}).items():
+            total[m] = total.get(m, 0) + (n or 0)
+    return stream.sparkSession.read.parquet(out), total
