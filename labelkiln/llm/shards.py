@@ -1,20 +1,20 @@
 """Sharding by histogram sort: near-equal bytes per shard, one exchange of the rows.
 
-Rows are ordered by (64-bit hash of the text, id), so equal texts lie side by side and a group of
-copies of any size can still be split between its ids.  Splitters are found without moving a row: in
+Rows are ordered by (64-bit hash of the text, id, number of the row in the scan), so equal texts lie side by side and a
+group of copies of any size, equal rows too, can still be split.  ``docs`` is read twice and has to give its rows in
+the same partitions and order both times, as a scan of files does.  Splitters are found without moving a row: in
 each round the bytes and rows between candidate boundaries (probes) are counted exactly across all
 partitions, probes inside the intervals that still miss a target are refined between the smallest and
 largest key found there, and the round ends when every splitter is within tolerance or no key is left
-between its neighbours.  Keys are 128 bits and each round cuts an interval 16-fold between keys that
-occur, so at most 32 rounds are needed; a few are usual.
+between its neighbours.  Keys are 192 bits and each round cuts an interval 16-fold between keys that
+occur, so at most 48 rounds are needed; a few are usual.
 
 Besides the shard splitters the same rounds place finer ones (by bytes and rows alike), so that the
 single exchange deals every shard out over many tasks; exact counts of the pieces give each row its
 place in its shard without a window over a whole shard.
 
 Law ``bytes``: sizes near equal; the size of a row is the bytes of its text (null: none) plus 1.
-Defined results: null ids sort first; rows equal in id and text are equal keys and stay in one shard,
-in any order; the empty table gives the empty table.  Other columns go along unchanged.
+Defined results: null ids sort first; rows equal in id and text may be parted; the empty table gives the empty table.  Other columns go along unchanged.
 """
 
 from __future__ import annotations
@@ -29,33 +29,32 @@ from labelkiln.session import ship_package
 
 TOLERANCE = 0.0005
 _FANOUT = 16
-_TOP = (1 << 128) - 1
+_WIDTH = 24
+_TOP = (1 << 8 * _WIDTH) - 1
 
 
-def pack_keys(h: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """(hash, id) pairs of signed longs as 16-byte strings that sort alike."""
-    out = np.empty((len(h), 2), dtype=">u8")
+def pack_keys(*parts: np.ndarray) -> np.ndarray:
+    """(hash, id, row) of signed longs as 24-byte strings that sort alike."""
     flip = np.uint64(1 << 63)
-    out[:, 0] = np.asarray(h, dtype=np.int64).view(np.uint64) ^ flip
-    out[:, 1] = np.asarray(d, dtype=np.int64).view(np.uint64) ^ flip
-    return np.ascontiguousarray(out).view("S16").ravel()
+    out = np.stack([(np.asarray(p, dtype=np.int64).view(np.uint64) ^ flip).astype(">u8") for p in parts], axis=1)
+    return np.ascontiguousarray(out).view(f"S{_WIDTH}").ravel()
 
 
 def _bytes(key: int) -> bytes:
-    return key.to_bytes(16, "big")
+    return key.to_bytes(_WIDTH, "big")
 
 
 def count_between(keys: DataFrame, probes: list[int]) -> list[tuple]:
     """``(interval, bytes, rows, min key, max key)``; interval i holds keys with ``probe[i-1] < key <=
     probe[i]``.  One row per task and interval is exchanged; the driver gets one per interval."""
-    at = np.array([_bytes(p) for p in probes], dtype="S16")
+    at = np.array([_bytes(p) for p in probes], dtype=f"S{_WIDTH}")
 
     def count(batches):
         m = len(at) + 1
         size, rows = np.zeros(m, np.int64), np.zeros(m, np.int64)
         low, high = [None] * m, [None] * m
         for b in batches:
-            k = pack_keys(b["h"].to_numpy(), b["d"].to_numpy())
+            k = pack_keys(b["h"].to_numpy(), b["d"].to_numpy(), b["r"].to_numpy())
             order = np.argsort(k, kind="stable")
             k, s = k[order], b["size"].to_numpy()[order]
             i = np.searchsorted(at, k, side="left")
@@ -63,7 +62,7 @@ def count_between(keys: DataFrame, probes: list[int]) -> list[tuple]:
             rows += np.bincount(i, minlength=m)
             first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else []
             for a, z in zip(first, [*first[1:], len(i)], strict=True):
-                lo, hi, j = bytes(k[a]).ljust(16, b"\0"), bytes(k[z - 1]).ljust(16, b"\0"), int(i[a])
+                lo, hi, j = bytes(k[a]).ljust(_WIDTH, b"\0"), bytes(k[z - 1]).ljust(_WIDTH, b"\0"), int(i[a])
                 low[j] = lo if low[j] is None else min(low[j], lo)
                 high[j] = hi if high[j] is None else max(high[j], hi)
         hit = np.flatnonzero(rows)
@@ -127,26 +126,28 @@ def histogram_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", t
     keyed = docs.withColumns({
         "_lk_size": (F.octet_length(null_text(F.col(text_col))) + 1).cast("long"),
         "_lk_h": F.xxhash64(null_text(F.col(text_col))),
-        "_lk_d": F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST))})
-    keys = stored(keyed.select(F.col("_lk_h").alias("h"), F.col("_lk_d").alias("d"), F.col("_lk_size").alias("size")),
+        "_lk_d": F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)),
+        "_lk_r": F.monotonically_increasing_id()})
+    keys = stored(keyed.select(F.col("_lk_h").alias("h"), F.col("_lk_d").alias("d"), F.col("_lk_r").alias("r"),
+                               F.col("_lk_size").alias("size")),
                   "shard-keys")
     cuts, rows, shard_of = find_splitters(keys, shards, max(shards, 4 * partitions(spark)), tolerance)
     start, seen = [], {}
     for s, n in zip(shard_of, rows, strict=False):
         start.append(seen.get(s, 0))
         seen[s] = seen.get(s, 0) + n
-    at = np.array([_bytes(p) for p in cuts], dtype="S16")
+    at = np.array([_bytes(p) for p in cuts], dtype=f"S{_WIDTH}")
 
     @F.pandas_udf("int")
-    def piece(h: pd.Series, d: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(at, pack_keys(h.to_numpy(), d.to_numpy()), side="left"), dtype="int32")
+    def piece(h: pd.Series, d: pd.Series, r: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(at, pack_keys(h.to_numpy(), d.to_numpy(), r.to_numpy()), side="left"), dtype="int32")
 
-    placed = keyed.withColumn("_lk_piece", piece("_lk_h", "_lk_d"))
-    in_order = Window.partitionBy("_lk_piece").orderBy("_lk_h", "_lk_d")
+    placed = keyed.withColumn("_lk_piece", piece("_lk_h", "_lk_d", "_lk_r"))
+    in_order = Window.partitionBy("_lk_piece").orderBy("_lk_h", "_lk_d", "_lk_r")
     lookup = lambda xs, kind: F.get(F.array(*[F.lit(int(x)).cast(kind) for x in xs or [0]]), F.col("_lk_piece"))
     return (placed.withColumn("_lk_shard", lookup(shard_of, "int"))
             .withColumn("_lk_slot", lookup(start, "long") + F.row_number().over(in_order) - 1)
-            .drop("_lk_h", "_lk_d", "_lk_piece"))
+            .drop("_lk_h", "_lk_d", "_lk_r", "_lk_piece"))
 
 
 def shard_report(docs: DataFrame, shards: int = 8) -> DataFrame:
