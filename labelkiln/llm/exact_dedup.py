@@ -78,18 +78,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  chunk_hash: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     spark = docs.sparkSession
-    rec = stored(recipes(docs, id_col, text_col, chunk_hash), "recipes").withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id"), F.lit(partitions(spark))).cast("int"))
-    order = F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"))
+    # a number of its own for every row, kept with it: equal rows and rows without ids spread over the salts too
+    rec = stored(recipes(docs, id_col, text_col, chunk_hash).withColumn("row", F.monotonically_increasing_id()), "recipes")
+    rec = rec.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(partitions(spark))).cast("int"))
+    order = F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "row")
     cells = rec.groupBy("recipe", "ranks", "salt").agg(F.count("*").alias("rows"), F.min(order).alias("best"))
     groups = cells.groupBy("recipe", "ranks").agg(F.sum("rows").alias("group_size"), F.min("best").alias("first"))
     decided = cells.select("recipe", "ranks", "salt").join(groups, ["recipe", "ranks"])
-    same_id = Window.partitionBy("recipe", "ranks", "salt", "doc_id").orderBy(F.col("n").desc())
     return (rec.join(decided, ["recipe", "ranks", "salt"])
-            .withColumn("nth", F.row_number().over(same_id))
             .select("doc_id", F.col("first.id").alias("keep_id"), "group_size",
-                    (F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("nth") == 1)).alias("kept"),
-                    "text_sha256"))
+                    (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
