@@ -2,7 +2,7 @@
 
 Words are summed per source (a partial aggregate per task, so a source that holds a third of all rows
 is no bottleneck), targets and repetition rates are derived on the table of sources, and every document
-is emitted ``floor(rate)`` times plus once more if a hash of its id and the seed falls below the
+is emitted ``floor(rate)`` times plus once more if a hash of its id, its text and the seed falls below the
 fraction.  No exchange of documents by source is needed: the rates go to the rows.
 
 Targets: sources in code-point order (null last) weigh 5, 2, 1, repeating, and share ``share`` times
@@ -12,7 +12,7 @@ weight until none is above.  That level is found exactly from one pass over the
 
 Defined results: null text has 0 words and is emitted by the same rule; a source without words has
 target 0 and rate 0; the empty table gives the empty table.  Null ids draw as the text ``null``; rows
-that repeat an id draw alike.  The source table (one row per source name) is the only thing that is ever
+that repeat an id draw by their texts, and rows equal in both draw alike.  The source table (one row per source name) is the only thing that is ever
 in one task or sent to all.
 """
 
@@ -21,15 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import stored, word_count
+from labelkiln.llm.common import null_text, stored, word_count
 
 WEIGHTS, SHARE, LIMIT, SEED = (5, 2, 1), 1.5, 2.0, "mix-1"
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """Uniform in [0, 1) from 32 bits of an md5 of the id and the seed."""
-    text = F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(f":{seed}"))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """Uniform in [0, 1) from 32 bits of an md5 of the id, the md5 of the text and the seed."""
+    key = F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(null_text(text).cast("binary")),
+                   F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
@@ -64,7 +65,7 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sourc
         F.col("source").alias("_lk_source"), F.col("source_size").alias("_lk_source_size"),
         F.col("target").alias("_lk_target")), "rates")
     rate = F.when(F.col("_lk_source_size") > 0, F.col("_lk_target") / F.col("_lk_source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + F.when(draw(F.col(id_col), seed) < rate - F.floor(rate), F.lit(1)).otherwise(F.lit(0))
+    copies = F.floor(rate) + F.when(draw(F.col(id_col), F.col(text_col), seed) < rate - F.floor(rate), F.lit(1)).otherwise(F.lit(0))
     return (sized.join(rates, sized[source_col].eqNullSafe(rates["_lk_source"])).drop("_lk_source")
             .withColumn("_lk_copies", copies.cast("int")))
 
@@ -84,7 +85,7 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 MIX_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  SELECT doc_id, source, md5(coalesce(text, '')) AS h, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (
@@ -108,7 +109,7 @@ t AS (
 r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-    CAST(('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), 'null') || ':mix-1'), 1, 8)) AS BIGINT)
+    CAST(('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), 'null') || ':' || h || ':mix-1'), 1, 8)) AS BIGINT)
       / 4294967296.0 AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
