@@ -160,13 +160,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, learn, per_
     """Up to ``per_class`` toxic and twice as many ordinary labelled texts, in the order of a hash of the id: the bounded sample."""
     lab = labels.select(F.col(label_id).alias("_id"), F.col(target).cast("int").alias("y")).filter(
         F.col("_id").isNotNull() & F.col("y").isin(0, 1)).filter(learn(F.col("_id"))).withColumn("u", F.xxhash64("_id"))
+    # one row an id: repeated label rows count once, and an id labelled both ways counts as toxic
+    lab = lab.groupBy("_id", "u").agg(F.max("y").alias("y"))
     top = [lab.filter(F.col("y") == v).orderBy("u", "_id").limit(per_class * (2 - v)) for v in (0, 1)]
     ids = {r[0]: r[1] for r in top[0].unionByName(top[1]).select("_id", "y").collect()}
     if not ids:
         return pd.DataFrame({"_id": [], "text": [], "y": []})
     found = docs.select(F.col(id_col).alias("_id"), null_text(F.col(text_col)).alias("text"))
-    rows = found.filter(F.col("_id").isin(list(ids))).toPandas()
-    rows = rows.sort_values(["_id", "text"]).drop_duplicates("_id")
+    # of rows that repeat an id the smallest text, found before anything is fetched
+    rows = found.filter(F.col("_id").isin(list(ids))).groupBy("_id").agg(F.min("text").alias("text")).toPandas()
+    rows = rows.sort_values("_id")
     return rows.assign(y=rows["_id"].map(ids), u=np.random.RandomState(7).permutation(len(rows))).sort_values("u")
 
 
@@ -197,7 +200,8 @@ def fit_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
         x[fold == f] = [tried.features(t) for t in s["text"][fold == f]]
     w = logistic(x, y)
     # the sample is taken by class, so each class is weighed back to its share of the rows learned from
-    counts = labels.filter(F.col(label_id).isNotNull() & F.col(target).isin(0, 1)).filter(learn(F.col(label_id))).groupBy(F.col(target).cast("int")).count().collect()
+    counts = labels.filter(F.col(label_id).isNotNull() & F.col(target).isin(0, 1)).filter(learn(F.col(label_id))).groupBy(label_id).agg(
+        F.max(F.col(target).cast("int")).alias("y")).groupBy("y").count().collect()
     share = {r[0]: r[1] for r in counts}
     weigh = np.where(y == 1, share[1] / y.sum(), share[0] / (1 - y).sum())
     xs, ys = isotonic(np.c_[x, np.ones(len(x))] @ w, y, weigh / weigh.mean())
