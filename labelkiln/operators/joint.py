@@ -323,28 +323,25 @@ def fit_hierarchy(df: DataFrame, levels: Sequence[str], features: str = "feature
 
     Parents with fewer than two children or ``min_rows`` rows get no model.  The table of (parent, child) pairs comes to
     the driver: it is the label vocabulary."""
-    d = df.withColumns({f"__key{k}": path_key(levels[:k]) for k in range(len(levels))})
-    pairs = None
-    for k, level in enumerate(levels):
-        part = d.select(F.col(f"__key{k}").alias("key"), F.col(level).cast("string").alias("child"))
-        pairs = part if pairs is None else pairs.unionByName(part)
-    found = pairs.filter("key IS NOT NULL AND child IS NOT NULL").groupBy("key", "child").count().collect()
+    steps = F.filter(F.array(*[F.struct(path_key(levels[:k]).alias("key"), F.col(x).cast("string").alias("child"))
+                               for k, x in enumerate(levels)]), lambda s: s["key"].isNotNull() & s["child"].isNotNull())
+    rows = cut_lineage(df.select(features, *([weight] if weight else []), steps.alias("__steps")))
+    found = rows.select(F.explode("__steps").alias("s")).groupBy("s.key", "s.child").agg(F.count("*").alias("n")).collect()
     children: dict[str, dict[str, int]] = {}
     for r in found:
-        children.setdefault(r["key"], {})[r["child"]] = r["count"]
+        children.setdefault(r["key"], {})[r["child"]] = r["n"]
     keys = sorted(k for k, c in children.items() if len(c) >= 2 and sum(c.values()) >= min_rows)
     classes = [sorted(children[k]) for k in keys]
-    places = [(k, c, p, y) for p, k in enumerate(keys) for y, c in enumerate(classes[p])]
+    places = {(k, c): {"p": p, "y": y} for p, k in enumerate(keys) for y, c in enumerate(classes[p])}
     if not places:
         return JointModel([], [], [], [])
-    spark = df.sparkSession
-    table = spark.createDataFrame(places, "key string, child string, p int, y int")
-    for k, level in enumerate(levels):
-        at = table.select(F.col("key").alias(f"__key{k}"), F.col("child").alias(f"__child{k}"),
-                          F.struct("p", "y").alias(f"__m{k}"))
-        d = d.withColumn(f"__child{k}", F.col(level).cast("string")).join(at, [f"__key{k}", f"__child{k}"], "left")
-    members = F.filter(F.array(*[F.col(f"__m{k}") for k in range(len(levels))]), lambda m: m.isNotNull())
-    return fit_members(d.withColumn("__members", members), keys, classes, features, "__members", weight, **fit)
+
+    @F.arrow_udf("array<struct<p: int, y: int>>")
+    def members(steps: pa.Array) -> pa.Array:
+        at = [[places[x["key"], x["child"]] for x in row or [] if (x["key"], x["child"]) in places] for row in steps.to_pylist()]
+        return pa.array(at, pa.list_(pa.struct([("p", pa.int32()), ("y", pa.int32())])))
+
+    return fit_members(rows.withColumn("__members", members("__steps")), keys, classes, features, "__members", weight, **fit)
 
 
 def path_column(model: JointModel, features: str | Column, depth: int) -> Column:
