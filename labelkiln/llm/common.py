@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -60,6 +61,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, and the shuffle files behind the table go once it is written; ``discard`` takes it back."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        path = scratch(df.sparkSession, name)
+        schema = df.schema
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
+    out = df.sparkSession.read.schema(schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``settled`` after their last reader is itself written."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(df))
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def salted_join(left: DataFrame, key: list[str], right: DataFrame, spread: str, how: str = "inner") -> DataFrame:
     """``left`` joined with the one row of ``right`` per ``key``, whatever the share of a key in ``left``.
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import LOWEST, STRIPE_SCHEMA, partitions, salted_join, stored, striped, summed
+from labelkiln.llm.common import LOWEST, STRIPE_SCHEMA, discard, partitions, salted_join, settled, striped, summed
 from labelkiln.llm.sets import mix, similar, word_hashes
 from labelkiln.session import ship_package
 
@@ -203,7 +203,7 @@ def prefix_pairs(sets: DataFrame, percent: int, agree: float = 0.0, bits: int =
              .filter("lo <> hi").select("word", F.col("first.comp").alias("main")))
     live = salted_join(pre, ["word"], words, "cls").withColumn("step", step).withColumn(
         "side", F.when(F.col("comp") == F.col("main"), 0).otherwise(1)).drop("main")
-    live = stored(live, "live-prefixes")
+    live = settled(live, "live-prefixes")
     group = ["word", "side", "step"]
     tiles = live.groupBy(*group).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     other = tiles.select("word", F.col("side").alias("side2"), F.col("step").alias("step2"), F.col("tiles").alias("tiles2"))
@@ -236,7 +236,9 @@ def prefix_pairs(sets: DataFrame, percent: int, agree: float = 0.0, bits: int =
     if agree:
         pairs = pairs.select("a", "b", (F.col("n_x") + F.col("n_y")).alias("both"), F.col("sketch_x").alias("sketch_a"),
                              F.col("sketch_y").alias("sketch_b")).mapInPandas(close(agree, percent), "a binary, b binary")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    out = settled(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "prefix-pairs")
+    discard(live)
+    return out
 
 
 #: Bytes of a set's parity bitmap.
@@ -395,11 +397,13 @@ def sets_of(slim: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=[*CLS, "d", "t", "line", "set"])
 
     # written first, so that Spark knows its size and moves the texts only where this side is large
-    lines = stored(wanted.select("place.d", "place.t", F.struct("place.line", "cls.*").alias("x")).groupBy("d", "t").agg(
+    lines = settled(wanted.select("place.d", "place.t", F.struct("place.line", "cls.*").alias("x")).groupBy("d", "t").agg(
         F.collect_list("x").alias("lines")), "wanted-lines")
     found = slim.join(lines, ["d", "t"]).select("d", "t", "text", "lines")
-    return found.mapInPandas(sets, "k long, b1 long, b2 long, d long, t long, line int, set binary").dropDuplicates(CLS).select(
-        F.struct(*CLS).alias("cls"), F.struct("d", "t", "line").alias("place"), "set")
+    out = settled(found.mapInPandas(sets, "k long, b1 long, b2 long, d long, t long, line int, set binary").dropDuplicates(
+        CLS).select(F.struct(*CLS).alias("cls"), F.struct("d", "t", "line").alias("place"), "set"), "line-sets")
+    discard(lines)
+    return out
 
 
 def similar_earlier(slim: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -411,18 +415,24 @@ def similar_earlier(slim: DataFrame, classes: DataFrame, percent: int = PERCENT)
     pre = classes.select(*CLS, "size", "skip", "cold", "place", F.posexplode("prefix").alias("i", "word")).withColumn(
         "pos", F.col("skip") + F.col("i"))
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    hot = stored(_planned(pre.filter("i >= cold").select("word", step.alias("step"), *_ROW)), "hot-prefixes")
-    first = stored(cold_pairs(pre, percent).union(star_pairs(hot, percent)).distinct(), "first-pairs")
-    gone = stored(later_ones(slim, classes, first, percent), "gone-classes")
-    rest = stored(open_pairs(hot, gone, percent), "open-pairs")
-    return gone.union(later_ones(slim, classes, rest, percent)).distinct()
+    hot = settled(_planned(pre.filter("i >= cold").select("word", step.alias("step"), *_ROW)), "hot-prefixes")
+    first = settled(cold_pairs(pre, percent).union(star_pairs(hot, percent)).distinct(), "first-pairs")
+    gone = later_ones(slim, classes, first, percent)
+    discard(first)
+    rest = settled(open_pairs(hot, gone, percent), "open-pairs")
+    discard(hot)
+    more = later_ones(slim, classes, rest, percent)
+    discard(rest)
+    out = settled(gone.union(more).distinct(), "gone-classes")
+    discard(gone, more)
+    return out
 
 
 def later_ones(slim: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """``k, b1, b2`` of the later class of each of ``pairs`` whose full sets are similar."""
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     placed = classes.select(F.struct(*CLS).alias("cls"), "place").join(wanted, "cls", "left_semi")
-    sets = stored(sets_of(slim, placed), "line-sets")
+    sets = sets_of(slim, placed)
     of = lambda x: sets.select(F.col("cls").alias(x), F.col("set").alias(f"set_{x}"), F.col("place").alias(f"place_{x}"))
     met = salted_join(salted_join(pairs, ["a"], of("a"), "b"), ["b"], of("b"), "a")
 
@@ -434,8 +444,10 @@ def later_ones(slim: DataFrame, classes: DataFrame, pairs: DataFrame, percent: i
 
     later = F.when(F.col("place_a") < F.col("place_b"), F.col("b")).when(
         F.col("place_b") < F.col("place_a"), F.col("a"))
-    return met.withColumn("later", later).filter("later IS NOT NULL").select("set_a", "set_b", "later.*").mapInPandas(
-        check, "k long, b1 long, b2 long").distinct()
+    out = settled(met.withColumn("later", later).filter("later IS NOT NULL").select("set_a", "set_b", "later.*").mapInPandas(
+        check, "k long, b1 long, b2 long").distinct(), "later-classes")
+    discard(sets)
+    return out
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -444,19 +456,24 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ship_package(spark)
     slim = _slim(docs, id_col, text_col)
     place = F.struct("d", "t", "line")
-    lines = stored(line_rows(slim, rarity_levels(slim), percent), "lines")
-    classes = stored(lines.groupBy(*CLS).agg(F.min(place).alias("place"), *[
+    full = settled(line_rows(slim, rarity_levels(slim), percent), "full-lines")
+    classes = settled(full.groupBy(*CLS).agg(F.min(place).alias("place"), *[
         F.first(c).alias(c) for c in ("size", "skip", "cold", "prefix")]), "line-classes")
+    # from here on lines need their class only
+    lines = settled(full.select(*CLS, "d", "t", "line"), "lines")
+    discard(full)
     near = similar_earlier(slim, classes, percent)
     # all lines of a class with a similar earlier class go; of the others all but those in the first place
     verdict = classes.select(*CLS, "place").join(near.withColumn("gone", F.lit(True)), CLS, "left")
     marked = salted_join(lines.select(*CLS, "d", "t", "line"), CLS, verdict, "d")
-    return marked.filter(F.col("gone") | (place > F.col("place"))).select("d", "t", "line").distinct()
+    out = settled(marked.filter(F.col("gone") | (place > F.col("place"))).select("d", "t", "line").distinct(), "gone-lines")
+    discard(lines, classes, near)
+    return out
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed`` (line numbers) ``, text`` (cleaned) for each row of ``docs``."""
-    gone = stored(dropped_lines(docs, id_col, text_col, percent).groupBy("d", "t")
+    gone = settled(dropped_lines(docs, id_col, text_col, percent).groupBy("d", "t")
                   .agg(F.array_sort(F.collect_list("line")).alias("removed")), "removed-lines")
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     base = base.withColumn("d", F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))).withColumn("t", F.xxhash64("text"))

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import LOWEST, partitions, salted_join, stored
+from labelkiln.llm.common import LOWEST, discard, partitions, salted_join, settled
 from labelkiln.llm.line_dedup import agreeing, prefix_pairs
 from labelkiln.llm.sets import mix, shingle_set, similar, word_hashes
 from labelkiln.session import ship_package
@@ -162,21 +162,24 @@ def components(links: DataFrame) -> DataFrame:
     Each round every label moves to the smallest label beside it, and on to where that one moves; links are then
     drawn between the new labels and loops are dropped, so the graph shrinks until no link is left.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    comp = stored(edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct().select(
+    edges = settled(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    comp = settled(edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct().select(
         "node", F.col("node").alias("comp")), "comp")
     while not edges.isEmpty():
         low = (edges.select(F.col("u").alias("node"), F.col("v").alias("beside"))
                .union(edges.select("v", "u")).groupBy("node").agg(F.min("beside").alias("beside"))
                .select("node", F.least("node", "beside").alias("to")))
         on = low.select(F.col("node").alias("to"), F.col("to").alias("far"))
-        moves = stored(salted_join(low, ["to"], on, "node").select("node", F.col("far").alias("to")), "moves")
-        comp = stored(salted_join(comp, ["comp"], moves.select(F.col("node").alias("comp"), "to"), "node", "left").select(
+        moves = settled(salted_join(low, ["to"], on, "node").select("node", F.col("far").alias("to")), "moves")
+        moved = settled(salted_join(comp, ["comp"], moves.select(F.col("node").alias("comp"), "to"), "node", "left").select(
             "node", F.coalesce("to", "comp").alias("comp")), "comp")
         drawn = salted_join(edges, ["u"], moves.select(F.col("node").alias("u"), F.col("to").alias("x")), "v")
         drawn = salted_join(drawn, ["v"], moves.select(F.col("node").alias("v"), F.col("to").alias("y")), "u")
-        edges = stored(drawn.filter("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v"))
+        left = settled(drawn.filter("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v"))
                        .distinct(), "links")
+        discard(comp, edges, moves)
+        comp, edges = moved, left
+    discard(edges)
     return comp
 
 
@@ -184,13 +187,9 @@ def _cells(members: DataFrame, n: int) -> DataFrame:
     return members.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(n)).cast("int"))
 
 
-def near_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """Verified links ``a, b`` between nodes (word sequences) that connect every component."""
+def near_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """Verified links ``a, b`` between ``nodes`` (word sequences; given up here) that connect every component."""
     n = partitions(docs.sparkSession)
-    nodes = stored(sig.filter("n_shingles > 0").groupBy(F.col("seq").alias("node")).agg(
-        F.first("n_shingles").cast("int").alias("size"),
-        F.min(F.struct(F.coalesce("doc_id", F.lit(LOWEST)).alias("d"), "t")).alias("place"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
     # one exchange of the members, by (key, salt): the band is part of the key's hash
     member = _cells(nodes.select("node", "size", F.explode("bands").alias("key")), n).repartition("key", "salt")
     # each bucket has an order of its own, so a member meets as many representatives as it has buckets
@@ -198,26 +197,36 @@ def near_links(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str, widt
     cell = member.groupBy("key", "salt").agg(F.min(F.struct(nth, "node", "size")).alias("low"), F.count("*").alias("rows"))
     bucket = (cell.groupBy("key").agg(F.min("low").alias("low"), F.sum("rows").alias("rows"))
               .filter("rows > 1").select("key", F.col("low.node").alias("rep"), F.col("low.size").alias("rep_size")))
-    shared = stored(member.join(cell.select("key", "salt").join(bucket, "key"), ["key", "salt"])
-                    .select("key", "node", "size", "rep", "rep_size"), "buckets")
+    shared = settled(member.join(cell.select("key", "salt").join(bucket, "key"), ["key", "salt"])
+                     .select("key", "node", "size", "rep", "rep_size"), "buckets")
+    slim = settled(nodes.drop("bands"), "slim-nodes")
+    discard(nodes)
+    nodes = slim
     fits = F.least("size", "rep_size") * 100 >= F.greatest("size", "rep_size") * percent
-    stars = shared.filter("node <> rep").filter(fits).select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = stored(_agreeing(stars, nodes), "stars")
+    meets = shared.filter("node <> rep").filter(fits).select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = settled(_agreeing(meets, nodes), "stars")
     first = _confirmed(stars, docs, nodes, id_col, text_col, width, percent, "first-links")
+    discard(stars)
     comps = components(first)
+    discard(first)
     rest = _across(docs, shared, nodes, comps, id_col, text_col, width, percent)
-    return comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).filter("a <> b").union(rest)
+    links = settled(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).filter("a <> b").union(rest), "all-links")
+    discard(nodes, comps, rest)
+    return links
 
 
 def _sets_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """Sets are computed anew from the texts where they are needed, not carried along for every document."""
-    return stored(shingle_sets(docs, nodes.join(wanted, "node", "left_semi").select("node", "place.*"), id_col, text_col,
+    return settled(shingle_sets(docs, nodes.join(wanted, "node", "left_semi").select("node", "place.*"), id_col, text_col,
                                width), "sets")
 
 
 def _confirmed(pairs, docs, nodes, id_col, text_col, width, percent, name) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    return stored(verified(pairs, _sets_of(wanted, docs, nodes, id_col, text_col, width), percent), name)
+    sets = _sets_of(wanted, docs, nodes, id_col, text_col, width)
+    links = settled(verified(pairs, sets, percent), name)
+    discard(sets)
+    return links
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -229,7 +238,7 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _across(docs, shared: DataFrame, nodes: DataFrame, comps: DataFrame, id_col, text_col, width, percent) -> DataFrame:
-    """Links between members of buckets whose members are in several components.
+    """Links between members of buckets (``shared``; given up here) whose members are in several components.
 
     Documents that merely have a line or passage in common also meet in buckets, in any number, so pairs of a
     bucket are not emitted.  The members are joined exactly on the rare end of their full sets (prefix, length and
@@ -240,21 +249,31 @@ def _across(docs, shared: DataFrame, nodes: DataFrame, comps: DataFrame, id_col,
         "comp", F.coalesce("comp", "node")), n)
     cell = labelled.groupBy("key", "salt").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     mixed = cell.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("key")
-    left = stored(labelled.join(cell.select("key", "salt").join(mixed, "key"), ["key", "salt"])
+    left = settled(labelled.join(cell.select("key", "salt").join(mixed, "key"), ["key", "salt"])
                   .groupBy("node").agg(F.first("comp").alias("comp")), "mixed-members")
+    discard(shared)
     sets = _sets_of(left.select("node"), docs, nodes, id_col, text_col, width)
     full = sets.join(left, "node").join(nodes.select("node", "sketch"), "node").withColumnRenamed("node", "cls")
-    pairs = stored(prefix_pairs(full, percent, agree=AGREE), "pairs-across")
-    return stored(verified(pairs, sets, percent), "second-links")
+    pairs = prefix_pairs(full, percent, agree=AGREE)
+    links = settled(verified(pairs, sets, percent), "second-links")
+    discard(left, sets, pairs)
+    return links
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """``doc_id, t, n_shingles, first`` for each row: ``first`` (``no_id, id, t``) is the first row of its component."""
     ship_package(docs.sparkSession)
-    sig = stored(signatures(docs, id_col, text_col, width), "signatures")
-    comps = components(near_links(docs, sig, id_col, text_col, width, percent))
+    sig = settled(signatures(docs, id_col, text_col, width), "signatures")
+    nodes = settled(sig.filter("n_shingles > 0").groupBy(F.col("seq").alias("node")).agg(
+        F.first("n_shingles").cast("int").alias("size"),
+        F.min(F.struct(F.coalesce("doc_id", F.lit(LOWEST)).alias("d"), "t")).alias("place"),
+        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
+    rows = settled(sig.select("doc_id", "t", "n_shingles", F.col("seq").alias("node")), "rows")
+    discard(sig)
+    links = near_links(docs, nodes, id_col, text_col, width, percent)
+    comps = components(links)
+    discard(links)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "t")
-    rows = sig.select("doc_id", "t", "n_shingles", F.col("seq").alias("node"))
     full = rows.filter("n_shingles > 0")
     by_node = full.groupBy("node").agg(F.min(place).alias("low"))
     named = by_node.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -277,7 +296,7 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with all its columns and one row of each group: the one of the smallest id (rows without an id come
     last) and then of the smallest text hash.  Rows without words stay."""
     key = _row_key("doc_id", text_col)[0]
-    rows = stored(_decided(docs, id_col, text_col, width, percent).filter("n_shingles > 0").select(
+    rows = settled(_decided(docs, id_col, text_col, width, percent).filter("n_shingles > 0").select(
         key, "t", (F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("t") == F.col("first.t"))).alias("stays")), "decided")
     gone = rows.filter("NOT stays").select(F.struct("d", "t").alias("_lk_row")).distinct()
     # equal rows have one key: of those that stay, one does
