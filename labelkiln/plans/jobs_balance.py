@@ -160,21 +160,27 @@ def eda_insert(spark, sf):
     return B.eda_insert(c.select("id", "text"), _synonyms(spark, sf), seed=SEED).select("id", "augmented")
 
 
-@job("augment_to_target", f"""SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(count_if(variant_no > 0) AS BIGINT) AS generated FROM (
-  SELECT id, 0 AS variant_no, label FROM {LAB}
+_AUGMENTED_SQL = f"""SELECT id, 0 AS variant_no, label, text FROM {LAB}
   UNION ALL
-  SELECT id, variant_no, label FROM (
-    SELECT g.*, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR) || ':' || CAST(variant_no AS VARCHAR) || ':{SEED}')) - 1 AS p
-    FROM (SELECT lab.id, lab.label, d.deficit, unnest(generate_series(1, d.variants)) AS variant_no FROM {LAB}
-          JOIN (SELECT label, greatest(100 - count(*), 0) AS deficit, CAST(ceil(greatest(100 - count(*), 0) / count(*)) AS BIGINT) AS variants
-                FROM {LAB} GROUP BY label) d ON lab.label = d.label WHERE d.deficit > 0) g) WHERE p < deficit)
-  GROUP BY label""")
+  SELECT id, CAST(variant_no AS INT) AS variant_no, label, array_to_string(CASE
+    WHEN variant_no % 2 = 1 THEN CASE WHEN len(d) > 0 THEN d ELSE w[1:1] END
+    WHEN len(w) < 2 THEN w
+    ELSE list_transform(w, lambda x, i: CASE WHEN i - 1 = i1 THEN w[i2 + 1] WHEN i - 1 = i2 THEN w[i1 + 1] ELSE x END) END, ' ') AS text
+  FROM (SELECT *, list_filter(w, lambda x, i: {_hu('k', 'i - 1')} >= 0.1) AS d,
+          CAST(floor({_hu('k', "'s1'")} * len(w)) AS INT) AS i1, CAST(floor({_hu('k', "'s2'")} * len(w)) AS INT) AS i2
+        FROM (SELECT *, {_WORDS_SQL} AS w, CAST(id AS VARCHAR) || ':' || CAST(variant_no AS VARCHAR) AS k FROM (
+          SELECT g.*, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR) || ':' || CAST(variant_no AS VARCHAR) || ':{SEED}')) - 1 AS p
+          FROM (SELECT lab.id, lab.label, lab.text, d.deficit, unnest(generate_series(1, d.variants)) AS variant_no FROM {LAB}
+                JOIN (SELECT label, greatest(100 - count(*), 0) AS deficit, CAST(ceil(greatest(100 - count(*), 0) / count(*)) AS BIGINT) AS variants
+                      FROM {LAB} GROUP BY label) d ON lab.label = d.label WHERE d.deficit > 0) g) WHERE p < deficit))"""
+
+
+@job("augment_to_target", _AUGMENTED_SQL)
 def augment_to_target(spark, sf):
-    """M6: fill every class up to 100 rows with EDA variants; counts per class afterwards."""
+    """M6: fill every class up to 100 rows with EDA variants (deletions and swaps): originals and generated texts."""
     c = corpus_from_tables(spark, sf).select("id", "text", "label")
     a = B.augment_to_target(c, "label", 100, seed=SEED)
-    return a.groupBy("label").agg(F.count("*").cast("bigint").alias("n"),
-                                  F.count_if(F.col("variant_no") > 0).cast("bigint").alias("generated"))
+    return a.select("id", F.col("variant_no").cast("int").alias("variant_no"), "label", "text")
 
 
 @job("review_sample", f"SELECT id FROM {CS} ORDER BY {RK.hash_order_sql('id', SEED)} LIMIT 25")

@@ -72,12 +72,13 @@ def ignored_count(spark, sf):
 
 
 @job("words", f"SELECT id, CAST(len(toks) AS BIGINT) AS n_tokens, CAST(len(list_distinct(toks)) AS BIGINT) "
-              f"AS n_distinct FROM (SELECT id, {tx.words_sql('text')} AS toks FROM {CS})")
+              f"AS n_distinct, array_to_string(toks, ' ') AS tokens FROM (SELECT id, {tx.words_sql('text')} AS toks FROM {CS})")
 def words(spark, sf):
-    """Tokens per document (count and distinct count)."""
+    """Tokens per document, their count and distinct count."""
     t = corpus_from_tables(spark, sf).select("id", tx.words("text").alias("toks"))
     return t.select("id", F.size("toks").cast("bigint").alias("n_tokens"),
-                    F.size(F.array_distinct("toks")).cast("bigint").alias("n_distinct"))
+                    F.size(F.array_distinct("toks")).cast("bigint").alias("n_distinct"),
+                    F.array_join("toks", " ").alias("tokens"))
 
 
 @job("has_keyword", f"SELECT id FROM {CS} WHERE regexp_matches(text, "

@@ -126,13 +126,12 @@ def preview(spark, sf):
     return RK.preview(corpus_from_tables(spark, sf).select("id", "label"), 5)
 
 
-@job("all_text", f"SELECT id, CAST(length(text) AS BIGINT) AS n FROM {CS} WHERE label IS NOT NULL UNION ALL "
-                 f"SELECT id, CAST(length(text) AS BIGINT) AS n FROM {CS} WHERE label IS NULL")
+@job("all_text", f"SELECT id, text FROM {CS} WHERE label IS NOT NULL UNION ALL SELECT id, text FROM {CS} WHERE label IS NULL")
 def all_text(spark, sf):
     """text of labelled and pool rows together (what a vocabulary is fitted on)."""
     c = corpus_from_tables(spark, sf)
     t = U.all_text(C.labelled(c), C.unlabelled(c))
-    return t.select("id", F.length("text").cast("bigint").alias("n"))
+    return t.select("id", "text")
 
 
 @job("percent_text", f"SELECT id, printf('%.2f%%', round(CAST(round(score, 6) * 100 AS DECIMAL(20, 8)), 2)) AS confidence FROM ({NEAREST_SQL}) n")

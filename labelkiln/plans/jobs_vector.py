@@ -267,7 +267,8 @@ def best_class(spark, sf):
   round(list_sort(probs, 'DESC')[1] - list_sort(probs, 'DESC')[2], 6) AS margin,
   round(-list_sum(list_transform(probs, lambda x: CASE WHEN x > 0 THEN x * ln(x) ELSE 0 END)), 6) AS entropy,
   round(list_sum(list_transform(probs, lambda x: x * sqrt(list_sum(list_transform(probs, lambda y: y * y)) - 2 * x + 1))), 6) AS egl,
-  round(list_avg(list_transform(probs, lambda x: 1 - 2 * abs(x - 0.5))), 6) AS ml_uncertainty
+  round(list_avg(list_transform(probs, lambda x: 1 - 2 * abs(x - 0.5))), 6) AS ml_uncertainty,
+  round(list_max(list_transform(probs, lambda x: 1 - 2 * abs(x - 0.5))), 6) AS ml_most
   FROM ({PROBS_SQL}) p""")
 def uncertainty(spark, sf):
     """H5-H9: least confidence, margin, entropy, expected gradient length, multi-label uncertainty."""
@@ -275,7 +276,8 @@ def uncertainty(spark, sf):
     return probs.select("id", r6(V.least_confidence("probs")).alias("least_confidence"),
                         r6(V.margin("probs")).alias("margin"), r6(V.entropy("probs")).alias("entropy"),
                         r6(V.egl("probs", F.lit(1.0))).alias("egl"),
-                        r6(V.multilabel_uncertainty("probs")).alias("ml_uncertainty"))
+                        r6(V.multilabel_uncertainty("probs")).alias("ml_uncertainty"),
+                        r6(V.multilabel_uncertainty("probs", "max")).alias("ml_most"))
 
 
 @job("query_batch", f"SELECT id, round(1 - list_max(probs), 6) AS uncertainty FROM ({PROBS_SQL}) p "
@@ -307,12 +309,12 @@ def route(spark, sf):
     return RK.route(s, 0.3, 20)
 
 
-@job("softmax_sigmoid", f"""SELECT id, round(list_sum(probs), 6) AS prob_sum,
+@job("softmax_sigmoid", f"""SELECT id, array_to_string(list_transform(probs, lambda x: CAST(round(x * 1000000) AS BIGINT)), ',') AS probs,
   round(1 / (1 + exp(-list_max(probs))), 6) AS sigmoid_max FROM ({PROBS_SQL}) p""")
 def softmax_sigmoid(spark, sf):
-    """H3, H4: softmax sums to one; sigmoid of the top probability."""
+    """H3, H4: the softmax of the scores; sigmoid of the top probability."""
     probs, _ = _probs(spark, sf)
-    return probs.select("id", r6(F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)).alias("prob_sum"),
+    return probs.select("id", F.array_join(F.transform("probs", lambda x: F.round(x * 1000000).cast("bigint").cast("string")), ",").alias("probs"),
                         r6(V.sigmoid(F.array_max("probs"))).alias("sigmoid_max"))
 
 
