@@ -11,11 +11,12 @@ Nothing but fitted parameters and per-round counts comes back to the driver.
 from __future__ import annotations
 
 import random
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import array_to_vector
@@ -31,7 +32,7 @@ from labelkiln.operators.classifier import Classifier, LogisticClassifier, Model
 from labelkiln.operators.ranking import hash_order, query_batch, top_fraction
 from labelkiln.operators.tokens import HEAD, looked_up
 from labelkiln.operators.update import apply_labels
-from labelkiln.session import cut_lineage
+from labelkiln.session import checkpoint_dir, cut_lineage
 
 JAVA_TOKEN_PATTERN = r"[\p{L}\p{N}\p{M}_]{2,}"
 
@@ -125,8 +126,13 @@ def train_svm(df: DataFrame, label: str = "relevance", features: str = "features
     from labelkiln.operators.balance import class_weights, with_weights
     d = df.withColumn("__lab", F.col(label).cast("string"))
     d = with_weights(d, class_weights(d, "__lab"), "__lab", "__w").withColumn("__y", F.col(label).cast("double"))
-    return LinearSVC(featuresCol=features, labelCol="__y", weightCol="__w", regParam=reg,
-                     predictionCol="svm_pred", rawPredictionCol="svm_raw").fit(d)
+    fitted = LinearSVC(featuresCol=features, labelCol="__y", weightCol="__w", regParam=reg,
+                       predictionCol="svm_pred", rawPredictionCol="svm_raw").fit(d)
+    # a fitted model holds its training summary and with it the session, which tasks cannot take once the session has
+    # observed a metric; a stored and loaded model has its parameters only
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/svm-{uuid.uuid4().hex}"
+    fitted.write().save(path)
+    return LinearSVCModel.load(path)
 
 
 def fewshot_label(df: DataFrame, vec: str = "vec", label: str = "label", threshold: float = 0.6,
