@@ -35,12 +35,13 @@ def clean_text(col: str | Column, mode: str = "ascii") -> Column:
     """G1: NULL -> '', drop characters outside letters/digits/whitespace, squeeze whitespace to one
     space, trim, lower.  ``mode='ascii'`` keeps only a-z, A-Z, 0-9 (as the reference does, Q10);
     ``mode='unicode'`` keeps every letter and number."""
-    keep = "a-zA-Z0-9" if mode == "ascii" else r"\p{L}\p{N}"
-    ws = WS_CLASS[1:-1]
+    # classes of few members are looked up fastest, so ASCII whitespace (``\s``) is one and the rest of WS_CLASS another;
+    # what is left of the first step is kept characters and whitespace only, so its words are the runs of kept ones
+    keep = r"\p{Alnum}" if mode == "ascii" else r"\p{L}\p{N}"
     s = F.coalesce(_c(col).cast("string"), F.lit(""))
-    s = F.regexp_replace(s, f"[^{keep}{ws}]", "")
-    s = F.regexp_replace(s, f"{WS_CLASS}+", " ")
-    return F.lower(F.trim(s))
+    s = F.array_join(F.regexp_extract_all(s, F.lit(f"[{keep}\\s]++|{WS_CLASS}++"), F.lit(0)), "")
+    s = F.array_join(F.regexp_extract_all(s, F.lit(f"[{keep}]++"), F.lit(0)), " ")
+    return F.lower(s)
 
 
 def clean_text_sql(expr: str, mode: str = "ascii") -> str:
@@ -53,7 +54,16 @@ def clean_text_sql(expr: str, mode: str = "ascii") -> str:
 
 def word_count(col: str | Column) -> Column:
     """Words of an already cleaned text; the empty text has 0 words (plain split gives 1)."""
-    return F.size(F.filter(F.split(_c(col), " "), lambda x: x != ""))
+    return F.size(F.regexp_extract_all(_c(col), F.lit("[^ ]+"), F.lit(0)))
+
+
+def has_words(col: str | Column, n: int, mode: str = "ascii") -> Column:
+    """Whether the cleaned text has ``n`` words or more, read off the text itself: ``n`` kept characters with whitespace
+    between each two.  Stops at the n-th word."""
+    keep = "a-zA-Z0-9" if mode == "ascii" else r"\p{L}\p{N}"
+    ws = WS_CLASS[1:-1]
+    s = F.coalesce(_c(col).cast("string"), F.lit(""))
+    return s.rlike(f"[{keep}](?:[^{ws}]*+[{ws}][^{keep}]*+[{keep}]){{{n - 1}}}")
 
 
 def word_count_sql(expr: str) -> str:
