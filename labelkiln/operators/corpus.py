@@ -50,9 +50,12 @@ def accept_by_class(df: DataFrame, thresholds: DataFrame | Mapping[str, float],
 def min_words(df: DataFrame, n: int = 3, text: str = "text", mode: str = "ascii",
               cleaned: str = "text_cleaned", count_col: str = "word_count") -> DataFrame:
     """B5 (+G1, G2): clean the text, count words, keep rows with at least ``n`` words."""
-    out = df.withColumn(cleaned, tx.clean_text(text, mode))
+    # a filter on the count would clean every text a second time, as it runs before the columns are made
+    few = 1 <= n <= 64
+    out = df.filter(tx.has_words(text, n, mode)) if few else df
+    out = out.withColumn(cleaned, tx.clean_text(text, mode))
     out = out.withColumn(count_col, tx.word_count(cleaned))
-    return out.filter(F.col(count_col) >= n)
+    return out if few else out.filter(F.col(count_col) >= n)
 
 
 def ignored_count(df: DataFrame, n: int = 3, text: str = "text", mode: str = "ascii") -> DataFrame:
