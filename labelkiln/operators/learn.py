@@ -24,6 +24,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from labelkiln.functions import text as tx
 from labelkiln.functions import vector as V
@@ -63,14 +64,17 @@ def tfidf_relational(df: DataFrame, text: str = "text", id_col: str = "id", max_
     """L1 (relational, SQL-checkable): ``(id, term, weight)`` with the usual smooth IDF
     ``ln((1 + n) / (1 + df)) + 1`` and L2-normalized rows; the vocabulary is the ``max_features``
     terms with the highest corpus count (ties by term)."""
-    toks = df.select(id_col, F.explode(tx.words(text)).alias("term"))
+    # the texts are dealt by id once; counts, the vocabulary's document counts and the lengths of the rows need no other
+    # shuffle than one line a term and task
+    toks = df.select(id_col, text).repartition(F.col(id_col)).select(id_col, F.explode(tx.words(text)).alias("term"))
     tf = toks.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
     n = df.agg(F.count("*")).scalar()
     stats = tf.groupBy("term").agg(F.sum("tf").alias("cf"), F.count("*").alias("df"))
-    voc = stats.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)  # the vocabulary cap
-    w = tf.join(voc, "term").withColumn("w", F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1))
-    nrm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__n"))
-    return w.join(nrm, id_col).select(id_col, "term", (F.col("w") / F.col("__n")).alias("weight"))
+    voc = cut_lineage(stats.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features))  # the vocabulary cap
+    w = tf.filter(F.col(id_col).isNotNull()).join(F.broadcast(voc), "term").withColumn(
+        "w", F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term", (F.col("w") / length).alias("weight"))
 
 
 def vectors_as_features(df: DataFrame, vec: str = "vec", out: str = "features") -> DataFrame:
