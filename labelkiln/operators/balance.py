@@ -31,7 +31,8 @@ def class_weights(df: DataFrame, label: str = "label", manual: Mapping[str, floa
 
 def with_weights(df: DataFrame, weights: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Attach class weights to rows (the weight table is bounded by the vocabulary: broadcast)."""
-    return df.join(weights.select(label, F.col("weight").alias(out)), label, "left")
+    # a join by class would send all rows of a class to one task
+    return df.join(F.broadcast(weights.select(label, F.col("weight").alias(out))), label, "left")
 
 
 def pos_weights(df: DataFrame, labels: str = "labels") -> DataFrame:
