@@ -7,12 +7,19 @@ most whatever the corpus and goes to all tasks; only the rest, of which no token
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.session import cut_lineage
+from labelkiln.session import cut_lineage, ship_package
 
 HEAD = 1024
+#: Tokens that are counted at a time (a row's own tokens are counted together).
+COUNT_TOKENS = 1 << 20
 
 
 def frequent(tokens: DataFrame, token: str = "token", head: int = HEAD) -> DataFrame:
@@ -27,3 +34,27 @@ def looked_up(rows: DataFrame, table: DataFrame, token: str, head: DataFrame) ->
     near = rows.join(F.broadcast(known), token, "left")  # as many rows as the head has
     rest = near.filter("__head IS NULL").select(*rows.columns).join(table.join(head, token, "left_anti"), token, "left")
     return near.filter("__head").drop("__head").unionByName(rest)
+
+
+def term_counts(rows: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """``token, cf, df``: how often a token occurs in the token lists, and in how many of them.  One pass: batches are counted
+    in the tasks, and one line a token and batch is added up by Spark."""
+    ship_package(rows.sparkSession)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            n = pc.fill_null(pc.list_value_length(rb.column(0)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat, ends, at = rb.column(0).flatten(), np.cumsum(n), 0
+            while at < len(n):
+                first = int(ends[at] - n[at])
+                upto = max(at + 1, int(np.searchsorted(ends, first + COUNT_TOKENS, side="right")))
+                part = flat.slice(first, int(ends[upto - 1]) - first).dictionary_encode()
+                terms, code = part.dictionary, part.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                held = np.unique(np.repeat(np.arange(upto - at), n[at:upto]) * len(terms) + code) if len(code) else code
+                yield pa.RecordBatch.from_arrays(
+                    [terms.cast(pa.string()), pa.array(np.bincount(code, minlength=len(terms)), pa.int64()),
+                     pa.array(np.bincount(held % max(1, len(terms)), minlength=len(terms)), pa.int64())], ["token", "cf", "df"])
+                at = upto
+
+    parts = rows.select(tokens).mapInArrow(counted, "token string, cf long, df long")
+    return parts.groupBy("token").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
