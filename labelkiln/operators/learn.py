@@ -10,7 +10,6 @@ Nothing but fitted parameters and per-round counts comes back to the driver.
 
 from __future__ import annotations
 
-import math
 import random
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -19,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
@@ -32,7 +31,7 @@ from labelkiln.functions import vector as V
 from labelkiln.operators import joint
 from labelkiln.operators.classifier import Classifier, LogisticClassifier, Model, as_model, scored
 from labelkiln.operators.ranking import hash_order, query_batch, top_fraction
-from labelkiln.operators.tokens import HEAD, looked_up, term_counts
+from labelkiln.operators.tokens import HEAD, looked_up
 from labelkiln.operators.update import apply_labels
 from labelkiln.session import checkpoint_dir, cut_lineage
 
@@ -42,24 +41,40 @@ JAVA_TOKEN_PATTERN = r"[\p{L}\p{N}\p{M}_]{2,}"
 # --------------------------------------------------------------------------------------- features
 
 
+def _counts(text: str, max_features: int | None, min_df: float) -> Pipeline:
+    return Pipeline(stages=[
+        RegexTokenizer(inputCol=text, outputCol="__tok", pattern=JAVA_TOKEN_PATTERN, gaps=False, toLowercase=True),
+        CountVectorizer(inputCol="__tok", outputCol="__tf", vocabSize=max_features or (1 << 31) - 1, minDF=min_df)])
+
+
+def _weighted(counted: PipelineModel, rows: DataFrame, out: str) -> PipelineModel:
+    """The pipeline of the term counts with the weights that ``rows`` (with counts) give."""
+    idf = IDF(inputCol="__tf", outputCol="__idf").fit(rows).idf
+    # smooth IDF: ln((1 + n) / (1 + df)) + 1, so a term of every document still counts
+    smooth = ElementwiseProduct(scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="__tf", outputCol="__idf")
+    return PipelineModel(stages=[*counted.stages, smooth, Normalizer(inputCol="__idf", outputCol=out, p=2.0)])
+
+
 def tfidf_features(df: DataFrame, text: str = "text", max_features: int | None = 1000,
                    out: str = "features", min_df: float = 1.0) -> PipelineModel:
     """L1: tokenizer (lower case, runs of 2+ word characters) -> term counts (``max_features``: the most
     frequent terms; None: all) -> smooth IDF -> L2 normalization.  Returns the fitted pipeline."""
-    tokens = RegexTokenizer(inputCol=text, outputCol="__tok", pattern=JAVA_TOKEN_PATTERN, gaps=False, toLowercase=True)
     d = df.select(text).na.fill({text: ""})
-    n = d.count()
-    # one pass over the texts gives the vocabulary and its document counts
-    terms = term_counts(d.select(tx.words(text).alias("__tok")), "__tok").filter(F.col("df") >= (min_df if min_df >= 1 else min_df * n))
-    terms = terms.orderBy(F.col("cf").desc(), F.col("token"))  # equal counts: the smaller term
-    voc = (terms.limit(max_features) if max_features else terms).collect()
-    if not voc:
-        raise ValueError("no terms: min_df is too high or there are no texts")
-    counts = CountVectorizerModel.from_vocabulary([r.token for r in voc], "__tok", "__tf")
-    # smooth IDF: ln((1 + n) / (1 + df)) + 1, so a term of every document still counts
-    weights = Vectors.dense([math.log((n + 1.0) / (r.df + 1.0)) + 1.0 for r in voc])
-    smooth = ElementwiseProduct(scalingVec=weights, inputCol="__tf", outputCol="__idf")
-    return PipelineModel(stages=[tokens, counts, smooth, Normalizer(inputCol="__idf", outputCol=out, p=2.0)])
+    counted = _counts(text, max_features, min_df).fit(d)
+    return _weighted(counted, counted.transform(d), out)
+
+
+def tfidf_rows(df: DataFrame, text: str = "text", max_features: int | None = 1000, out: str = "features",
+               min_df: float = 1.0) -> tuple[PipelineModel, DataFrame]:
+    """:func:`tfidf_features` and the features of the rows it is fitted on, stored without their texts.  The term counts are
+    stored on the way, so the texts are cut into tokens twice: for the vocabulary and for the counts."""
+    d = df.na.fill({text: ""})
+    counted = _counts(text, max_features, min_df).fit(d.select(text))
+    rows = cut_lineage(counted.transform(d).drop(text, "__tok"))
+    model = _weighted(counted, rows, out)
+    for stage in model.stages[-2:]:
+        rows = stage.transform(rows)
+    return model, cut_lineage(rows.drop("__tf", "__idf"))
 
 
 def featurize(model: PipelineModel, df: DataFrame, text: str = "text") -> DataFrame:

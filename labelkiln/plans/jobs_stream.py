@@ -65,8 +65,8 @@ def stream_clean(spark, sf):
 def stream_cascade(spark, sf):
     """L6 on a document stream: features, gate and specialist are fitted in batch; the stream is one projection."""
     docs = corpus_from_tables(spark, sf, ("lang",))
-    model = L.tfidf_features(docs, "text", 1000)
-    gate, specialist = jobs_learn.cascade_models(spark, sf, L.featurize(model, docs))
+    model, rows = L.tfidf_rows(docs, "text", 1000)
+    gate, specialist = jobs_learn.cascade_models(spark, sf, rows)
     s = read_stream(spark, _glob(sf, "documents"), read_table(spark, sf, "documents").schema)
     s = L.featurize(model, s.select(F.col("doc_id").alias("id"), "text"))
     done = L.cascade(s, gate, specialist).select("id", F.array_join("labels_pred", ",").alias("labels"))
