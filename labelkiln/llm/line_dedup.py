@@ -12,8 +12,9 @@ to it; blank lines stay.
    class are merged, known by their first place; full sets do not move.
 3. Classes meet in the words of their prefixes.  The length filter, the positional bound on the overlap and the
    parity bitmaps (two bitmaps differ in at most as many bits as the sets differ in words) decide which pairs are
-   verified.  Words that may be frequent are cut into tiles of one size step and a bounded number of members; there a
-   class meets the first ones before all others, and the others only while no earlier similar class is known.
+   verified.  The classes of a word meet within one task, in the order of their sizes, as long as they are fewer than
+   ``MET``.  Words with more are cut into tiles of one size step and a bounded number of members; there a class meets
+   the first ones before all others, and the others only while no earlier similar class is known.
 4. The sets of the classes in such pairs are computed anew from the texts and compared in full.
 
 Defined results: null text has no lines (0 lines, cleaned text empty); the parts of an empty text are one
@@ -39,6 +40,8 @@ PERCENT = 80
 COUNTERS = 18
 #: Classes with one word and size step that one task compares with as many others.
 TILE = 256
+#: Classes with one word that meet in one task; the classes of a word with more are dealt out in tiles.
+MET = 1024
 
 
 def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -46,7 +49,7 @@ def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
 
 
-def _joined(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, int, str]]:
+def _joined(texts: list[str], limit: int = 1 << 18) -> Iterator[tuple[int, int, str]]:
     """``(lo, hi, text)``: neighbouring texts joined by line breaks, up to about ``limit`` characters and never less
     than one whole text."""
     lo = size = 0
@@ -72,8 +75,8 @@ def rarity_levels(slim: DataFrame, bits: int = COUNTERS) -> np.ndarray:
 
 LINE_SCHEMA = ("k long, b1 long, b2 long, d long, t long, line int, size int, skip int, cold int, prefix array<int>")
 CLS = ["k", "b1", "b2"]
-#: Below this level a word has fewer than TILE occurrences.
-COLD = np.uint64(2 * np.log2(TILE))
+#: Below this level a word has fewer than MET occurrences.
+COLD = np.uint64(2 * np.log2(MET))
 
 
 def line_rows(slim: DataFrame, levels: np.ndarray, percent: int, bits: int = COUNTERS) -> DataFrame:
@@ -292,27 +295,38 @@ def _fits(percent: int, n_x, n_y, p_x, p_y, apart, least):
             & ((n_x > n_y) | short(n_x, p_x)) & ((n_y > n_x) | short(n_y, p_y)))
 
 
-def cold_pairs(pre: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs ``a, b`` of classes that meet in a word of fewer than ``TILE`` rows."""
+def frequent_words(pre: DataFrame) -> DataFrame:
+    """``word`` of those that ``MET`` classes or more have in their prefixes.  Only words whose counter allows it are
+    counted."""
+    return pre.filter("i >= cold").groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= MET).select("word")
+
+
+def cold_pairs(pre: DataFrame, frequent: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs ``a, b`` of classes that meet in a word that is not ``frequent``."""
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
         for b in batches:
             cols = [c.to_numpy() for c in b.columns]
             if left is not None:
                 cols = [np.concatenate(x) for x in zip(left, cols, strict=True)]
-            # the rows of the last word wait for the next batch; they are fewer than TILE
-            end = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0
+            # the rows of the last word wait for the next batch; they are fewer than MET
+            end = int(np.searchsorted(cols[0], cols[0][-1] >> 32 << 32)) if len(cols[0]) else 0
             left = [c[end:] for c in cols]
             yield from meet([c[:end] for c in cols])
         if left is not None:
             yield from meet(left)
 
     def meet(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        word, k, b1, b2, size, pos = cols
-        at = np.arange(len(word))
+        key, k, b1, b2, pos = cols
+        word, size = key >> 32, key & 0xFFFFFFFF
+        ends = np.r_[np.flatnonzero(word[1:] != word[:-1]) + 1, len(word)]
+        last = np.repeat(ends, np.diff(ends, prepend=0))
+        # the rows of a word ascend in size: a row meets those behind it until they are too large, and as the smaller
+        # one (or an equal one) only in the shorter prefix
+        at = np.flatnonzero(pos * (100 + percent) <= size * (100 - percent))
         for shift in range(1, len(word)):
-            at = at[at + shift < len(word)]
-            at = at[word[at] == word[at + shift]]
+            at = at[at + shift < last[at]]
+            at = at[size[at + shift] * percent <= size[at] * 100]
             if not len(at):
                 return
             to = at + shift
@@ -327,8 +341,11 @@ def cold_pairs(pre: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c[i]) for i in (x, y) for c in (k, b1, b2)],
                                                  names=[f"{c}_{i}" for i in "xy" for c in CLS])
 
-    rows = pre.filter("i < cold").select("word", *CLS, F.col("size").cast("long"), F.col("pos").cast("long"))
-    met = rows.repartition("word").sortWithinPartitions("word").mapInArrow(
+    # word and size in one number, which is also the order
+    rows = pre.join(F.broadcast(frequent), "word", "left_anti").select(
+        F.shiftleft(F.col("word").cast("long"), 32).bitwiseOR(F.col("size").cast("long")).alias("key"), *CLS,
+        F.col("pos").cast("long"))
+    met = rows.repartition(F.shiftright("key", 32)).sortWithinPartitions("key").mapInArrow(
         pairs, ", ".join(f"{c}_{i} long" for i in "xy" for c in CLS))
     return _pair(met).distinct()
 
@@ -415,10 +432,12 @@ def similar_earlier(slim: DataFrame, classes: DataFrame, percent: int = PERCENT)
     pre = classes.select(*CLS, "size", "skip", "cold", "place", F.posexplode("prefix").alias("i", "word")).withColumn(
         "pos", F.col("skip") + F.col("i"))
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    hot = settled(_planned(pre.filter("i >= cold").select("word", step.alias("step"), *_ROW)), "hot-prefixes")
-    first = settled(cold_pairs(pre, percent).union(star_pairs(hot, percent)).distinct(), "first-pairs")
+    frequent = settled(frequent_words(pre), "frequent-words")
+    hot = settled(_planned(pre.filter("i >= cold").join(frequent, "word", "left_semi").select(
+        "word", step.alias("step"), *_ROW)), "hot-prefixes")
+    first = settled(cold_pairs(pre, frequent, percent).union(star_pairs(hot, percent)).distinct(), "first-pairs")
     gone = later_ones(slim, classes, first, percent)
-    discard(first)
+    discard(first, frequent)
     rest = settled(open_pairs(hot, gone, percent), "open-pairs")
     discard(hot)
     more = later_ones(slim, classes, rest, percent)

@@ -18,13 +18,25 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _P = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_P, -1, 1 << 64)
+
+
+#: Powers that are kept for each base, up to this many.
+KEPT_POWERS = 1 << 21
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, np.uint64(base), np.uint64)
+    kept = _POWERS.get(base)
+    if kept is not None and n <= len(kept):
+        return kept[:n]
+    out = np.full(max(n, min(2 * n, KEPT_POWERS)), np.uint64(base), np.uint64)
     out[:1] = 1
     with np.errstate(over="ignore"):
-        return np.multiply.accumulate(out)
+        out = np.multiply.accumulate(out)
+    if len(out) <= KEPT_POWERS:
+        _POWERS[base] = out
+    return out[:n]
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -41,7 +53,7 @@ def word_hashes(text: str | None) -> np.ndarray:
     with np.errstate(over="ignore"):
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(_BYTE[raw] * _powers(len(raw), _P), out=sums[1:])
-        undo = _powers(len(raw), pow(_P, -1, 1 << 64))
+        undo = _powers(len(raw), _INVERSE)
         return mix((sums[end] - sums[start]) * undo[start] + (end - start).astype(np.uint64))
 
 
