@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -50,6 +50,19 @@ def _put(store: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
     return store
 
 
+class _Numbers(dict):
+    """The number of every piece; one that has none gets the next and stands in ``new``."""
+
+    def __init__(self, pieces: list[str]):
+        super().__init__(zip(pieces, range(len(pieces)), strict=True))
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        number = self[piece] = len(self)
+        return number
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes.
 
@@ -69,17 +82,18 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder()
         self.length = np.array([len(added[i].content.encode()) if i in added else len(self.tokenizer.id_to_token(i) or "")
                                 for i in range(size)], np.int64)
-        self.known: dict[str, int] = {}
+        self.known = _Numbers([])
         self.start, self.count, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
         self.ids, self.used = np.zeros(0, "<u4"), 0
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, first: int, new: list[str]) -> None:
+        """Ids of the pieces ``new``, which have the numbers from ``first`` on."""
         # pieces that begin with white space and end without may stand behind each other; the others stand alone
-        behind = [p for p in new if p[0] in _SPACES and p[-1] not in _SPACES]
-        alone = [p for p in new if not (p[0] in _SPACES and p[-1] not in _SPACES)]
+        follows = np.array([p[0] in _SPACES and p[-1] not in _SPACES for p in new], bool)
+        behind, alone = list(compress(new, follows)), list(compress(new, ~follows))
         parts, counts = [], []
         runs = ["".join(behind[lo : lo + RUN]) for lo in range(0, len(behind), RUN)]
         for lo, ids in zip(range(0, len(behind), RUN), self._encoded(runs), strict=True):
@@ -91,12 +105,12 @@ class Encoder:
             parts.append(ids)
             counts.append(np.array([len(ids)]))
         count = np.concatenate([np.zeros(0, np.int64), *counts])
-        first, n_ids = len(self.known), int(count.sum())
-        self.start = _put(self.start, first, self.used + np.cumsum(count) - count)
-        self.count = _put(self.count, first, count)
+        place = np.empty(len(new), np.int64)
+        place[np.r_[np.flatnonzero(follows), np.flatnonzero(~follows)]] = np.arange(len(new))
+        self.start = _put(self.start, first, (self.used + np.cumsum(count) - count)[place])
+        self.count = _put(self.count, first, count[place])
         self.met = _put(self.met, first, np.zeros(len(new), bool))
-        self.ids, self.used = _put(self.ids, self.used, np.concatenate(parts)), self.used + n_ids
-        self.known.update(zip([*behind, *alone], range(first, first + len(new)), strict=True))
+        self.ids, self.used = _put(self.ids, self.used, np.concatenate(parts)), self.used + int(count.sum())
 
     def _forget(self) -> None:
         kept = [p for p, code in self.known.items() if self.met[code]]
@@ -104,7 +118,7 @@ class Encoder:
             kept = []
         codes = np.array([self.known[p] for p in kept], np.int64)
         ids = self._gather(codes)
-        self.known = dict(zip(kept, range(len(kept)), strict=True))
+        self.known = _Numbers(kept)
         self.count = self.count[codes]
         self.start, self.met, self.ids, self.used = np.cumsum(self.count) - self.count, np.zeros(len(kept), bool), ids, len(ids)
 
@@ -113,32 +127,20 @@ class Encoder:
         return self.ids[np.repeat(self.start[codes] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > KNOWN:
+            self._forget()
         cut = [_PIECES.findall(t) for t in texts]
-        codes = self._codes(cut)
-        unknown = np.flatnonzero(codes < 0)
-        if len(unknown):
-            pieces = list(chain.from_iterable(cut))
-            new = list(dict.fromkeys(pieces[k] for k in unknown.tolist()))
-            if len(self.known) + len(new) > KNOWN:
-                self.met[codes[codes >= 0]] = True
-                self._forget()
-                codes = self._codes(cut)
-                unknown = np.flatnonzero(codes < 0)
-                new = list(dict.fromkeys(pieces[k] for k in unknown.tolist()))
-            self.met[codes[codes >= 0]] = True
-            self._learn(new)
-            codes[unknown] = [self.known[pieces[k]] for k in unknown.tolist()]
-        else:
-            self.met[codes] = True
+        first = len(self.known)
+        codes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64)
+        self.met[codes[codes < first]] = True
+        if self.known.new:
+            self._learn(first, self.known.new)
+            self.known.new = []
         flat = self._gather(codes)
         upto = np.cumsum(np.bincount(np.repeat(np.arange(len(cut)), [len(p) for p in cut]), self.count[codes],
                                      len(cut)).astype(np.int64))
         return [part.tobytes() for part in np.split(flat, upto[:-1])] if cut else []
 
-    def _codes(self, cut: list[list[str]]) -> np.ndarray:
-        """The number of every piece, -1 where it is not known."""
-        return np.fromiter(map(self.known.get, chain.from_iterable(cut), repeat(-1)), np.int64)
-
 
 _ENCODERS: dict[str, Encoder] = {}
 
